@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash
+from . import mixing, simhash, substrings
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
     "op5_source_mixing": mixing.op5,
+    "op7_suffix_array_dedup": substrings.op7,
 }
 ORACLE_SQL = {"op5_source_mixing": mixing.OP5_SQL}
