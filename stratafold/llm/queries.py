@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, simhash, substrings
+from . import mixing, multiset, simhash, substrings
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
     "op5_source_mixing": mixing.op5,
     "op7_suffix_array_dedup": substrings.op7,
+    "op10_multiset_fingerprint": multiset.op10,
 }
 ORACLE_SQL = {"op5_source_mixing": mixing.OP5_SQL}
