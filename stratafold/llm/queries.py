@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, multiset, simhash, substrings
+from . import mixing, multiset, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
+    "op2_toxicity": toxicity.op2,
     "op5_source_mixing": mixing.op5,
     "op7_suffix_array_dedup": substrings.op7,
     "op10_multiset_fingerprint": multiset.op10,
