@@ -31,10 +31,12 @@ from .suffix import shared, suffix_array
 
 LENGTH = 50
 _FIRST, _SECOND = 24, 12
+#: Bytes of a hash that are shuffled, besides what its part tells.
+_HASH = 5
 #: Bytes of text that are hashed at a time, and anchors or bytes of segments that are packed at a time.
 _CHUNK, _FLUSH = 1 << 20, 1 << 20
-#: Input bytes, as the files hold them, for each shuffle task.
-_SHARE = 8 << 20
+#: Input bytes, as the files hold them, for each shuffle task, and parts that a task takes, so that tasks are alike.
+_SHARE, _PARTS = 4 << 20, 8
 _NONE = (1 << 63) - 1
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -101,7 +103,10 @@ def _dealt(parts: np.ndarray, columns: dict[str, np.ndarray], sizes: np.ndarray
     counts = np.diff(new, append=len(held))
     out = {"part": pa.array(held[new].astype(np.int32))}
     for name, column in columns.items():
-        out[name] = _binaries(column[order].view(np.uint8), counts * column.dtype.itemsize)
+        wide, column = column.dtype.itemsize, column[order]
+        # First bytes of all values, then all second bytes, and so on: alike ones together, for the shuffle's compression
+        planes = [column[a : a + n].view(np.uint8).reshape(-1, wide).T.reshape(-1) for a, n in zip(new.tolist(), counts.tolist(), strict=True)]
+        out[name] = _binaries(np.concatenate(planes) if planes else np.empty(0, np.uint8), counts * wide)
     if sizes is not None:
         starts = np.cumsum(sizes) - sizes
         out["bytes"] = _binaries(data[_spans(starts[order], sizes[order])], np.add.reduceat(sizes[order], new) if len(new) else sizes)
@@ -109,42 +114,49 @@ def _dealt(parts: np.ndarray, columns: dict[str, np.ndarray], sizes: np.ndarray
 
 
 def _unpacked(batches: list[pa.RecordBatch], name: str, kind: str) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b"".join(b.column(name).to_pylist()), kind) for b in batches]) if batches else np.empty(0, kind)
+    """The values of a column that _dealt has packed."""
+    wide = np.dtype(kind).itemsize
+    planes = [np.frombuffer(x, np.uint8).reshape(wide, -1).T.reshape(-1) for b in batches for x in b.column(name).to_pylist()]
+    return np.concatenate(planes).view(kind) if planes else np.empty(0, kind)
 
 
-def _per_document(k: np.ndarray, tag: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-    """One row per (k, tag), with its values packed."""
-    order = np.lexsort((tag, k))
-    k, tag, values = k[order], tag[order], values[order]
-    new = np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (tag[1:] != tag[:-1]))) if len(k) else np.empty(0, np.int64)
-    counts = np.diff(new, append=len(k))
-    return pa.RecordBatch.from_pydict({"k": pa.array(k[new]), "tag": pa.array(tag[new]), "packed": _binaries(values.reshape(-1).view(np.uint8), counts * values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1))})
+def _per_document(keys: dict[str, np.ndarray], values: np.ndarray) -> pa.RecordBatch:
+    """One row per combination of keys, with its values packed."""
+    order = np.lexsort(tuple(keys.values()))
+    sorted_, values = {name: x[order] for name, x in keys.items()}, values[order]
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for x in sorted_.values():
+        new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    wide = values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    return pa.RecordBatch.from_pydict({**{name: pa.array(x[first]) for name, x in sorted_.items()}, "packed": _binaries(values.reshape(-1).view(np.uint8), np.diff(first, append=len(order)) * wide)})
 
 
 def _hashed(length: int, parts: int):
-    """Step 1: (part, h, k, tag, at)."""
+    """Step 1: (part, h, k, at)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
-            h, k, tag, at = (np.concatenate(x) for x in zip(*held, strict=True))
+            h, k, at = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            return _dealt((h % np.uint64(parts)).astype(np.int64), {"h": h.view(np.uint8).reshape(-1, 8)[:, 2:].copy().view("V6").reshape(-1), "k": k, "tag": tag, "at": at})
+            return _dealt((h % np.uint64(parts)).astype(np.int64), {"h": h.view(np.uint8).reshape(-1, 8)[:, 8 - _HASH :].copy().view(f"V{_HASH}").reshape(-1), "k": k, "at": at})
 
         for b in batches:
-            ks, tags = (b.column(x).to_numpy() for x in ("k", "tag"))
+            ks = b.column("k").to_numpy()
             for first, texts in chunks(b.column("text"), _CHUNK):
                 data, starts, sizes = _joined(texts)
                 windows = np.maximum(sizes - length + 1, 0)
                 if not windows.sum():
                     continue
-                grams = _grams(data, _FIRST)
                 row = np.repeat(np.arange(len(texts)), windows)
+                grams = _grams(data, _FIRST)
                 where = _anchors(grams, _FIRST, length)[_spans(starts, windows)]
                 new = np.append(True, where[1:] != where[:-1])
                 row, where = row[new], where[new]
-                held.append((grams[where], ks[first + row], tags[first + row], (where - starts[row]).astype(np.uint32)))
+                held.append((grams[where], ks[first + row], (where - starts[row]).astype(np.uint32)))
                 if sum(len(x[0]) for x in held) >= _FLUSH:
                     yield flush()
         if held:
@@ -154,24 +166,25 @@ def _hashed(length: int, parts: int):
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2: the anchors of one part whose hash occurs in several documents, packed per document."""
+    """Step 2: the anchors of some parts whose hash occurs in several documents, packed per document."""
     held = list(batches)
     if not held:
         return
-    # The rows of one part are routed by it and hold the hash without its lowest bytes; parts may meet here
-    six = _unpacked(held, "h", "V6").view(np.uint8).reshape(-1, 6)
-    h = np.zeros((len(six), 8), np.uint8)
-    h[:, 2:] = six
+    short = _unpacked(held, "h", f"V{_HASH}").view(np.uint8).reshape(-1, _HASH)
+    h = np.zeros((len(short), 8), np.uint8)
+    h[:, 8 - _HASH :] = short
+    del short
     h = h.view("<u8").reshape(-1)
-    k, tag, at = (_unpacked(held, *x) for x in (("k", "<i8"), ("tag", "<i8"), ("at", "<u4")))
+    k, at = _unpacked(held, "k", "<i8"), _unpacked(held, "at", "<u4")
     del held
     order = np.argsort(h)
-    h, own = h[order], k[order]
+    h = h[order]
+    own = k[order]
     new = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
     many = np.minimum.reduceat(own, new) < np.maximum.reduceat(own, new)
     keep = order[np.repeat(many, np.diff(new, append=len(h)))]
     if len(keep):
-        yield _per_document(k[keep], tag[keep], at[keep])
+        yield _per_document({"k": k[keep]}, at[keep])
 
 
 def _segments(length: int, parts: int):
@@ -186,7 +199,7 @@ def _segments(length: int, parts: int):
             return _dealt(part, {"k": k, "tag": tag, "at": at, "size": size.astype(np.uint16)}, size, data)
 
         for b in batches:
-            ks, tags = (b.column(x).to_numpy() for x in ("k", "tag"))
+            ks, tags = b.column("k").to_numpy(), b.column("tag").to_numpy()
             found = b.column("packed")
             for first, texts in chunks(b.column("text"), _CHUNK):
                 data, starts, sizes = _joined(texts)
@@ -195,6 +208,7 @@ def _segments(length: int, parts: int):
                 change = np.zeros(len(data) + 1, np.int32)
                 for i in range(len(texts)):
                     at = np.frombuffer(b"".join(found[first + i].as_py() or ()), "<u4").astype(np.int64)
+                    at = at[at <= sizes[i] - length + (length - _FIRST)] if sizes[i] >= length else at[:0]  # those of a namesake may not fit
                     np.add.at(change, starts[i] + np.maximum(at - (length - _FIRST), 0), 1)
                     np.add.at(change, starts[i] + np.minimum(at, sizes[i] - length) + 1, -1)
                 window = np.flatnonzero(np.cumsum(change[:-1]) > 0)
@@ -222,7 +236,7 @@ def _classes(length: int):
         held = list(batches)
         if not held:
             return
-        k, tag, at, size = (_unpacked(held, *x) for x in (("k", "<i8"), ("tag", "<i8"), ("at", "<u4"), ("size", "<u2")))
+        k, tag, at, size = (_unpacked(held, *x) for x in (("k", "<i8"), ("tag", "<i4"), ("at", "<u4"), ("size", "<u2")))
         size = size.astype(np.int64)
         coded = _binaries(_unpacked(held, "bytes", "u1"), size).dictionary_encode()
         del held
@@ -259,14 +273,14 @@ def _classes(length: int):
             new = np.append(True, (of[1:] != of[:-1]) | (begin[1:] != begin[:-1] + 1))
             last = np.append(new[1:], True)
             ranges = np.stack([begin[new], begin[last] + length], axis=1).astype(np.uint32)
-            yield _per_document(k[of[new]], tag[of[new]], ranges)
+            yield _per_document({"k": k[of[new]], "tag": tag[of[new]]}, ranges)
 
     return run
 
 
-def _merged(packed: list[bytes] | None) -> np.ndarray:
-    """Disjoint ranges in order, of packed ones that may overlap or touch."""
-    ranges = np.frombuffer(b"".join(packed or ()), "<u4").reshape(-1, 2).astype(np.int64)
+def _merged(packed: list[dict] | None, tag: int) -> np.ndarray:
+    """Disjoint ranges in order, of a row's packed ones, which may overlap or touch."""
+    ranges = np.frombuffer(b"".join(x["packed"] for x in packed or () if x["tag"] == tag), "<u4").reshape(-1, 2).astype(np.int64)
     if len(ranges) < 2:
         return ranges
     ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
@@ -279,8 +293,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Step 5: (row, kept, spans)."""
     for b in batches:
         kept, spans = [], []
-        for text, packed in zip(b.column("text"), b.column("packed"), strict=True):
-            data, ranges = text.as_py() or b"", _merged(packed.as_py())
+        for text, tag, packed in zip(b.column("text"), b.column("tag").to_pylist(), b.column("packed"), strict=True):
+            data, ranges = text.as_py() or b"", _merged(packed.as_py(), tag)
             data = data.encode() if isinstance(data, str) else data
             spans.append([{"begin": int(x), "end": int(y)} for x, y in ranges])
             if len(ranges):
@@ -304,18 +318,19 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, parts: int | None = N
     doc_id, judged on the input. Null and empty texts, and those shorter than `length`, stay as they are. Rows that share a doc_id are
     one document and don't remove from one another. A null doc_id counts as larger than all others. An empty table gives an empty
     result. One text has to fit in a task's memory about sixty times; a shard's memory goes with `parts`."""
-    parts = parts or _parts(docs.select("doc_id", "text"))
+    tasks = parts or _parts(docs.select("doc_id", "text"))
+    parts = tasks * _PARTS
     others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("k"), F.xxhash64("text").alias("tag"), F.struct(*others).alias("row_"), "text")
-    packed = "k long, tag long, packed binary"
-    anchors = rows.select("k", "tag", "text").mapInArrow(_hashed(length, parts), "part int, h binary, k binary, tag binary, at binary")
-    found = anchors.repartition(parts, "part").mapInArrow(_repeated, packed)
-    per = found.groupBy("k", "tag").agg(F.collect_list("packed").alias("packed"))
-    segments = rows.join(per, ["k", "tag"]).mapInArrow(_segments(length, parts), "part int, k binary, tag binary, at binary, size binary, bytes binary")
-    gone = segments.repartition(parts, "part").mapInArrow(_classes(length), packed)
-    ranges = gone.groupBy("k", "tag").agg(F.collect_list("packed").alias("packed"))
+    # tag tells rows that share a doc_id apart
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("k"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tag"), F.struct(*others).alias("row_"), "text")
+    anchors = rows.select("k", "text").mapInArrow(_hashed(length, parts), "part int, h binary, k binary, at binary")
+    found = anchors.repartition(tasks, "part").mapInArrow(_repeated, "k long, packed binary")
+    per = found.groupBy("k").agg(F.collect_list("packed").alias("packed"))
+    segments = rows.join(per, "k").mapInArrow(_segments(length, parts), "part int, k binary, tag binary, at binary, size binary, bytes binary")
+    gone = segments.repartition(tasks, "part").mapInArrow(_classes(length), "k long, tag int, packed binary")
+    ranges = gone.groupBy("k").agg(F.collect_list(F.struct("tag", "packed")).alias("packed"))
     kind = docs.select(F.struct(*others).alias("row_")).schema["row_"].dataType.simpleString()
-    return rows.join(ranges, ["k", "tag"], "left").select("row_", "text", "packed").mapInArrow(_cut, f"row_ {kind}, kept binary, spans array<struct<begin:bigint,end:bigint>>")
+    return rows.join(ranges, "k", "left").select("row_", "text", "tag", "packed").mapInArrow(_cut, f"row_ {kind}, kept binary, spans array<struct<begin:bigint,end:bigint>>")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
