@@ -13,14 +13,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage: a reliable checkpoint in the folder that the session names in
-    spark.checkpoint.dir, which all executors share. Only where the session names none, as in
-    tests, a folder of this machine is set. For slim rows: ids, hashes, counts, never texts."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir, which all executors share. Only where it names
+    none, as in tests, a folder of this machine is made and set."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stratafold-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stratafold-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df without its lineage: a reliable checkpoint in the shared folder. For slim rows: ids, hashes, counts, never texts."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
