@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import crossentropy, html, lines, mixing, multiset, pieces, simhash, substrings, toxicity
+from . import crossentropy, html, lines, media, mixing, multiset, pieces, simhash, substrings, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_source_mixing": mixing.op5,
     "op6_line_dedup": lines.op6,
     "op7_suffix_array_dedup": substrings.op7,
+    "op8_progressive_jpeg": media.op8,
     "op9_sentencepiece": pieces.op9,
     "op10_multiset_fingerprint": multiset.op10,
 }
