@@ -205,13 +205,14 @@ def _segments(length: int, parts: int):
                 data, starts, sizes = _joined(texts)
                 if not len(data):
                     continue
-                change = np.zeros(len(data) + 1, np.int32)
-                for i in range(len(texts)):
-                    at = np.frombuffer(b"".join(found[first + i].as_py() or ()), "<u4").astype(np.int64)
-                    at = at[at <= sizes[i] - length + (length - _FIRST)] if sizes[i] >= length else at[:0]  # those of a namesake may not fit
-                    np.add.at(change, starts[i] + np.maximum(at - (length - _FIRST), 0), 1)
-                    np.add.at(change, starts[i] + np.minimum(at, sizes[i] - length) + 1, -1)
-                window = np.flatnonzero(np.cumsum(change[:-1]) > 0)
+                windows = np.maximum(sizes - length + 1, 0)
+                repeated = np.zeros(len(data), bool)
+                for i in np.flatnonzero(windows):
+                    at = np.frombuffer(b"".join(found[first + int(i)].as_py() or ()), "<u4")
+                    repeated[starts[i] + at[at < sizes[i]].astype(np.int64)] = True  # a namesake's may not fit
+                place = _spans(starts, windows)
+                window = place[repeated[_anchors(_grams(data, _FIRST), _FIRST, length)[place]]] if len(place) else place
+                del place, repeated
                 if not len(window):
                     continue
                 grams = _grams(data, _SECOND)

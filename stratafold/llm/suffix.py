@@ -21,10 +21,11 @@ def _scan(sa: np.ndarray, before: np.ndarray, head: np.ndarray, narrow: type) ->
     predecessor of suffix i if that is of the class in question, else -1 (so at before[-1]); head: the next free
     slot for each first letter; narrow: a type that holds all letters, for sorting."""
     n, at, width = len(sa), 0, 1024
+    count = np.arange(_MOST)
     while at < n:
         block = sa[at : at + width]
         letter = before[block]
-        which = np.flatnonzero(letter >= 0)
+        which = (letter >= 0).nonzero()[0]
         if not len(which):
             at += len(block)
             width = min(2 * width, _MOST)
@@ -32,12 +33,15 @@ def _scan(sa: np.ndarray, before: np.ndarray, head: np.ndarray, narrow: type) ->
         letter = letter[which]
         order = letter.astype(narrow).argsort(kind="stable")
         letter = letter[order]
-        starts = np.flatnonzero(letter[1:] != letter[:-1])
-        starts += 1
-        starts = np.concatenate([[0], starts])
-        runs = np.diff(starts, append=len(letter))
+        ends = (letter[1:] != letter[:-1]).nonzero()[0]
+        edges = np.empty(len(ends) + 2, np.int64)
+        edges[0], edges[-1] = 0, len(letter)
+        np.add(ends, 1, out=edges[1:-1])
+        starts = edges[:-1]
+        runs = edges[1:] - starts
         free = head[letter[starts]]
-        slot = np.arange(len(letter)) + np.repeat(free - starts, runs)
+        slot = (free - starts).repeat(runs)
+        slot += count[: len(letter)]
         from_ = which[order]
         final = int(free.min()) - at
         if final < len(block):
