@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,7 +97,8 @@ def _binaries(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def _dealt(parts: np.ndarray, columns: dict[str, np.ndarray], sizes: np.ndarray | None = None, data: np.ndarray | None = None) -> pa.RecordBatch:
-    """One row per part that occurs: each column's values packed in a binary, and, where items of bytes are given, these too."""
+    """One row per part that occurs: each column's values packed in a compressed binary, and, where items of bytes are given, these too."""
+    zstd = zstandard.ZstdCompressor(level=3).compress
     order = np.argsort(parts, kind="stable")
     held = parts[order]
     new = np.flatnonzero(np.diff(held, prepend=-1))
@@ -105,18 +107,21 @@ def _dealt(parts: np.ndarray, columns: dict[str, np.ndarray], sizes: np.ndarray
     for name, column in columns.items():
         wide, column = column.dtype.itemsize, column[order]
         # First bytes of all values, then all second bytes, and so on: alike ones together, for the shuffle's compression
-        planes = [column[a : a + n].view(np.uint8).reshape(-1, wide).T.reshape(-1) for a, n in zip(new.tolist(), counts.tolist(), strict=True)]
-        out[name] = _binaries(np.concatenate(planes) if planes else np.empty(0, np.uint8), counts * wide)
+        planes = [column[a : a + n].view(np.uint8).reshape(-1, wide).T.tobytes() for a, n in zip(new.tolist(), counts.tolist(), strict=True)]
+        out[name] = pa.array(planes if name == "h" else list(map(zstd, planes)), pa.binary())  # hashes don't get smaller
     if sizes is not None:
         starts = np.cumsum(sizes) - sizes
-        out["bytes"] = _binaries(data[_spans(starts[order], sizes[order])], np.add.reduceat(sizes[order], new) if len(new) else sizes)
+        whole = data[_spans(starts[order], sizes[order])].tobytes()
+        edges = [0, *np.cumsum(np.add.reduceat(sizes[order], new)).tolist()] if len(new) else [0]
+        out["bytes"] = pa.array([zstd(whole[a:b]) for a, b in zip(edges, edges[1:], strict=False)], pa.binary())
     return pa.RecordBatch.from_pydict(out)
 
 
 def _unpacked(batches: list[pa.RecordBatch], name: str, kind: str) -> np.ndarray:
     """The values of a column that _dealt has packed."""
     wide = np.dtype(kind).itemsize
-    planes = [np.frombuffer(x, np.uint8).reshape(wide, -1).T.reshape(-1) for b in batches for x in b.column(name).to_pylist()]
+    plain = (lambda x: x) if name == "h" else zstandard.ZstdDecompressor().decompress
+    planes = [np.frombuffer(plain(x), np.uint8).reshape(wide, -1).T.reshape(-1) for b in batches for x in b.column(name).to_pylist()]
     return np.concatenate(planes).view(kind) if planes else np.empty(0, kind)
 
 
