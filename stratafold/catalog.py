@@ -1,12 +1,38 @@
-"""Every registered query of the engine with its DuckDB twin."""
+"""Every registered query of the engine with its oracle twin."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from .functions import ROW_QUERIES
+from .plans.forecast import forecast_ensemble
+from .plans.model import expand, run
+from .plans.queries_sql import SQL
+from .sources.files import SOURCE_QUERIES
+from .streaming.events import STREAM_QUERIES, STREAM_SQL
+
+
+def _query(text: str) -> Callable[[SparkSession, str], DataFrame]:
+    return partial(lambda spark, sf_dir, text: run(spark, sf_dir, text), text=text)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **{name: _query(text) for name, text in SQL.items()},
+    **{name: f for name, (f, _) in ROW_QUERIES.items()},
+    **{name: f for name, (f, _) in SOURCE_QUERIES.items()},
+    **STREAM_QUERIES,
+    "forecast_ensemble": forecast_ensemble,
+}
+ORACLE_SQL: dict[str, str] = {
+    **{name: expand(text, duck=True) for name, text in SQL.items()},
+    **{name: sql for table in (ROW_QUERIES, SOURCE_QUERIES) for name, (_, sql) in table.items() if sql},
+    **STREAM_SQL,
+}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").count()
+    """The top five units of a province by their latest deduplicated value."""
+    return QUERIES["rank_units_topk"](spark, sf_dir)
