@@ -64,8 +64,8 @@ class Model:
     _seen: dict[str, float] = field(default_factory=dict, repr=False)
 
     def _word(self, word: str) -> float:
-        at = word[:1]
-        for end in (*range(2, LETTERS + 1), None):
+        at = ""
+        for end in (*range(1, LETTERS + 1), None):
             link = word[:end]
             if link == at:
                 break
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: int = TRAIN, discount: int =
     """The models and the curve. Without rows of both classes nothing is evidence and every score is below 0.5."""
     rows, others = sample(docs, labels, train)
     counts = rows.mapInArrow(_followed, "toxic int, before string, word string").distinct().groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    ends = F.explode(F.array(*(F.lit(i) for i in (*range(2, LETTERS + 1), 1 << 20))))
+    ends = F.explode(F.array(*(F.lit(i) for i in (*range(1, LETTERS + 1), 1 << 20))))
     links = counts.select("t", "o", "word", ends.alias("end")).select("t", "o", F.expr("left(word, end)").alias("link"), F.expr(f"left(word, if(end > {LETTERS}, {LETTERS}, end - 1))").alias("stem"))
     links = links.groupBy("stem", "link").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
     links = links.persist()
