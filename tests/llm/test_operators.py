@@ -1,0 +1,298 @@
+"""The ten operators on small cases: brute force, round trips, odd rows."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratafold.llm import crossentropy, html, lines, media, mixing, multiset, pieces, queries, simhash, substrings, toxicity
+from stratafold.llm.components import components
+from stratafold.llm.suffix import shared, suffix_array
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size_ int, k string"
+WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "pu") for b in ("ra", "so", "ti", "vu")]
+
+
+def corpus(n=120, seed=3):
+    """Random texts with copies, near copies, shared passages, empty and null texts and a long one."""
+    rng = random.Random(seed)
+    passage = " ".join(rng.choices(WORDS, k=40))
+    texts = []
+    for i in range(n):
+        text = "\n".join(" ".join(rng.choices(WORDS, k=rng.randint(1, 30))) + "." for _ in range(rng.randint(1, 6)))
+        if i % 5 == 1:
+            text = texts[-1]
+        elif i % 5 == 2:
+            text += f" {passage} é漢"
+        elif i % 5 == 3 and texts[-1]:
+            text = (texts[-1] or "").replace("ka", "kaa", 1)
+        texts.append(text)
+    texts[7], texts[8], texts[9], texts[10] = "", None, "   \n\t", "A" * 5000
+    return texts
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en", None if i % 11 == 0 else f"s{i % 3}", len(t or ""), 1, "x") for i, t in enumerate(corpus())]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Rows that repeat a doc_id, rows without one, and repeated rows."""
+    text = "the same text goes here and it has more than fifty bytes in it, which is enough"
+    rows = [(1, text, None, None, 1, 0, None), (1, text, None, None, 1, 0, None), (1, "another " + text, None, None, 1, 0, None), (None, text, None, "a", 1, 0, None), (None, None, None, "a", 1, 0, None), (2, text + "!", None, "a", 1, 0, None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def linked(keys, near):
+    parent = {k: k for k in keys}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            if near(a, b):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {k: root(k) for k in keys}
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    pairs = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(60, 90)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
+    nodes = sorted({x for p in pairs for x in p if p[0] != p[1]})
+    together = {frozenset(p) for p in pairs}
+    assert found == linked(nodes, lambda a, b: frozenset((a, b)) in together)
+
+
+def test_simhash_links(spark):
+    rng = random.Random(2)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    near = [b ^ sum(1 << i for i in rng.sample(range(64), k)) for b in base for k in (1, 2, 3)] + [b ^ (1 << 5) ^ (1 << 40) for b in base] + [b ^ 3 << 62 for b in base]
+    prints = sorted({x - (1 << 64) if x >> 63 else x for x in base + near})
+    found = {tuple(sorted(r)) for r in simhash.links(spark.createDataFrame([(x,) for x in prints], "f long")).collect()}
+    assert found == {(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+
+
+def test_simhash(docs, odd, empty):
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    prints = {i: simhash.simhash((t or "").encode()) for i, t in enumerate(corpus())}
+    assert {i: r.fp for i, r in got.items()} == prints
+    want = linked(sorted(prints), lambda a, b: ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count() <= 2)
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(want.values())
+    assert simhash.keep_one(docs).columns == docs.columns
+    assert len(simhash.near_duplicates(odd).collect()) == 6 and simhash.near_duplicates(empty).count() == 0
+    assert simhash.simhash(b"") == simhash.simhash(b" \n") == 0 and simhash.simhash(b"A b") == simhash.simhash(b"a\tB")
+
+
+def test_toxicity(spark, empty):
+    rng = random.Random(4)
+    bad = ["zorgix", "zorgiy", "zorgat"]
+    rows, labels = [], []
+    for i in range(700):
+        toxic = i % 4 == 0
+        body = rng.choices(WORDS, k=80) + (rng.choices(bad, k=6) if toxic else [])
+        rng.shuffle(body)
+        rows.append((i, " ".join(body), "en", "s", 1, 0, "x"))
+        if i < 650:
+            labels.append((i, int(toxic)))
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, known)
+    found = {r.doc_id: r.score for r in toxicity.scored(docs, model).collect()}
+    held = [i for i in found if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert np.mean([(found[i] >= 0.5) == (i % 4 == 0) for i in held]) > 0.95
+    assert 0 <= model.score(None) == model.score("") <= 1
+    assert toxicity.scored(empty, model).count() == 0
+    assert toxicity.fit(empty, known).score("x") < 0.5
+    kept = toxicity.keep_clean(docs, known)
+    assert kept.columns == docs.columns and abs(kept.count() - 525) < 25
+
+
+def test_html():
+    page = "<title>no</title><p>a<p>b<b>c</b><br>d<ul><li>x<li>y<ol><li>z</ol></ul><div hidden>no</div><table><tr><th>n<th>v<tr><td>long<td>1</table><pre>  k\n j</pre><script>no</script>&lt;e"
+    assert html.render(page) == "a\n\nbc\nd\n\n- x\n- y\n  1. z\n\nn    | v\nlong | 1\n\n  k\n j\n\n<e"
+    assert html.render(None) == html.render("") == "" and html.render("<div>" * 50_000 + "deep") == "deep"
+    assert html.render("a < b & c</p>") .startswith("a < b & c")
+
+
+def test_cross_entropy(spark, docs, empty):
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(0, 120, 3)] + [(None, 1)], "doc_id long, quality int")
+    target, background = crossentropy.fit(docs, labels)
+    tokens = [(t or "").encode().lower().split() for t in corpus()]
+    assert background.words[:-1].sum() == sum(map(len, tokens)) and background.words[-1] == sum(map(bool, tokens))
+    assert target.words[:-1].sum() == sum(len(tokens[i]) for i in range(0, 120, 6))
+    pairs = Counter(p for t in corpus() for p in crossentropy.indices((t or "").encode())[1].tolist())
+    assert {i: int(n) for i, n in enumerate(background.pairs) if n} == dict(pairs)
+    got = {r.doc_id: r for r in crossentropy.scored(docs, target, background).collect()}
+    assert got[8].score is None and got[7].n_words == 0 and got[0].score == pytest.approx(got[0].target_loss - got[0].background_loss)
+    assert crossentropy.scored(empty, *crossentropy.fit(empty, labels)).count() == 0
+
+
+def test_mixing(docs, odd, empty):
+    rows = docs.select("doc_id", "source", mixing.size("text").alias("size_"))
+    got = mixing.copies(rows).toPandas()
+    texts = corpus()
+    assert {r.doc_id: r.size_ for r in got.itertuples()} == {i: len((t or "").split()) for i, t in enumerate(texts)}
+    assert got.copies_.between(0, 3).all() and got.sort_values("doc_id").copies_.tolist() == mixing.copies(rows.repartition(5)).toPandas().sort_values("doc_id").copies_.tolist()
+    for key, g in got.groupby(got.source.fillna("~")):
+        assert abs((g.copies_ * g.size_).sum() - g.target_.iloc[0]) <= 0.25 * g.target_.iloc[0] + g.size_.max(), key
+    assert got.drop_duplicates("target_").target_.sum() == pytest.approx(sum(len((t or "").split()) for t in texts))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and mixed.count() == got.copies_.sum()
+    assert mixing.copies(odd.select("doc_id", "source", mixing.size("text").alias("size_"))).count() == 6 and mixing.mix(empty).count() == 0
+
+
+def test_targets_fill(spark):
+    rows = [(s, n) for s, n in (("a", 10), ("b", 1000), ("c", 1), ("d", 500), (None, 0))]
+    got = {r.key_: (r.source_size_, r.target_) for r in mixing.targets(spark.createDataFrame(rows, "source string, size_ long")).collect()}
+    left, weights, limit, want = 1511.0, dict(zip("abcd~", (1, 2, 3, 1, 2), strict=True)), {"a": 30, "b": 3000, "c": 3, "d": 1500, "~": 0}, {}
+    while True:
+        share = {k: left * w / sum(weights.values()) for k, w in weights.items()}
+        full = [k for k in weights if share[k] > limit[k]]
+        if not full:
+            want |= share
+            break
+        for k in full:
+            want[k] = limit[k]
+            left -= limit[k]
+            del weights[k]
+    assert {k.removeprefix("=") or "~": t for k, (_, t) in got.items()} == pytest.approx(want)
+
+
+def test_lines(docs, odd, empty):
+    seen, want = set(), {}
+    for i, t in enumerate(corpus()):
+        stay, gone, at = [], [], 0
+        for unit in (t or "").split("\n"):
+            plain = lines.normalised(unit)
+            if len(plain) >= lines.LEAST and plain in seen:
+                gone.append((at, at + len(unit)))
+            else:
+                stay.append(unit)
+            if len(plain) >= lines.LEAST:
+                seen.add(plain)
+            at += len(unit) + 1
+        want[i] = ("\n".join(stay), gone)
+    assert {r.row_.doc_id: (r.kept, [tuple(x) for x in r.gone]) for r in lines.without_repeats(docs).collect()} == want
+    assert lines.without_repeats(odd).count() == 6 and lines.without_repeats(empty).count() == 0
+
+
+def test_suffix_array():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 3, 50, 700):
+        for letters in (1, 2, 5, 256):
+            data = rng.integers(0, letters, n).astype(np.uint8)
+            raw = data.tobytes()
+            order = suffix_array(data)
+            assert order.tolist() == sorted(range(n), key=lambda i: raw[i:])
+            part = order[order <= n - 9]
+            assert shared(data, part, 9).tolist() == [i > 0 and raw[part[i] : part[i] + 9] == raw[part[i - 1] : part[i - 1] + 9] for i in range(len(part))]
+
+
+def test_substrings(docs, odd, empty):
+    first, want = {}, {}
+    for i, t in enumerate(corpus()):
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for at in range(len(data) - 49):
+            if first.setdefault(data[at : at + 50], i) < i:
+                gone[at : at + 50] = b"\1" * 50
+        want[i] = bytes(x for x, g in zip(data, gone, strict=True) if not g)
+    got = {r.row_.doc_id: r for r in substrings.without_repeats(docs).collect()}
+    assert {i: bytes(r.kept) for i, r in got.items()} == want
+    texts = corpus()
+    for i, r in got.items():
+        data = (texts[i] or "").encode()
+        edges = [0, *(x for s in r.spans for x in s), len(data)]
+        assert b"".join(data[edges[j] : edges[j + 1]] for j in range(0, len(edges), 2)) == want[i]
+    rows = sorted((r.row_.doc_id or 99, bytes(r.kept)) for r in substrings.without_repeats(odd).collect())
+    assert [x for x in rows if x[0] == 1] == sorted((1, t.encode()) for t in (r.text for r in odd.where("doc_id = 1").collect()))
+    assert (2, b"!") in rows and (99, b"") in rows and len(rows) == 6
+    assert substrings.without_repeats(empty).count() == 0
+    assert substrings.remove_repeats(docs).columns == docs.columns
+
+
+def test_media(docs, empty):
+    rng = random.Random(6)
+    for n in (1, 6, 7, 50, 6200):
+        payload = rng.randbytes(64 * n)
+        image = media.Image(media.encode(payload))
+        assert image.payload() == payload
+        if n <= 50:
+            slow = media.Image(media.encode(payload), whole=False)
+            assert all((a.coefficients == b.coefficients).all() for a, b in zip(image.parts.values(), slow.parts.values(), strict=True))
+            assert (slow.tensor() == image.tensor()).all() and image.tensor().shape == (image.height, image.width, 3)
+    found = {r.doc_id: r for r in media.read_back(media.stored(docs)).collect()}
+    for i, t in enumerate(corpus()):
+        assert bytes(found[i].payload) == media.pad((t or "").encode()) and len(found[i].tensor.rgb) == 3 * found[i].tensor.height * found[i].tensor.width
+    assert found[1].feature == found[0].feature and media.stored(empty).count() == 0
+    assert media.pad(b"") == bytes(64) and media.pad(b"x" * 64) == b"x" * 64
+
+
+def test_pieces(docs, odd, empty):
+    texts = ["", "a  b", " lead", "日本語 \U0001f600", "</s> <0x0A>", "▁x▁▁", "tab\tline\n\n", *[t or "" for t in corpus()[:30]]]
+    tokenizer, original = pieces.load(pieces.MODEL)
+    for t in texts[1:]:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids if t else []
+        assert ids == original.encode(t) and tokenizer.decode(ids, skip_special_tokens=False) == original.decode(ids)
+    got = {r.doc_id: r for r in pieces.encoded(docs, verify=1).collect()}
+    assert all(r.same for r in got.values() if r.same is not None) and got[8].ids == [] and got[0].decoded == corpus()[0]
+    assert pieces.encoded(odd).count() == 6 and pieces.encoded(empty).count() == 0
+
+
+def test_unigram_spec():
+    spec = pieces.Spec(["<unk>", "▁", "a", "b", "▁ab"], [0.0, -2.0, -3.0, -3.0, -1.0], [2, 1, 1, 1, 1])
+    assert pieces.build(spec).encode("ab a").tokens == ["▁ab", "▁", "a"]
+
+
+def test_multiset(spark, docs, empty):
+    texts = corpus()
+    got = {r.doc_id: r for r in multiset.compared(docs).collect()}
+    for i, t in enumerate(texts):
+        t, after = t or "", texts[(i - 1) % len(texts)] or ""
+        half = len(t) // 2
+        assert got[i].n_chars == len(t) and got[i].edited == t[: len(t) - half] + after[:half]
+    assert got[0].vec == got[1].vec and got[0].next_vec == got[len(texts) - 1].vec
+    v = lambda x: multiset.vector(F.lit(x))
+    r = spark.range(1).select((v("a.\nb c.") == v("b c.\na.")).alias("order"), (multiset.put_in(v("a."), F.lit("b c.")) == v("b c.\na.")).alias("put"), (multiset.take_out(v("a.\nb c."), F.lit("b c.")) == v("a.")).alias("take"), multiset.likeness(v("a"), v("a")).alias("same"), multiset.likeness(v("x y. z. q. r"), v("k. l. m. n")).alias("far")).first()
+    assert r.order and r.put and r.take and r.same == 1.0 and r.far < 0.5
+    one = spark.createDataFrame([(5, "ab")], "doc_id long, text string")
+    assert multiset.compared(one).first().edited == "aa" and multiset.compared(empty).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_twin(name, spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
+    ours, theirs = queries.QUERIES[name](spark, sf_dir).toPandas(), con.sql(queries.ORACLE_SQL[name]).df()
+    columns = sorted(ours.columns)
+    assert columns == sorted(theirs.columns)
+    plain = lambda df: sorted(tuple(str(x) for x in r) for r in df[columns].itertuples(index=False))
+    assert plain(ours) == plain(theirs)
+
+
+def test_queries_and_pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    for r in queries.QUERIES["op8_progressive_jpeg"](spark, sf_dir).collect():
+        payload = media.pad(texts[r.doc_id].encode())
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+    out = corpus_pipeline.run(spark, sf_dir)
+    assert out.count() > 0 and {r.same for r in out.select("same").distinct().collect()} <= {True, None}
