@@ -25,7 +25,7 @@ def sniff(line: str) -> str:
 
 def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects): every column as text, ragged rows filled with nulls; lines that have more fields than the header go to rejects as they are.
-    Raises ValueError where one column was read though the header has another delimiter twice."""
+    Lines are records: a quoted value can't hold a break. Raises ValueError where one column was read though the header has another delimiter twice."""
     head = spark.read.text(path).first()
     if head is None:
         empty = spark.createDataFrame([], "line string")
@@ -35,11 +35,11 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> tu
     names = [x.strip().strip('"') for x in line.split(sep)]
     if len(names) == 1 and any(line.count(d) >= 2 for d in DELIMITERS if d != sep):
         raise ValueError("the delimiter is suspect")
-    schema = T.StructType([T.StructField(n or f"c{i}", T.StringType()) for i, n in enumerate(names)] + [T.StructField("_corrupt", T.StringType())])
-    df = spark.read.schema(schema).csv(path, header=True, sep=sep, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
-    # Ragged rows that are short are kept; those that are long are rejects
-    long_ = F.col("_corrupt").isNotNull() & (F.size(F.split("_corrupt", "\\" + sep if sep == "|" else sep)) > len(names))
-    return df.where(~F.coalesce(long_, F.lit(False))).drop("_corrupt"), df.where(long_).select(F.col("_corrupt").alias("line"))
+    schema = T.StructType([T.StructField(n or f"c{i}", T.StringType()) for i, n in enumerate(names)] + [T.StructField("_more", T.StringType())])
+    kind = ", ".join(f"`{f.name}` string" for f in schema)
+    lines = spark.read.text(path).where((F.col("value") != head[0]) & (F.length("value") > 0))
+    parsed = lines.select("value", F.from_csv("value", kind, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}).alias("r"))
+    return parsed.where("r._more is null").select("r.*").drop("_more"), parsed.where("r._more is not null").select(F.col("value").alias("line"))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,72 @@
+"""Sources, functions and forecasts on small cases."""
+
+import gzip
+import io
+import sqlite3
+import zipfile
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratafold.functions import _jaro_winkler, fold, gtfs_seconds, haversine, period_index, token_jaccard
+from stratafold.plans.forecast import ensemble, models, regular
+from stratafold.sources import files
+
+
+def test_delimited(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id;name;n\n1;"x;y";2\n2;z\n3;a;b;c\n', encoding="utf-8")
+    rows, rejects = files.read_delimited(spark, str(tmp_path / "a.csv"))
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "x;y", "2"), ("2", "z", None)]
+    assert [r.line for r in rejects.collect()] == ["3;a;b;c"]
+    with pytest.raises(ValueError):
+        files.read_delimited(spark, str(tmp_path / "a.csv"), sep="|")
+
+
+def test_archives(spark, tmp_path):
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("c.txt", "deep")
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("b.txt", "flat")
+        z.writestr("in.zip", inner.getvalue())
+    assert {(r.member, r.size) for r in files.read_archives(spark, str(tmp_path / "a.zip")).collect()} == {("a.zip!b.txt", 4), ("a.zip!in.zip!c.txt", 4)}
+
+
+def test_cut_archive(spark, tmp_path):
+    data = gzip.compress("".join(f'{{"i": {i}}}\n' for i in range(10_000)).encode())
+    (tmp_path / "x.gz.cut").write_bytes(data[: len(data) // 2])
+    lines = [r.line for r in files.read_cut_archives(spark, str(tmp_path / "x.gz.cut")).collect()]
+    assert 0 < len(lines) < 10_000 and all(x.endswith("}") for x in lines)
+    assert len(files.repaired_lines(data)) == 10_000
+
+
+def test_sqlite(spark, tmp_path):
+    with sqlite3.connect(tmp_path / "a.db") as db:
+        db.execute("create table t(a text, b int)")
+        db.executemany("insert into t values (?, ?)", [("x", 1), (None, 2)])
+    assert {tuple(r) for r in files.read_sqlite(spark, str(tmp_path / "a.db"), "t", ["a", "b"]).collect()} == {("x", "1"), (None, "2")}
+
+
+def test_balanced_sink(spark, tmp_path):
+    assert files.write_balanced(spark.range(7).withColumn("p", F.col("id") % 2), str(tmp_path / "out"), ["p"]) == 7
+    with pytest.raises(Exception):
+        files.write_balanced(spark.range(7), str(tmp_path / "out"))
+
+
+def test_functions(spark):
+    df = spark.createDataFrame([("İSTANBUL Çarşı-ŞIK", "2024-03", "25:10:05"), (None, "2024", "x")], "a string, p string, t string")
+    got = df.select(fold(F.col("a")).alias("f"), period_index(F.col("p")).alias("p"), gtfs_seconds(F.col("t")).alias("t")).collect()
+    assert tuple(got[0]) == ("istanbul carsi sik", 2024 * 12 + 2, 90605) and tuple(got[1]) == (None, None, None)
+    d = spark.range(1).select(haversine(F.lit(40.0), F.lit(30.0), F.lit(40.0045), F.lit(30.0)).alias("d"), token_jaccard(F.lit("a b c"), F.lit("B c d")).alias("j")).first()
+    assert abs(d.d - 500.4) < 1 and d.j == 0.5
+    assert _jaro_winkler("martha", "marhta") == pytest.approx(0.961111, abs=1e-6) and _jaro_winkler("", "a") == 0.0 and _jaro_winkler(None, "a") is None
+
+
+def test_forecast():
+    y = np.exp(0.01 * np.arange(60)) * 100
+    found = ensemble(y, 12)
+    assert len(found) == 12 and all(lo <= m <= hi for _, m, lo, hi in found)
+    assert found[-1][1] == pytest.approx(y[-1] * np.exp(0.12), rel=0.05)
+    assert set(models(np.log(y), 3)) == {"flat", "drift", "holt", "seasonal", "seasonal_drift"}
+    assert regular([1, 2, 5, 6, 7], [1.0, 2.0, 3.0, 4.0, 5.0])[0] == [5, 6, 7]
