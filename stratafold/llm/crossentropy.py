@@ -89,7 +89,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, Model]:
     """(target, background) models: of the documents that any label of theirs calls good (quality 1), and of all. Each task sums its part of the
     corpus into tables of fixed size, slices of which are summed in parallel; the driver gets one row for each slice."""
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_good")).where("_good is not null").distinct()
+    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_good")).where("_good is not null").distinct().hint("merge")  # labels grow with the corpus: one plan for all sizes
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, F.col("doc_id") == F.col("_good"), "left").select("text", F.col("_good").isNotNull().alias("good"))
     parts = -(-(VOCABULARY + 1 + PAIRS) // SLICE)
     found = rows.mapInArrow(_tables, "part int, counts binary").repartition(parts, "part").mapInArrow(_summed, "part int, counts binary").collect()
