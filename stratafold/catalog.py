@@ -8,13 +8,16 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions import ROW_QUERIES
+from .plans import queries_land, queries_sql
 from .plans.forecast import forecast_ensemble
 from .plans.model import expand, run
-from .plans.queries_sql import SQL
 from .sources.files import SOURCE_QUERIES
 from .streaming.events import STREAM_QUERIES, STREAM_SQL
 
 
+SQL = {**queries_sql.SQL, **queries_land.SQL}
+
+
 def _query(text: str) -> Callable[[SparkSession, str], DataFrame]:
     return partial(lambda spark, sf_dir, text: run(spark, sf_dir, text), text=text)
 
