@@ -28,6 +28,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows and bytes of an Arrow batch with texts in it.
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """df, whose texts are about to go to Python. Spark's batches of 10,000 rows are for slim rows; where the session has not been
+    told otherwise, its batches are made smaller, so that a worker and Arrow's buffers hold a few megabytes each."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def chunks(column: pa.Array, most: int) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8; null as empty) of runs of rows with at most `most` bytes together,
     one row at least. No text is cut."""

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import table, utf8
+from .base import in_batches, table, utf8
 
 #: Entries of the tables, powers of two, and how many of them are summed as one row.
 VOCABULARY, PAIRS, SLICE = 1 << 17, 1 << 19, 1 << 13
@@ -90,7 +90,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, Model]:
     """(target, background) models: of the documents that any label of theirs calls good (quality 1), and of all. Each task sums its part of the
     corpus into tables of fixed size, slices of which are summed in parallel; the driver gets one row for each slice."""
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_good")).where("_good is not null").distinct().hint("merge")  # labels grow with the corpus: one plan for all sizes
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, F.col("doc_id") == F.col("_good"), "left").select("text", F.col("_good").isNotNull().alias("good"))
+    rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, F.col("doc_id") == F.col("_good"), "left").select("text", F.col("_good").isNotNull().alias("good"))
     parts = -(-(VOCABULARY + 1 + PAIRS) // SLICE)
     found = rows.mapInArrow(_tables, "part int, counts binary").repartition(parts, "part").mapInArrow(_summed, "part int, counts binary").collect()
     tables = np.zeros((2, parts, SLICE))
@@ -118,7 +118,7 @@ def scored(docs: DataFrame, target: Model, background: Model) -> DataFrame:
                 plain.append(float(held.value[1].losses(words, pairs).mean()) if len(words) else None)
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "n_words": pa.array(n, pa.int64()), "target_loss": pa.array(good, pa.float64()), "background_loss": pa.array(plain, pa.float64())})
 
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_words long, target_loss double, background_loss double")
+    out = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_words long, target_loss double, background_loss double")
     return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import table
+from .base import in_batches, table
 
 # Fixed sets of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -306,7 +306,7 @@ def extracted(pages: DataFrame) -> DataFrame:
                 lot = b.slice(first, 256)
                 yield pa.RecordBatch.from_arrays([lot.column("page_id"), lot.column("url"), pa.array([render(x) for x in lot.column("html").to_pylist()], pa.string())], ["page_id", "url", "text"])
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_id long, url string, text string")
+    return in_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_id long, url string, text string")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import cut, table
+from .base import cut, in_batches, table
 
 BREAK = "\n"
 #: Normalised units with fewer characters always stay: empty lines and the like keep paragraphs apart.
@@ -76,7 +76,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     normalised stay. Null texts count as empty, which is one empty unit. Rows that share a doc_id are told apart by their texts; equal rows are one
     and are cut alike. A null doc_id comes after all others. An empty table gives an empty result."""
     others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("k"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tag"), F.struct(*others).alias("row_"), "text")
+    rows = in_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("k"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tag"), F.struct(*others).alias("row_"), "text")
     found = cut(rows.select("k", "tag", "text").mapInArrow(_units(least), "k long, tag int, at long, size long, digest binary"))
     place = F.struct("k", "tag", "at")
     firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("digest", "first")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import chunks, table
+from .base import chunks, in_batches, table
 
 BLOCK = 64
 #: MCUs in a row of the stored image, at most.
@@ -452,7 +452,7 @@ def stored(docs: DataFrame) -> DataFrame:
             for first, texts in chunks(b.column("text"), _CHUNK):
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(first, len(texts)), "n_bytes": pa.array(list(map(len, texts)), pa.int64()), "media": pa.array([encode(pad(x)) for x in texts], pa.binary())})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 def read_back(media: DataFrame, tensors: bool = True) -> DataFrame:
@@ -472,7 +472,7 @@ def read_back(media: DataFrame, tensors: bool = True) -> DataFrame:
                 lot = b.slice(first, len(files))
                 yield pa.RecordBatch.from_arrays([*lot.columns, pa.array(payloads, pa.binary()), pa.array(features), pa.array(pictures, kind)], ["doc_id", "n_bytes", "media", "payload", "feature", "tensor"])
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, media binary, payload binary, feature string, tensor struct<height:int,width:int,rgb:binary>")
+    return in_batches(media).select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, media binary, payload binary, feature string, tensor struct<height:int,width:int,rgb:binary>")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

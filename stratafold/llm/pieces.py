@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import table
+from .base import in_batches, table
 
 #: Where the default model lies, on every machine. A parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -165,7 +165,7 @@ def encoded(docs: DataFrame, model: str = MODEL, verify: int = VERIFY) -> DataFr
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(first, last - first), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(back, pa.string()), "same": pa.array(same, pa.bool_())})
 
     asked = F.pmod(F.xxhash64("text"), F.lit(verify)) == 0
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", asked.alias("asked")).mapInArrow(run, "doc_id long, ids array<int>, decoded string, same boolean")
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", asked.alias("asked")).mapInArrow(run, "doc_id long, ids array<int>, decoded string, same boolean")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, utf8
+from .base import cut, in_batches, utf8
 from .components import components
 
 #: The longest distance that two segments can serve.
@@ -51,7 +51,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             fps = pa.array([simhash(x, words) for x in utf8(b.column(1))], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), fps], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return in_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def _keys(fps: DataFrame, side: int) -> DataFrame:

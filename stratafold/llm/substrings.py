@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import chunks, table
+from .base import chunks, in_batches, table
 from .suffix import shared, suffix_array
 
 LENGTH = 50
@@ -328,7 +328,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, parts: int | None = N
     parts = tasks * _PARTS
     others = [c for c in docs.columns if c != "text"]
     # tag tells rows that share a doc_id apart
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("k"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tag"), F.struct(*others).alias("row_"), "text")
+    rows = in_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("k"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tag"), F.struct(*others).alias("row_"), "text")
     anchors = rows.select("k", "text").mapInArrow(_hashed(length, parts), "part int, h binary, k binary, at binary")
     found = anchors.repartition(tasks, "part").mapInArrow(_repeated, "k long, packed binary")
     per = found.groupBy("k").agg(F.collect_list("packed").alias("packed"))

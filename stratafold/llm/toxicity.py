@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import table
+from .base import in_batches, table
 
 #: Toxic rows that the models are fitted on, at most, and ordinary rows for each of them. The curve takes a quarter of both.
 TRAIN, ORDINARY = 2_500, 3
@@ -99,7 +99,7 @@ def sample(docs: DataFrame, labels: DataFrame, train: int = TRAIN) -> tuple[Data
     ordinary ones for each toxic one. Labels other than 0 and 1, and null ones, are left; of several labels for a doc_id the largest counts."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).select("*", _fold(F.col("doc_id")).alias("fold"))
     numbers = {r["curve"]: r["n"] for r in known.where((F.col("toxic") == 1) & (F.col("fold") != 0)).groupBy((F.col("fold") == CURVE).alias("curve")).agg(F.count("*").alias("n")).collect()}
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = []
     for curve, most in ((False, train), (True, train // 4)):
         rows = known.where((F.col("fold") == CURVE) if curve else ~F.col("fold").isin(0, CURVE))
@@ -186,7 +186,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "score": pa.array([held.value.score(x) for x in b.column("text").to_pylist()], pa.float64())})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, train: int = TRAIN) -> DataFrame:
