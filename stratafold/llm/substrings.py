@@ -312,7 +312,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _parts(docs: DataFrame) -> int:
+    """Shuffle tasks, by the size that Spark knows of the input, or, where it knows none, by the bytes of the texts."""
     size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= 1 << 60:
+        size = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2
     return min(max(16, math.ceil(size / _SHARE)), 1 << 16)
 
 
