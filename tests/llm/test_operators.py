@@ -152,7 +152,7 @@ def test_mixing(docs, odd, empty):
     assert got.copies_.between(0, 3).all() and got.sort_values("doc_id").copies_.tolist() == mixing.copies(rows.repartition(5)).toPandas().sort_values("doc_id").copies_.tolist()
     for key, g in got.groupby(got.source.fillna("~")):
         assert abs((g.copies_ * g.size_).sum() - g.target_.iloc[0]) <= 0.25 * g.target_.iloc[0] + g.size_.max(), key
-    assert got.drop_duplicates("target_").target_.sum() == pytest.approx(sum(len((t or "").split()) for t in texts))
+    assert got.drop_duplicates("source").target_.sum() == pytest.approx(sum(len((t or "").split()) for t in texts))
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == got.copies_.sum()
     assert mixing.copies(odd.select("doc_id", "source", mixing.size("text").alias("size_"))).count() == 6 and mixing.mix(empty).count() == 0
