@@ -79,7 +79,8 @@ def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     rows = in_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)).alias("k"), F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tag"), F.struct(*others).alias("row_"), "text")
     found = cut(rows.select("k", "tag", "text").mapInArrow(_units(least), "k long, tag int, at long, size long, digest binary"))
     place = F.struct("k", "tag", "at")
-    firsts = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("digest", "first")
+    # Cut, so that both sides of the join come from exchanges of their own: only then can Spark split a frequent digest's occurrences
+    firsts = cut(found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("digest", "first"))
     gone = found.join(firsts, "digest").where(F.struct("k", "tag", "at") != F.col("first"))
     per = gone.groupBy("k").agg(F.collect_list(F.struct("tag", "at")).alias("found"))
     kind = docs.select(F.struct(*others).alias("row_")).schema["row_"].dataType.simpleString()
