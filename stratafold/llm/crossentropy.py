@@ -1,9 +1,15 @@
 """Language-model scoring by cross-entropy difference.
 
 Two bigram models of the same form share one vocabulary: a target model, of documents that labels mark as good, and a background
-model of all documents. Words are hashed into VOCABULARY entries and bigrams into PAIRS entries, so a model's size is fixed whatever the
-corpus holds, while counts are taken over all documents. A document's score is the mean over its words of the difference between the loss under the
+model of all documents. A document's score is the mean over its words of the difference between the loss under the
 target model and the loss under the background model: the lower, the more it reads like the target.
+
+The models are tables of counts by word and by bigram that grow with the corpus and stay distributed (counts, losses): nothing of them is
+gathered or broadcast but a row of totals. Words are known by 64 bits of hash, as are bigrams, so that counts are those of single n-grams.
+Each document's bigrams are summed first and joined to the bigrams' losses (by_counts).
+
+fit and scored are the bounded form of the same models, hashed into VOCABULARY and PAIRS entries, in which n-grams of a large corpus share
+entries; op4 does not use it.
 """
 
 from __future__ import annotations
@@ -14,6 +20,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +30,10 @@ from .base import in_batches, table, utf8
 VOCABULARY, PAIRS, SLICE = 1 << 17, 1 << 19, 1 << 13
 #: Words' worth of weight that the backoff has in every context.
 KAPPA = 32.0
+#: What stands for the word before a text's first one.
+BEGIN = 0
+#: What a word is, in a pattern.
+_WORD = "[^ \t\n\x0b\f\r]+"
 
 
 def indices(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -122,6 +133,85 @@ def scored(docs: DataFrame, target: Model, background: Model) -> DataFrame:
     return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
+def _bigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, word before, word) of every word of the texts, as 64 bits of hash; words are those of indices()."""
+    held = [x.lower().split() for x in texts]
+    sizes = np.fromiter(map(len, held), np.int64, len(held))
+    words = np.fromiter((xxhash.xxh64_intdigest(w) for x in held for w in x), np.uint64, sizes.sum()).view(np.int64)
+    before = np.concatenate([[BEGIN], words[:-1]]).astype(np.int64)[: len(words)]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = BEGIN
+    return np.repeat(np.arange(len(held)), sizes), before, words
+
+
+def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first of each run of equal rows in that order)."""
+    order = np.lexsort(columns)
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
+    return order, np.flatnonzero(new)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(c, w, b, t): each bigram of a batch, how often it occurs, and how often in good documents."""
+    for x in batches:
+        row, c, w = _bigrams(utf8(x.column("text")))
+        if len(w):
+            good = x.column("good").to_numpy(zero_copy_only=False)[row]
+            order, first = _runs(w, c)
+            yield pa.RecordBatch.from_pydict({"c": c[order][first], "w": w[order][first], "b": np.diff([*first, len(order)]).astype(np.int64), "t": np.add.reduceat(good[order].astype(np.int64), first)})
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, c, w, n): each document's bigrams with how often it has them."""
+    for x in batches:
+        row, c, w = _bigrams(utf8(x.column("text")))
+        if len(w):
+            order, first = _runs(w, c, row)
+            at = order[first]
+            yield pa.RecordBatch.from_pydict({"k": x.column("k").to_numpy()[row[at]], "c": c[at], "w": w[at], "n": np.diff([*first, len(order)]).astype(np.int32)})
+
+
+def counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(c, w, b, t): every bigram of the corpus, its count in all documents, and in those that any label of theirs calls good (quality 1)."""
+    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_good")).where("_good is not null").distinct().hint("merge")  # labels grow with the corpus: one plan for all sizes
+    rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, F.col("doc_id") == F.col("_good"), "left").select("text", F.col("_good").isNotNull().alias("good"))
+    return rows.mapInArrow(_counted, "c long, w long, b long, t long").groupBy("c", "w").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+
+
+def losses(pairs: DataFrame) -> DataFrame:
+    """(pair, target, background): the negative log-likelihood of every bigram's word after the word before it, under both models.
+
+    A model's likelihood is (count of the bigram + KAPPA * share of the word) / (count of the word before + KAPPA), where the share is
+    (count of the word + 1) / (words of the model + words of the vocabulary); what comes before a text counts once for each text."""
+    begins = F.col("c") == BEGIN
+    words = pairs.groupBy("w").agg(F.sum("b").alias("wb"), F.sum("t").alias("wt"), F.sum(F.when(begins, F.col("b"))).alias("xb"), F.sum(F.when(begins, F.col("t"))).alias("xt"))
+    total = words.agg(F.sum("wb").alias("nb"), F.sum("wt").alias("nt"), F.count("*").alias("v"), F.sum("xb").alias("xb"), F.sum("xt").alias("xt"))
+    words = words.select("w", "wb", "wt")
+    # Neither table of words is ever broadcast, whatever its size; the row of totals is
+    known = pairs.join(words.hint("merge"), "w").join(words.select(F.col("w").alias("c"), F.col("wb").alias("cb"), F.col("wt").alias("ct")).hint("merge"), "c", "left").crossJoin(F.broadcast(total))
+
+    def loss(pair: str, word: str, before: str, words: str, texts: str):
+        context = F.when(begins, F.col(texts)).otherwise(F.col(before))
+        return F.log((context + KAPPA) / (F.col(pair) + KAPPA * (F.col(word) + 1) / (F.col(words) + F.col("v"))))
+
+    return known.select(F.xxhash64("c", "w").alias("pair"), loss("t", "wt", "ct", "nt", "xt").alias("target"), loss("b", "wb", "cb", "nb", "xb").alias("background"))
+
+
+def by_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, n_words, target_loss, background_loss, score) per row of docs: mean losses by words, and their difference.
+
+    Null and empty texts, and those without words, have 0 words and null losses and score. Repeated rows are scored alike; without good documents the
+    target model is uniform; an empty table gives an empty result."""
+    k = F.xxhash64("doc_id", "text").alias("k")
+    rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    held = rows.select(k, "text").mapInArrow(_held, "k long, c long, w long, n int").select("k", F.xxhash64("c", "w").alias("pair"), "n")
+    # Means, as rows that are equal in id and text share a k
+    mean = lambda x: F.sum(F.col("n") * F.col(x)) / F.sum("n")
+    found = held.join(losses(counts(docs, labels)).hint("merge"), "pair").groupBy("k").agg(mean("target").alias("target_loss"), mean("background").alias("background_loss"))
+    each = rows.select("doc_id", k, F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("n_words"))
+    return each.join(found, "k", "left").select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return scored(docs, *fit(docs, table(spark, sf_dir, "labels")))
+    return by_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
