@@ -9,11 +9,14 @@ differing bit leaves, or one of its thirds, which two leave): keys then hold 42
 buckets stay small for far more fingerprints than 32 bits would allow. An equality join on the keys
 proposes pairs, in which a wildcard bucket joins only members with that bit clear to members with it
 set, and the whole distance decides within the join.
+
+similar_links serves a similarity of shingle sets, far more bits apart than segments can hold: see there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -27,6 +30,8 @@ from .components import components
 
 #: The longest distance that two segments can serve.
 BITS = 2
+#: For a similarity: 64-bit lanes of a fingerprint, keys of each fingerprint, and bits of a key beyond those that number the texts.
+LANES, KEYS, SPARE = 4, 128, 4
 
 
 def simhash(data: bytes, words: int = 3, seed: int = 42) -> int:
@@ -86,6 +91,115 @@ def links(fps: DataFrame) -> DataFrame:
     return a.alias("a").join(b.alias("b"), (F.col("a.key") == F.col("b.key")) & (~F.col("a.plain") | (F.col("a.f") < F.col("b.f"))) & near).select(F.col("a.f").alias("u"), F.col("b.f").alias("v"))
 
 
+def _parts(data: bytes) -> list[bytes]:
+    return data.lower().split()
+
+
+def _shingles(parts: list[bytes], words: int) -> list[bytes]:
+    return list(map(b" ".join, zip(*(parts[i:] for i in range(words)), strict=False))) or [b" ".join(parts)]
+
+
+def _text(parts: list[bytes]) -> int:
+    """What texts of the same words share: 64 bits of hash, as a signed number."""
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(parts))).view(np.int64))
+
+
+def long_simhash(parts: list[bytes], words: int, seed: int = 42) -> bytes:
+    """The fingerprint of LANES * 64 bits of a text's words: simhash() with further hashes mixed from the first."""
+    shingles = _shingles(parts, words)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.uint64, len(shingles))
+    lanes = []
+    for i in range(LANES):
+        x = hashes + np.uint64((0x9E3779B97F4A7C15 * i) & ((1 << 64) - 1))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        lanes.append(x ^ (x >> np.uint64(31)))
+    bits = np.unpackbits(np.stack(lanes, 1).astype("<u8").view(np.uint8).reshape(-1, 8 * LANES), axis=1, bitorder="little")
+    return np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(shingles), bitorder="little").tobytes()
+
+
+def similarity_of(a: bytes, b: bytes, words: int) -> float:
+    """Jaccard similarity of the sets of two texts' shingles; texts without words are alike."""
+    x, y = (set(_shingles(_parts(t), words)) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def _far(similarity: float) -> int:
+    """Bits by which fingerprints of texts that similar differ at most, but for one pair in 30,000 (four deviations)."""
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(64 * LANES * share + 4 * np.sqrt(64 * LANES * share * (1 - share))) + 1
+
+
+@lru_cache(maxsize=4)
+def _places(size: int) -> np.ndarray:
+    """The bits that each key holds, the same everywhere."""
+    rng = np.random.default_rng(42)
+    return np.stack([rng.permutation(64 * LANES)[:size] for _ in range(KEYS)])
+
+
+def long_fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, f: long, fp: binary), one row per row of docs; f is shared by texts of the same words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = [_parts(x) for x in utf8(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(map(_text, held), pa.int64()), pa.array([long_simhash(x, words) for x in held], pa.binary())], ["doc_id", "f", "fp"])
+
+    return in_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, f long, fp binary")
+
+
+def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(u, v): pairs of nodes (f, fp) whose texts' shingle sets have that similarity or more.
+
+    Each of KEYS keys holds some bits of a fingerprint, enough that unrelated texts seldom share one: SPARE more than number the texts. Whoever shares a
+    key is proposed with the least and the greatest f among them, so a large group of near copies makes a few links for each member and key,
+    not one for each pair; within a group, whatever links to one of both is together. Proposals whose fingerprints are too far
+    apart are left, and all others are verified on the texts' shingles. No link is wrong, but a pair can be missed: all its keys may differ."""
+    size = min(48, nodes.count().bit_length() + SPARE)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = np.int64(1) << np.arange(size, dtype=np.int64)
+        for b in batches:
+            if b.num_rows:
+                bits = np.unpackbits(np.frombuffer(b"".join(b.column("fp").to_pylist()), np.uint8).reshape(-1, 8 * LANES), axis=1, bitorder="little")
+                keys = np.stack([(bits[:, p] @ weights) + (np.int64(i) << np.int64(size)) for i, p in enumerate(_places(size))], 1)
+                yield pa.RecordBatch.from_pydict({"key": keys.reshape(-1), "f": np.repeat(b.column("f").to_numpy(), KEYS)})
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = _far(similarity)
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64) for c in ("a", "b"))
+            stay = np.bitwise_count(x ^ y).reshape(-1, LANES).sum(axis=1, dtype=np.int64) <= most
+            yield pa.RecordBatch.from_pydict({"u": b.column("u"), "v": b.column("v")}).filter(pa.array(stay))
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_text(_parts(x)) for x in utf8(b.column("text"))], pa.int64()), b.column("text")], ["f", "text"])
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            stay = [similarity_of(x, y, words) >= similarity for x, y in zip(utf8(b.column("a")), utf8(b.column("b")), strict=True)]
+            yield pa.RecordBatch.from_pydict({"u": b.column("u"), "v": b.column("v")}).filter(pa.array(stay, pa.bool_()))
+
+    keys = nodes.select("f", "fp").mapInArrow(keyed, "key long, f long")
+    # Cut, so that Spark can split a frequent key's rows
+    ends = cut(keys.groupBy("key").agg(F.min("f").alias("first"), F.max("f").alias("last")).where("first <> last"))
+    shared = keys.join(ends, "key").select("f", F.explode(F.array("first", "last")).alias("v")).where("f <> v").select(F.least("f", "v").alias("u"), F.greatest("f", "v").alias("v")).distinct()
+    side = lambda name, to: nodes.select(F.col("f").alias(name), F.col("fp").alias(to))
+    proposed = cut(shared.join(side("u", "a"), "u").join(side("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(near, "u long, v long"))
+    asked = proposed.select(F.explode(F.array("u", "v")).alias("f")).distinct()
+    found = in_batches(docs).select("text").mapInArrow(texts, "f long, text string").join(asked, "f", "left_semi").dropDuplicates(["f"])
+    whole = lambda name, to: found.select(F.col("f").alias(name), F.col("text").alias(to))
+    return proposed.join(whole("u", "a"), "u").join(whole("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(verified, "u long, v long")
+
+
+def _rooted(fps: DataFrame, distinct: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """fps with component_id, the smallest doc_id of what the links (found) make one; distinct: (key, least)."""
+    rooted = distinct.join(components(found).withColumnRenamed("node", key), key, "left").select(key, "least", F.coalesce("root", key).alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(key, "component_id")
+    return fps.join(named, key).select("doc_id", key, "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     """(doc_id, fp, component_id), one row per row of docs. component_id is the smallest doc_id that can be
     reached over links of BITS differing bits or fewer.
@@ -96,17 +210,23 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     component's id unless the component has no other. An empty table gives an empty result."""
     fps = cut(fingerprints(docs, words))
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = components(links(distinct.select(F.col("fp").alias("f"))))
-    rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _rooted(fps, distinct, links(distinct.select(F.col("fp").alias("f"))), "fp")
+
+
+def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, f, component_id), like near_duplicates, over links between texts whose shingle sets are that similar or more
+    (similar_links); texts of the same words meet first, as one f. Texts without words are one component."""
+    fps = cut(long_fingerprints(docs, words))
+    distinct = cut(fps.groupBy("f").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")))
+    return _rooted(fps, distinct.select("f", "least"), similar_links(docs, distinct, words, similarity), "f")
 
 
-def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 3, similarity: float | None = None) -> DataFrame:
     """docs without the documents that have a near duplicate of a smaller doc_id in their component: one
-    doc_id of each component stays, with its columns as they were. Rows that share a doc_id stay or go together, but for those
+    doc_id of each component stays, with its columns as they were. Near are texts of BITS differing bits or fewer or, given a similarity, those
+    whose shingles are that similar. Rows that share a doc_id stay or go together, but for those
     whose own text put them into another component; rows without a doc_id stay only as the sole members."""
-    found = near_duplicates(docs, words)
+    found = near_duplicates(docs, words) if similarity is None else similar(docs, words, similarity)
     stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     return docs.join(stay.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 

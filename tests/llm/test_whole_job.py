@@ -6,7 +6,8 @@ from collections import Counter
 
 import pytest
 
-from stratafold.llm import crossentropy
+import corpus_pipeline
+from stratafold.llm import crossentropy, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -37,3 +38,29 @@ def test_cross_entropy_counts_each_bigram(spark):
         assert a == pytest.approx(b, rel=1e-9, nan_ok=True)
     none = crossentropy.by_counts(docs, labels.where("quality > 1")).where("doc_id = 5").first()
     assert none.target_loss == pytest.approx(math.log(size)) and crossentropy.by_counts(docs.limit(0), labels).count() == 0
+
+
+def test_pipeline_drops_texts_of_similar_shingles(spark):
+    """Near copies many bits apart go, less similar texts stay, and what goes is decided on the shingles themselves."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(0, 200, 4):
+        words = [f"w{rng.randrange(5_000)}" for _ in range(200)]
+        # One word that changes takes 5 of 196 shingles: similarities of 0.95, 0.86 and, with twelve words, under 0.6
+        rows.append((i, " ".join(words)))
+        for j, n in ((1, 1), (2, 3), (3, 12)):
+            near = list(words)
+            for at in range(n):
+                near[10 + 14 * at] = f"new{i}-{j}-{at}"
+            rows.append((i + j, " ".join(near)))
+    rows += [(200, ""), (201, None), (202, "\n"), (None, rows[0][1].upper()), (203, rows[0][1]), (203, "four words only here")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for i in (0, 100):
+        a, *others = (t.encode() for _, t in rows[i : i + 4])
+        assert [simhash.similarity_of(a, x, 5) >= 0.8 for x in others] == [True, True, False]
+    kept = sorted(r.doc_id if r.doc_id is not None else -1 for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert kept == sorted([i for i in range(200) if i % 4 in (0, 3)] + [200, 203, 203])
+    assert len(simhash.keep_one(docs).collect()) > len(kept)
+    assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
+    copies = {r.component_id for r in simhash.similar(docs).where("doc_id is null or doc_id = 0").collect()}
+    assert copies == {0}
