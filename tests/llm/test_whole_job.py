@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from stratafold.llm import crossentropy, simhash
+from stratafold.llm import crossentropy, pieces, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -64,3 +64,10 @@ def test_pipeline_drops_texts_of_similar_shingles(spark):
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").count() == 0
     copies = {r.component_id for r in simhash.similar(docs).where("doc_id is null or doc_id = 0").collect()}
     assert copies == {0}
+
+
+def test_pieces_hold_every_text_against_the_original(spark):
+    texts = [f"word {i}" for i in range(40)] + ["", None, "\u1e9b\u0323 \ufdfa \u3000wide\u00a0 space \u200b", "\U0010fffd\ue000 a\u0301\u0327"]
+    found = pieces.encoded(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    assert len(found) == len(texts) and all(r.same is not None for r in found)
+    assert all(r.same for r in found)
