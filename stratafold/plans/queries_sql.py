@@ -50,7 +50,7 @@ SQL: dict[str, str] = {
         left join (select geo_id, count(*) n from obs where dim = 'P' and v > 350000 group by 1) b on b.geo_id = g.parent_id
         left join (select il_id, count(*) n from obs group by 1) c on c.il_id = (case when g.level = 'mahalle' then 'IL_' || (cast(split_part(g.parent_id, '_', 2) as int) % 5) end) where g.level = 'mahalle'""",
     "correlated_scalar": "select n_nationkey, (select count(*) from customer where c_nationkey = n_nationkey) customers, (select max(s_acctbal) from supplier where s_nationkey = n_nationkey) best from nation",
-    "grid_distance_join": "with g as (select *, cast(floor(lat / 0.5) as bigint) gy, cast(floor(lon / 0.5) as bigint) gx from poi), n as (select g.*, dy.d dy, dx.d dx from g cross join (select -1 d union all select 0 union all select 1) dy cross join (select -1 d union all select 0 union all select 1) dx where id % 5 = 0) select a.id a_id, b.id b_id, round(" + distance("a.", "b.") + ", 3) meters from n a join g b on b.gy = a.gy + a.dy and b.gx = a.gx + a.dx and b.id > a.id where " + distance("a.", "b.") + " <= 20000",
+    "grid_distance_join": "with g as (select *, cast(floor(lat / 0.5) as bigint) gy, cast(floor(lon / 0.5) as bigint) gx from poi), n as (select g.*, dy.d dy, dx.d dx from g cross join (select -1 d union all select 0 union all select 1) dy cross join (select -1 d union all select 0 union all select 1) dx) select a.id a_id, b.id b_id, round(" + distance("a.", "b.") + ", 3) meters from n a join g b on b.gy = a.gy + a.dy and b.gx = a.gx + a.dx and b.id > a.id where " + distance("a.", "b.") + " <= 20000",
     "bbox_range_join": "with c as (select * from poi where id % 50 = 0) select c.id center, count(*) n from c join poi p on p.lat between c.lat - 0.4 and c.lat + 0.4 and p.lon between c.lon - 0.3 and c.lon + 0.3 and cast(floor(p.lat) as int) between cast(floor(c.lat - 0.4) as int) and cast(floor(c.lat + 0.4) as int) group by c.id",
     "nearest_neighbour_minby": "with s as (select s_suppkey, 36 + (s_suppkey * 53 % 600) / 100.0 lat, 26 + (s_suppkey * 71 % 1900) / 100.0 lon from supplier) select s.s_suppkey, min_by(p.id, round(" + distance("s.", "p.") + ", 3) * 1e7 + p.id) nearest, round(min(" + distance("s.", "p.") + "), 2) meters from s join poi p on p.lat between s.lat - 1.5 and s.lat + 1.5 and p.lon between s.lon - 1.5 and s.lon + 1.5 group by s.s_suppkey",
     "point_in_rectangle_smallest": "with r as (select n_nationkey id, 36 + n_nationkey % 6 lat0, 26 + n_nationkey % 18 lon0, 1 + n_nationkey % 3 side from nation) select p.id, min_by(r.id, r.side * 1000 + r.id) area_id, count(*) hits from poi p join r on p.lat >= r.lat0 and p.lat < r.lat0 + r.side and p.lon >= r.lon0 and p.lon < r.lon0 + r.side group by p.id",
@@ -117,7 +117,7 @@ SQL: dict[str, str] = {
     "parent_share_compare": "with c as (select unit_id, geo_id, count(*) n from obs group by 1, 2) select unit_id, round(100.0 * n / sum(n) over (partition by geo_id), 6) share from c",
     "similar_units_zscore": "with f as (select geo_id, avg(case when dim = 'F' then ln(v) end) a, avg(case when dim = 'O' then ln(v) end) b from cell group by 1), z as (select geo_id, (a - avg(a) over ()) / case when stddev_pop(a) over () = 0 then 1 else stddev_pop(a) over () end a, (b - avg(b) over ()) / case when stddev_pop(b) over () = 0 then 1 else stddev_pop(b) over () end b from f where a is not null and b is not null) select z.geo_id, round(sqrt(power(z.a - t.a, 2) + power(z.b - t.b, 2)), 8) dist from z join z t on t.geo_id = 'ILCE_5' where z.geo_id <> 'ILCE_5'",
     "suitability_score": "with m as (select geo_id, avg(v) price, count(*) n from cell group by 1), r as (select geo_id, 100.0 * (rank() over (order by price) + (count(*) over (partition by price) - 1) / 2.0 - 1) / (count(*) over () - 1) p1, 100.0 * (rank() over (order by n) + (count(*) over (partition by n) - 1) / 2.0 - 1) / (count(*) over () - 1) p2 from m) select geo_id, round(0.6 * (100 - p1) + 0.4 * p2, 6) score from r",
-    "comparables_similarity": "with t as (select * from poi where id = 42), d as (select p.id, " + distance("t.", "p.") + " m, p.price / t.price ratio from poi p cross join t where p.id <> t.id and p.lat between t.lat - 1 and t.lat + 1 and p.lon between t.lon - 1 and t.lon + 1) select id, round(m, 2) meters, round(100 * (0.6 * greatest(0, 1 - m / 100000) + 0.4 * greatest(0, 1 - abs(ratio - 1))), 6) score from d where m <= 100000",
+    "comparables_similarity": "with t as (select * from poi where id = 42), d as (select p.id, " + distance("t.", "p.") + " m, p.price / t.price ratio from poi p cross join t where p.id <> t.id and p.lat between t.lat - 1 and t.lat + 1 and abs(p.lon - t.lon) <= 1 / cos(radians(t.lat))) select id, round(m, 2) meters, round(100 * (0.6 * greatest(0, 1 - m / 100000) + 0.4 * greatest(0, 1 - abs(ratio - 1))), 6) score from d where m <= 100000",
     # Governance, entity resolution
     "conflict_decisions": "with r as (select geo_id, period, dim, src, upd, row_number() over (partition by geo_id, period, dim order by projected, upd desc, src, h) rk, count(*) over (partition by geo_id, period, dim) n from obs) select w.geo_id, w.period, w.dim, case when w.upd <> u.upd then 'newer' when w.src <> u.src then 'source' else 'hash' end reason, case when w.upd <> u.upd then 'high' when w.src <> u.src then 'medium' else 'low' end confidence from r w join r u on w.geo_id = u.geo_id and w.period = u.period and w.dim = u.dim and u.rk = 2 where w.rk = 1",
     "canonical_resolution": "with r as (select o_orderkey, row_number() over (partition by o_custkey, substr(cast(o_orderdate as string), 1, 7) order by case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end, o_totalprice desc, o_orderkey) i from orders) select o_orderkey from r where i = 1",
