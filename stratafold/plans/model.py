@@ -69,6 +69,10 @@ MARKS = {
     "@day": ("day", "'day'"),
     "@like(": ("regexp_like(", "regexp_matches("),
     "@dow(ts)": ("(dayofweek(ts) - 1)", "extract(dow from ts)"),
+    "@stops": (
+        "md5(concat_ws(',', transform(sort_array(collect_list(struct(l_linenumber seq, l_suppkey stop))), x -> coalesce(cast(x.stop as string), '') || '#' || coalesce(cast(x.seq as string), ''))))",
+        "md5(string_agg(coalesce(cast(l_suppkey as string), '') || '#' || coalesce(cast(l_linenumber as string), ''), ',' order by l_linenumber nulls first, l_suppkey nulls first))",
+    ),  # of a trip's stops in their order
     "@epoch(ts)": ("unix_timestamp(ts)", "cast(floor(epoch(ts)) as bigint)"),
 }
 

@@ -61,7 +61,7 @@ SQL: dict[str, str] = {
     # Transit
     "stop_time_fill": "with t as (select o_custkey trip, cast(row_number() over (partition by o_custkey order by o_orderkey) as bigint) seq, case when o_orderkey % 3 = 0 then o_totalprice end t from orders), w as (select *, max(case when t is not null then seq end) over (partition by trip order by seq rows between unbounded preceding and current row) a, min(case when t is not null then seq end) over (partition by trip order by seq rows between current row and unbounded following) b from t) select trip, seq, case when t is not null then 'given' when a is not null and b is not null then 'interpolated' else 'missing' end kind, a prev_seq, b next_seq from w",
     "frequency_expansion": "with f as (select n_nationkey k, n_nationkey * 600 begins, n_nationkey * 600 + 3600 ends, 900 step from nation), s as (select 0 i union all select 1 union all select 2 union all select 3) select k, begins + i * step departs from f cross join s where begins + i * step < ends",
-    "stop_pattern_signature": "with t as (select l_orderkey trip, count(*) || ':' || min(l_suppkey) || '-' || max(l_suppkey) signature from lineitem group by 1) select signature, count(*) trips, min(trip) sample from t group by signature",
+    "stop_pattern_signature": "with t as (select l_orderkey trip, count(*) || '-' || @stops signature from lineitem group by 1) select signature, count(*) trips, min(trip) sample from t group by signature",
     "service_labels": "select user_id, count(distinct @dow(ts)) n_weekdays, case when count(distinct @dow(ts)) = 7 then 'daily' when count(distinct case when @dow(ts) in (0, 6) then @dow(ts) end) = 0 then 'weekdays' else 'some' end label from events group by user_id",
     "line_hour_ratio": "with e as (select event_type line, extract(hour from ts) h, count(*) n from events group by 1, 2) select line, h as hr, n, round(n / avg(n) over (partition by line), 6) ratio from e",
 }

@@ -1,5 +1,6 @@
 """Queries that once did their job in part only, against plain loops: each of these tests failed before."""
 
+from collections import defaultdict
 from math import asin, cos, radians, sin, sqrt
 
 import pytest
@@ -28,3 +29,15 @@ def test_comparables_reach_the_whole_radius(spark, places):
     (own,) = (x for x in places if x.id == 42)
     want = {x.id for x in places if x.id != 42 and meters(own, x) <= 100000}
     assert {r.id for r in catalog.QUERIES["comparables_similarity"](spark, "/root/testdata/sf0.01").collect()} == want
+
+
+def test_stop_patterns_are_ordered_sequences(spark):
+    trips = defaultdict(list)
+    for r in spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_suppkey").collect():
+        trips[r.l_orderkey].append((r.l_linenumber, r.l_suppkey))
+    want = defaultdict(list)
+    for trip, stops in trips.items():
+        want[tuple(sorted(stops))].append(trip)
+    found = catalog.QUERIES["stop_pattern_signature"](spark, "/root/testdata/sf0.01").collect()
+    assert sorted((r.trips, r.sample) for r in found) == sorted((len(x), min(x)) for x in want.values())
+    assert len({r.signature for r in found}) == len(found) == len(want)
