@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from .base import cut, in_batches, table
 
 BREAK = "\n"
-#: Normalised units with fewer characters always stay: empty lines and the like keep paragraphs apart.
-LEAST = 8
+#: Normalised units with fewer characters always stay: only empty lines, which keep paragraphs apart.
+LEAST = 1
 _NONE = (1 << 63) - 1
 _SPACE = re.compile("[ \t\n\x0b\f\r]+")
 
@@ -98,7 +98,7 @@ with s as (select doc_id, string_split(coalesce(text, ''), chr(10)) a from docum
 u as (select doc_id, unnest(a) t, unnest(range(len(a))) i from s),
 o as (select *, length(t) n, coalesce(sum(length(t) + 1) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0)::bigint b,
   trim(regexp_replace(lower(t), '[ \t\n\x0b\f\r]+', ' ', 'g')) p from u),
-g as (select *, length(p) >= 8 and row_number() over (partition by p order by doc_id, i) > 1 as rep from o)
+g as (select *, length(p) >= 1 and row_number() over (partition by p order by doc_id, i) > 1 as rep from o)
 select doc_id, count(*)::bigint n_units, (count(*) filter (rep))::bigint n_removed,
   coalesce(string_agg(b || '-' || (b + n), ';' order by i) filter (rep), '') removed_spans,
   sha256(coalesce(string_agg(t, chr(10) order by i) filter (not rep), '')) kept_sha256

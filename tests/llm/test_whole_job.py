@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from stratafold.llm import crossentropy, pieces, simhash
+from stratafold.llm import crossentropy, lines, pieces, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -71,3 +71,9 @@ def test_pieces_hold_every_text_against_the_original(spark):
     found = pieces.encoded(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
     assert len(found) == len(texts) and all(r.same is not None for r in found)
     assert all(r.same for r in found)
+
+
+def test_lines_drop_short_repeats(spark):
+    docs = spark.createDataFrame([(1, "Menu\n\nx\nfirst text"), (2, " menu \n\nX\nx\n \t\nsecond text"), (3, "Reply\nMENU")], SCHEMA)
+    found = {r.row_.doc_id: r.kept for r in lines.without_repeats(docs).collect()}
+    assert found == {1: "Menu\n\nx\nfirst text", 2: "\n \t\nsecond text", 3: "Reply"}
