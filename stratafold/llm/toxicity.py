@@ -6,8 +6,10 @@ share. An expression that a class has seen seldom is thus priced by the shared c
 beginning tells: a rare inflection of a known stem is judged by the stem. As in Kneser-Ney models, a word counts once
 for each different word that it follows, so copies of a text add nothing.
 
-A text's evidence is the difference of its two log-likelihoods by words, less the median difference of its words, which takes
-out what comes from its language and subject. A logistic curve, fitted on other labelled rows, turns it into a score.
+A text's evidence is the difference of its two log-likelihoods by words, less an offset that takes out what comes from its language
+and subject: the median difference of its words, with a few words that tell nothing among them and without those that tell much
+for toxicity. So neither a text's toxic words nor a few others move the offset, and a toxic text of one word has its
+whole difference as evidence. A logistic curve, fitted on other labelled rows, turns it into a score.
 
 The models are fitted on a bounded sample of the labelled rows (TRAIN), so that what every task holds is bounded too. Counting
 is distributed. Links whose counts don't pass the discount in either class have no say, so only the others reach the driver, and they
@@ -38,6 +40,8 @@ FOLDS, CURVE = 5, 4
 WEIGHT = 0.35
 #: Letters of the beginnings; then comes the word.
 LETTERS = 8
+#: For the offset: words with a greater difference are toxic ones, and words that tell nothing, as many as a short text has.
+STRONG, NEUTRAL = 1.0, 4
 _WORD = re.compile(r"\w+")
 
 
@@ -75,7 +79,7 @@ class Model:
         return self.known.get(at, 0.0)
 
     def evidence(self, text: str | None) -> float:
-        """The mean difference of the words less the median one; 0 without words."""
+        """The mean difference of the words less the offset; 0 without words."""
         found, seen = words(text), self._seen
         if not found:
             return 0.0
@@ -87,7 +91,7 @@ class Model:
             if value is None:
                 value = seen[word] = self._word(word)
             values[i] = value
-        return float(values.mean() - np.median(values))
+        return float(values.mean() - np.median(np.concatenate([values[values <= STRONG], np.zeros(NEUTRAL)])))
 
     def score(self, text: str | None) -> float:
         z = self.slope * self.evidence(text) + self.offset

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from stratafold.llm import crossentropy, lines, pieces, simhash
+from stratafold.llm import crossentropy, lines, pieces, simhash, toxicity
 
 SCHEMA = "doc_id long, text string"
 
@@ -77,3 +77,24 @@ def test_lines_drop_short_repeats(spark):
     docs = spark.createDataFrame([(1, "Menu\n\nx\nfirst text"), (2, " menu \n\nX\nx\n \t\nsecond text"), (3, "Reply\nMENU")], SCHEMA)
     found = {r.row_.doc_id: r.kept for r in lines.without_repeats(docs).collect()}
     assert found == {1: "Menu\n\nx\nfirst text", 2: "\n \t\nsecond text", 3: "Reply"}
+
+
+def test_short_toxic_texts_are_toxic(spark):
+    rng = random.Random(4)
+    plain = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "pu") for b in ("ra", "so", "ti", "vu")]
+    rows = []
+    for i in range(700):
+        body = rng.choices(plain, k=80) + (rng.choices(["zorgix", "zorgiy", "zorgat"], k=6) if i % 4 == 0 else [])
+        rng.shuffle(body)
+        rows.append((i, " ".join(body)))
+    bad = ["zorgix", "Zorgix zorgiy", "zorgat zorgix kara", "zorgix, zorgiy zorgat zorgix", " ".join(["zorgix"] * 40)]
+    good = ["kara", "kara loso", "miti neso pura", "kara loso miti neso"]
+    docs = spark.createDataFrame(rows + list(enumerate(bad + good, 1000)), SCHEMA)
+    known = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(650)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, known)
+    assert [model.score(x) >= 0.5 for x in bad + good] == [True] * len(bad) + [False] * len(good)
+    kept = {r.text for r in toxicity.keep_clean(docs, known).collect()}
+    assert kept.isdisjoint(bad) and kept.issuperset(good)
+    text = " ".join(plain)
+    offset = lambda x: sum(map(model._word, toxicity.words(x))) / len(x.split()) - model.evidence(x)
+    assert offset(text + " zorgix" * 50) == pytest.approx(offset(text))
