@@ -153,8 +153,9 @@ def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
 
     Each of KEYS keys holds some bits of a fingerprint, enough that unrelated texts seldom share one: SPARE more than number the texts. Whoever shares a
     key is proposed with the least and the greatest f among them, so a large group of near copies makes a few links for each member and key,
-    not one for each pair; within a group, whatever links to one of both is together. Proposals whose fingerprints are too far
-    apart are left, and all others are verified on the texts' shingles. No link is wrong, but a pair can be missed: all its keys may differ."""
+    not one for each pair; whatever links to the same one is together. Proposals whose fingerprints are too far
+    apart are left, and all others are verified on the texts' shingles. No link is wrong, but a pair can be missed: all its keys may differ, or
+    where three or more share one, both its members may be unlike the least and the greatest."""
     size = min(48, nodes.count().bit_length() + SPARE)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
