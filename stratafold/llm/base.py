@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,11 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the session names in spark.checkpoint.dir, which all executors share. Only where it names
-    none, as in tests, a folder of this machine is made and set."""
+    none and one machine does all work, as in tests, a folder of this machine is made and set."""
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="stratafold-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stratafold-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        context.setCheckpointDir(named)
+    return named
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -42,6 +51,42 @@ def in_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
+def returned() -> None:
+    """Gives memory that this process no longer uses back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
+def lean(run: Callable) -> Callable:
+    """run, a function for mapInArrow. Spark keeps Python workers for later tasks; here each gives its memory back when a task ends."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            returned()
+
+    return each
+
+
+def stored(docs: DataFrame) -> int:
+    """Bytes of the input as the files hold them, by what Spark knows, or, where it knows nothing, half the bytes of the texts."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= 1 << 60:
+        size = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2
+    return size
+
+
 def chunks(column: pa.Array, most: int) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8; null as empty) of runs of rows with at most `most` bytes together,
     one row at least. No text is cut."""

@@ -4,214 +4,246 @@ Two bigram models of the same form share one vocabulary: a target model, of docu
 model of all documents. A document's score is the mean over its words of the difference between the loss under the
 target model and the loss under the background model: the lower, the more it reads like the target.
 
-The models are tables of counts by word and by bigram that grow with the corpus and stay distributed (counts, losses): nothing of them is
-gathered or broadcast but a row of totals. Words are known by 64 bits of hash, as are bigrams, so that counts are those of single n-grams.
-Each document's bigrams are summed first and joined to the bigrams' losses (by_counts).
-
-fit and scored are the bounded form of the same models, hashed into VOCABULARY and PAIRS entries, in which n-grams of a large corpus share
-entries; op4 does not use it.
+The models are counts of every word and bigram of the corpus, known by 63 bits of hash. They grow with the corpus and stay distributed:
+  1. Documents are dealt to blocks of bounded size, labels with them. A block lists its distinct n-grams in the order of their hashes, with its own
+     counts of them, and sends the list, cut by ranges of hashes, to the parts: a frequent n-gram is one entry for each block.
+  2. A part adds up what all blocks have of an n-gram, and answers each block's list, entry by entry, with what the other blocks have.
+  3. A block lists its n-grams again, adds the answers, and has the whole corpus' counts of whatever its own documents hold.
+Texts are shuffled once, and of an n-gram a block sends some six bytes and gets one or two. Nothing is collected but a row of totals.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import in_batches, table, utf8
+from .base import in_batches, returned, stored, table
 
-#: Entries of the tables, powers of two, and how many of them are summed as one row.
-VOCABULARY, PAIRS, SLICE = 1 << 17, 1 << 19, 1 << 13
 #: Words' worth of weight that the backoff has in every context.
 KAPPA = 32.0
+#: Input bytes, as the files hold them, of a block of documents and of a part of the n-grams.
+BLOCK = 8 << 20
 #: What stands for the word before a text's first one.
-BEGIN = 0
-#: What a word is, in a pattern.
-_WORD = "[^ \t\n\x0b\f\r]+"
+BEGIN = np.uint64(0)
+_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+
 
+class _Hashes(dict):
+    """Words to their hashes."""
 
-def indices(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Entries of a text's words, and of its bigrams, the first of which begins before the text. A-Z are lower-cased; words are parted by ASCII
-    white space."""
-    found = text.lower().split()
-    code = np.fromiter(map(crc32, found), np.uint64, len(found))
-    before = np.concatenate([np.zeros(1, np.uint64), code[:-1]]) if len(code) else code
-    mixed = (before * np.uint64(0x9E3779B97F4A7C15) + code) * np.uint64(0xD6E8FEB86659FD93)
-    return (code % np.uint64(VOCABULARY)).astype(np.int64), (mixed >> np.uint64(32)).astype(np.int64) % PAIRS
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh64_intdigest(word)
+        return found
 
 
-def _contexts(words: np.ndarray) -> np.ndarray:
-    """Entries of the words before; the text's beginning is the entry after all words."""
-    return np.concatenate([[VOCABULARY], words[:-1]]) if len(words) else words
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _B
+    return x ^ (x >> np.uint64(27))
 
 
 @dataclass
-class Model:
-    words: np.ndarray  #: counts of words, and, last, of texts that have any
-    pairs: np.ndarray
-
-    def __post_init__(self) -> None:
-        self.single = (self.words[:VOCABULARY] + 1.0) / (self.words[:VOCABULARY].sum() + VOCABULARY)
-
-    def losses(self, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-        """Negative log-likelihood of each word given the one before it."""
-        context = self.words[_contexts(words)]
-        # Bigrams that share an entry could outnumber a rare context
-        return -np.log((np.minimum(self.pairs[pairs], context) + KAPPA * self.single[words]) / (context + KAPPA))
-
-
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, counts): what one task has counted, in slices: target and background words, pairs."""
-    size = VOCABULARY + 1 + PAIRS
-    tables = np.zeros((2, -(-size // SLICE) * SLICE), np.int32)
-    seen = False
-    for b in batches:
-        texts, good = utf8(b.column("text")), b.column("good").to_numpy(zero_copy_only=False)
-        seen = seen or len(texts) > 0
-        for target in (0, 1):
-            held = [indices(x) for x, g in zip(texts, good, strict=True) if target == 0 or g]
-            held = [x for x in held if len(x[0])]
-            if held:
-                tables[target, :VOCABULARY] += np.bincount(np.concatenate([w for w, _ in held]), minlength=VOCABULARY).astype(np.int32)
-                tables[target, VOCABULARY] += len(held)
-                tables[target, VOCABULARY + 1 : size] += np.bincount(np.concatenate([p for _, p in held]), minlength=PAIRS).astype(np.int32)
-    if seen:
-        cut = tables.reshape(2, -1, SLICE)
-        yield pa.RecordBatch.from_pydict({"part": pa.array(range(cut.shape[1]), pa.int32()), "counts": pa.array([cut[:, i].astype("<i8").tobytes() for i in range(cut.shape[1])], pa.binary())})
-
-
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per part, whatever its place: sums of the tasks' slices."""
-    total: dict[int, np.ndarray] = {}
-    for b in batches:
-        for part, counts in zip(b.column("part").to_pylist(), b.column("counts").to_pylist(), strict=True):
-            counts = np.frombuffer(counts, "<i8")
-            total[part] = total[part] + counts if part in total else counts
-    if total:
-        yield pa.RecordBatch.from_pydict({"part": pa.array(list(total), pa.int32()), "counts": pa.array([x.tobytes() for x in total.values()], pa.binary())})
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[Model, Model]:
-    """(target, background) models: of the documents that any label of theirs calls good (quality 1), and of all. Each task sums its part of the
-    corpus into tables of fixed size, slices of which are summed in parallel; the driver gets one row for each slice."""
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_good")).where("_good is not null").distinct().hint("merge")  # labels grow with the corpus: one plan for all sizes
-    rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, F.col("doc_id") == F.col("_good"), "left").select("text", F.col("_good").isNotNull().alias("good"))
-    parts = -(-(VOCABULARY + 1 + PAIRS) // SLICE)
-    found = rows.mapInArrow(_tables, "part int, counts binary").repartition(parts, "part").mapInArrow(_summed, "part int, counts binary").collect()
-    tables = np.zeros((2, parts, SLICE))
-    for r in found:
-        tables[:, r["part"]] = np.frombuffer(r["counts"], "<i8").reshape(2, SLICE)
-    flat = tables.reshape(2, -1)
-    target, background = (Model(x[: VOCABULARY + 1].copy(), x[VOCABULARY + 1 : VOCABULARY + 1 + PAIRS].copy()) for x in flat[::-1])
-    return target, background
-
-
-def scored(docs: DataFrame, target: Model, background: Model) -> DataFrame:
-    """(doc_id, n_words, target_loss, background_loss, score) per row of docs: mean losses by words, and their difference.
-
-    Null and empty texts, and those without words, have 0 words and null losses and score. Repeated rows are scored alike; without good documents the
-    target model is uniform; an empty table gives an empty result."""
-    held = docs.sparkSession.sparkContext.broadcast((target, background))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, good, plain = [], [], []
-            for text in utf8(b.column("text")):
-                words, pairs = indices(text)
-                n.append(len(words))
-                good.append(float(held.value[0].losses(words, pairs).mean()) if len(words) else None)
-                plain.append(float(held.value[1].losses(words, pairs).mean()) if len(words) else None)
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "n_words": pa.array(n, pa.int64()), "target_loss": pa.array(good, pa.float64()), "background_loss": pa.array(plain, pa.float64())})
-
-    out = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_words long, target_loss double, background_loss double")
-    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
-
-
-def _bigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, word before, word) of every word of the texts, as 64 bits of hash; words are those of indices()."""
-    held = [x.lower().split() for x in texts]
-    sizes = np.fromiter(map(len, held), np.int64, len(held))
-    words = np.fromiter((xxhash.xxh64_intdigest(w) for x in held for w in x), np.uint64, sizes.sum()).view(np.int64)
-    before = np.concatenate([[BEGIN], words[:-1]]).astype(np.int64)[: len(words)]
-    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = BEGIN
-    return np.repeat(np.arange(len(held)), sizes), before, words
-
-
-def _runs(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(order, first of each run of equal rows in that order)."""
-    order = np.lexsort(columns)
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in columns], axis=0)
-    return order, np.flatnonzero(new)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(c, w, b, t): each bigram of a batch, how often it occurs, and how often in good documents."""
-    for x in batches:
-        row, c, w = _bigrams(utf8(x.column("text")))
-        if len(w):
-            good = x.column("good").to_numpy(zero_copy_only=False)[row]
-            order, first = _runs(w, c)
-            yield pa.RecordBatch.from_pydict({"c": c[order][first], "w": w[order][first], "b": np.diff([*first, len(order)]).astype(np.int64), "t": np.add.reduceat(good[order].astype(np.int64), first)})
-
-
-def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(k, c, w, n): each document's bigrams with how often it has them."""
-    for x in batches:
-        row, c, w = _bigrams(utf8(x.column("text")))
-        if len(w):
-            order, first = _runs(w, c, row)
-            at = order[first]
-            yield pa.RecordBatch.from_pydict({"k": x.column("k").to_numpy()[row[at]], "c": c[at], "w": w[at], "n": np.diff([*first, len(order)]).astype(np.int32)})
-
-
-def counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(c, w, b, t): every bigram of the corpus, its count in all documents, and in those that any label of theirs calls good (quality 1)."""
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_good")).where("_good is not null").distinct().hint("merge")  # labels grow with the corpus: one plan for all sizes
-    rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(good, F.col("doc_id") == F.col("_good"), "left").select("text", F.col("_good").isNotNull().alias("good"))
-    return rows.mapInArrow(_counted, "c long, w long, b long, t long").groupBy("c", "w").agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
-
-
-def losses(pairs: DataFrame) -> DataFrame:
-    """(pair, target, background): the negative log-likelihood of every bigram's word after the word before it, under both models.
-
-    A model's likelihood is (count of the bigram + KAPPA * share of the word) / (count of the word before + KAPPA), where the share is
-    (count of the word + 1) / (words of the model + words of the vocabulary); what comes before a text counts once for each text."""
-    begins = F.col("c") == BEGIN
-    words = pairs.groupBy("w").agg(F.sum("b").alias("wb"), F.sum("t").alias("wt"), F.sum(F.when(begins, F.col("b"))).alias("xb"), F.sum(F.when(begins, F.col("t"))).alias("xt"))
-    total = words.agg(F.sum("wb").alias("nb"), F.sum("wt").alias("nt"), F.count("*").alias("v"), F.sum("xb").alias("xb"), F.sum("xt").alias("xt"))
-    words = words.select("w", "wb", "wt")
-    # Neither table of words is ever broadcast, whatever its size; the row of totals is
-    known = pairs.join(words.hint("merge"), "w").join(words.select(F.col("w").alias("c"), F.col("wb").alias("cb"), F.col("wt").alias("ct")).hint("merge"), "c", "left").crossJoin(F.broadcast(total))
-
-    def loss(pair: str, word: str, before: str, words: str, texts: str):
-        context = F.when(begins, F.col(texts)).otherwise(F.col(before))
-        return F.log((context + KAPPA) / (F.col(pair) + KAPPA * (F.col(word) + 1) / (F.col(words) + F.col("v"))))
-
-    return known.select(F.xxhash64("c", "w").alias("pair"), loss("t", "wt", "ct", "nt", "xt").alias("target"), loss("b", "wb", "cb", "nb", "xb").alias("background"))
-
-
-def by_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, n_words, target_loss, background_loss, score) per row of docs: mean losses by words, and their difference.
-
-    Null and empty texts, and those without words, have 0 words and null losses and score. Repeated rows are scored alike; without good documents the
-    target model is uniform; an empty table gives an empty result."""
-    k = F.xxhash64("doc_id", "text").alias("k")
-    rows = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    held = rows.select(k, "text").mapInArrow(_held, "k long, c long, w long, n int").select("k", F.xxhash64("c", "w").alias("pair"), "n")
-    # Means, as rows that are equal in id and text share a k
-    mean = lambda x: F.sum(F.col("n") * F.col(x)) / F.sum("n")
-    found = held.join(losses(counts(docs, labels)).hint("merge"), "pair").groupBy("k").agg(mean("target").alias("target_loss"), mean("background").alias("background_loss"))
-    each = rows.select("doc_id", k, F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("n_words"))
-    return each.join(found, "k", "left").select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
+class _Grams:
+    """Distinct n-grams of a block in the order of their hashes: all counts, those of good documents, and where each token's are."""
+
+    hashes: np.ndarray
+    counts: np.ndarray
+    good: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, good: np.ndarray) -> _Grams:
+        order = np.argsort(hashes)
+        held = hashes[order]
+        new = np.append(True, held[1:] != held[:-1]) if len(held) else np.empty(0, bool)
+        first = np.flatnonzero(new)
+        at = np.empty(len(held), np.int32)
+        at[order] = np.cumsum(new, dtype=np.int32) - 1
+        more = np.add.reduceat(good[order], first, dtype=np.int64) if len(first) else np.empty(0, np.int64)
+        return cls(held[first], np.diff(first, append=len(held)), more, at)
+
+    def edges(self, parts: int) -> np.ndarray:
+        """Where each part's range of hashes begins, and the end."""
+        starts = [(p << 64) // parts for p in range(parts)]
+        return np.append(np.searchsorted(self.hashes, np.array(starts, np.uint64)), len(self.hashes))
+
+
+class _Block:
+    """The documents of a block and their n-grams. Words are parted by ASCII white space, A-Z lower-cased."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        ids, texts, marks = (rows.column(c) for c in ("doc_id", "text", "good"))
+        labelled = {i for i, mark in zip(ids.to_pylist(), marks.to_pylist(), strict=True) if mark}
+        docs = rows.filter(pc.is_null(marks))
+        self.ids = docs.column("doc_id").to_pylist()
+        known = _Hashes()
+        held, sizes = [], []
+        for text in docs.column("text").cast(pa.large_binary()):
+            found = (text.as_py() or b"").lower().split()
+            sizes.append(len(found))
+            held.append(np.fromiter(map(known.__getitem__, found), np.uint64, len(found)))
+        del known, docs, texts
+        self.sizes = np.array(sizes, np.int64)
+        words = np.concatenate(held) if held else np.empty(0, np.uint64)
+        del held
+        self.starts = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
+        good = np.repeat(np.array([i in labelled for i in self.ids], bool), self.sizes)
+        before = np.empty_like(words)
+        before[1:] = words[:-1]
+        before[self.starts] = BEGIN
+        self.pairs = _Grams.of(_mixed(before * _A + words), good)
+        del before
+        # The beginning of a text stands among the words, ahead of all others
+        begins = np.full(len(self.starts), BEGIN)
+        self.words = _Grams.of(np.concatenate([words, begins]), np.concatenate([good, good[self.starts]]))
+        self.words.at = self.words.at[: len(words)]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """First bytes of all values, then all second bytes, and so on, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes())
+
+
+def _values(data: bytes, kind: str) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(wide, -1).T.reshape(-1).view(kind)
+
+
+def _asked(parts: int):
+    """Step 1: a row for each part and kind of n-gram (pairs or words) of which the block has any."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        block = _Block(rows)
+        out: dict[str, list] = {name: [] for name in ("part", "block", "words", "h", "b", "t")}
+        for words, grams in ((False, block.pairs), (True, block.words)):
+            edges = grams.edges(parts).tolist()
+            for part, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                if a < b:
+                    steps = np.diff(grams.hashes[a:b], prepend=np.uint64(0))
+                    for name, value in (("part", part), ("block", rows.column("block")[0].as_py()), ("words", words), ("h", _planes(steps)), ("b", _planes(grams.counts[a:b].astype("<u4"))), ("t", _planes(grams.good[a:b].astype("<u4")))):
+                        out[name].append(value)
+        del block
+        returned()
+        return pa.table([pa.array(out[f.name], f.type) for f in _ASKED_ARROW], schema=_ASKED_ARROW)
+
+    return run
+
+
+_ASKED = "part int, block int, words boolean, h binary, b binary, t binary"
+_ASKED_ARROW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("words", pa.bool_()), ("h", pa.binary()), ("b", pa.binary()), ("t", pa.binary())])
+
+
+def _gathered(rows: pa.Table) -> tuple[list[int], list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Blocks, sizes of their lists, and the lists one after the other: hashes and counts."""
+    h = [np.cumsum(_values(x, "<u8"), dtype=np.uint64) for x in rows.column("h").to_pylist()]
+    b, t = (np.concatenate([_values(x, "<u4") for x in rows.column(c).to_pylist()]).astype(np.int64) for c in ("b", "t"))
+    return rows.column("block").to_pylist(), list(map(len, h)), np.concatenate(h), b, t
+
+
+def _answered(rows: pa.Table) -> pa.Table:
+    """Step 2: (block, words, part, b, t): for each entry of a list, what other blocks have of it."""
+    out: dict[str, list] = {name: [] for name in ("block", "words", "part", "b", "t")}
+    part = rows.column("part")[0].as_py()
+    for words in (False, True):
+        lot = rows.filter(pc.equal(rows.column("words"), words))
+        if not lot.num_rows:
+            continue
+        blocks, sizes, h, b, t = _gathered(lot)
+        order = np.argsort(h)
+        held = h[order]
+        new = np.append(True, held[1:] != held[:-1])
+        first, which = np.flatnonzero(new), np.cumsum(new) - 1
+        del held, h
+        others = []
+        for counts in (b, t):
+            total = np.empty(len(order), np.int64)
+            total[order] = np.add.reduceat(counts[order], first)[which]
+            others.append(total - counts)
+        at = 0
+        for block, size in zip(blocks, sizes, strict=True):
+            for name, value in (("block", block), ("words", words), ("part", part), *((n, _planes(x[at : at + size].astype("<u8"))) for n, x in zip("bt", others, strict=True))):
+                out[name].append(value)
+            at += size
+        del order, others, b, t
+    returned()
+    return pa.table([pa.array(out[f.name], f.type) for f in _ANSWER_ARROW], schema=_ANSWER_ARROW)
+
+
+_ANSWER = "block int, words boolean, part int, b binary, t binary"
+_ANSWER_ARROW = pa.schema([("block", pa.int32()), ("words", pa.bool_()), ("part", pa.int32()), ("b", pa.binary()), ("t", pa.binary())])
+
+
+def _totalled(rows: pa.Table) -> pa.Table:
+    """(v, nb, nt): a part's distinct words and tokens, of all documents and of the good ones."""
+    lot = rows.filter(rows.column("words"))
+    found = (0, 0, 0)
+    if lot.num_rows:
+        _, _, h, b, t = _gathered(lot)
+        word = h != BEGIN
+        found = (len(np.unique(h[word])), int(b[word].sum()), int(t[word].sum()))
+    return pa.table({name: pa.array([x], pa.int64()) for name, x in zip(("v", "nb", "nt"), found, strict=True)})
+
+
+def _summed(grams: _Grams, answers: pa.Table, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The corpus' counts of a block's n-grams."""
+    own = answers.filter(pc.equal(answers.column("words"), words)).sort_by("part")
+    out = []
+    for name, counts in (("b", grams.counts), ("t", grams.good)):
+        others = [_values(x, "<u8").astype(np.int64) for x in own.column(name).to_pylist()]
+        out.append(counts + (np.concatenate(others) if others else np.zeros(0, np.int64)))
+    return out[0], out[1]
+
+
+def _scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    """Step 3: (doc_id, n_words, target_loss, background_loss) of a block's documents."""
+    block = _Block(rows)
+    n = block.sizes
+    losses = [np.zeros(len(n)), np.zeros(len(n))]
+    if len(block.starts):
+        v, nb, nt = (answers.column(c)[0].as_py() for c in ("v", "nb", "nt"))
+        pairs, words = _summed(block.pairs, answers, False), _summed(block.words, answers, True)
+        for i, tokens in ((0, nt), (1, nb)):
+            k = 1 - i
+            word = words[k][block.words.at]
+            context = np.empty_like(word)
+            context[1:] = word[:-1]
+            context[block.starts] = words[k][0]
+            loss = np.log((context + KAPPA) / (pairs[k][block.pairs.at] + KAPPA * (word + 1) / (tokens + v)))
+            losses[i][n > 0] = np.add.reduceat(loss, block.starts) / n[n > 0]
+    ids = pa.array(block.ids, pa.int64())
+    del block
+    returned()
+    return pa.table({"doc_id": ids, "n_words": pa.array(n, pa.int64()), "target_loss": pa.array(losses[0], mask=n == 0), "background_loss": pa.array(losses[1], mask=n == 0)})
+
+
+def scored(docs: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(doc_id, n_words, target_loss, background_loss, score) per row of docs: mean losses by words, and their difference. Documents that any label of
+    theirs calls good (quality 1) make the target model.
+
+    A model's likelihood of a word is (count of the bigram + KAPPA * share of the word) / (count of the word before + KAPPA), where the share is
+    (count of the word + 1) / (words of the model + distinct words of the corpus); what comes before a text counts once for each text that has words.
+
+    Null and empty texts, and those without words, have 0 words and null losses and score. Rows that repeat count, and are scored, once for each; rows
+    that share a doc_id share its label and meet in one block; those without one have none and are dealt by their text. Without good documents the target
+    model is uniform; an empty table gives an empty result. Other columns, whatever their names, are not read. A text has to fit in a task's
+    memory about forty times; `block` is the input's bytes for a block and for a part."""
+    n = max(1, -(-stored(docs.select("doc_id", "text")) // block))
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    to = F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")), F.lit(n)).cast("int").alias("block")
+    marks = labels.where("quality = 1").select(doc_id, F.lit(None).cast("string").alias("text"), F.lit(True).alias("good")).where("doc_id is not null").distinct()
+    dealt = in_batches(docs).select(doc_id, "text", F.lit(None).cast("boolean").alias("good")).unionByName(marks).select(to, "*").repartition(n, "block")
+    asked = dealt.groupBy("block").applyInArrow(_asked(n), _ASKED).repartition(n, "part")
+    totals = asked.groupBy("part").applyInArrow(_totalled, "v long, nb long, nt long").agg(*(F.sum(c).alias(c) for c in ("v", "nb", "nt")))
+    answers = asked.groupBy("part").applyInArrow(_answered, _ANSWER).crossJoin(F.broadcast(totals))  # one row
+    found = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored, "doc_id long, n_words long, target_loss double, background_loss double")
+    return found.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return by_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -3,7 +3,6 @@
 import hashlib
 import random
 import zlib
-from collections import Counter
 
 import duckdb
 import numpy as np
@@ -131,17 +130,15 @@ def test_html():
     assert html.render("a < b & c</p>") .startswith("a < b & c")
 
 
-def test_cross_entropy(spark, docs, empty):
+def test_cross_entropy(spark, docs, odd, empty):
     labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(0, 120, 3)] + [(None, 1)], "doc_id long, quality int")
-    target, background = crossentropy.fit(docs, labels)
-    tokens = [(t or "").encode().lower().split() for t in corpus()]
-    assert background.words[:-1].sum() == sum(map(len, tokens)) and background.words[-1] == sum(map(bool, tokens))
-    assert target.words[:-1].sum() == sum(len(tokens[i]) for i in range(0, 120, 6))
-    pairs = Counter(p for t in corpus() for p in crossentropy.indices((t or "").encode())[1].tolist())
-    assert {i: int(n) for i, n in enumerate(background.pairs) if n} == dict(pairs)
-    got = {r.doc_id: r for r in crossentropy.scored(docs, target, background).collect()}
+    got = {r.doc_id: r for r in crossentropy.scored(docs, labels).collect()}
     assert got[8].score is None and got[7].n_words == 0 and got[0].score == pytest.approx(got[0].target_loss - got[0].background_loss)
-    assert crossentropy.scored(empty, *crossentropy.fit(empty, labels)).count() == 0
+    assert {i: r.n_words for i, r in got.items()} == {i: len((t or "").encode().split()) for i, t in enumerate(corpus())}
+    many = {r.doc_id: r for r in crossentropy.scored(docs, labels, block=500).collect()}  # many blocks and parts
+    assert all(many[i].score == (r.score if r.score is None else pytest.approx(r.score, abs=1e-12)) for i, r in got.items())
+    found = sorted((r.doc_id or 0, r.n_words) for r in crossentropy.scored(odd, labels).collect())
+    assert len(found) == 6 and crossentropy.scored(empty, labels).count() == 0 and crossentropy.scored(docs, labels.limit(0)).count() == len(got)
 
 
 def test_mixing(docs, odd, empty):

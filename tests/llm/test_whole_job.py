@@ -32,12 +32,12 @@ def test_cross_entropy_counts_each_bigram(spark):
 
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     want = sorted((i if i is not None else -1, len(t), loss(models[0], t), loss(models[1], t)) for i, t in tokens)
-    found = [(r.doc_id if r.doc_id is not None else -1, r.n_words, *(math.nan if x is None else x for x in (r.target_loss, r.background_loss))) for r in crossentropy.by_counts(docs, labels).collect()]
+    found = [(r.doc_id if r.doc_id is not None else -1, r.n_words, *(math.nan if x is None else x for x in (r.target_loss, r.background_loss))) for r in crossentropy.scored(docs, labels).collect()]
     assert len(found) == len(want)
     for a, b in zip(sorted(found), want, strict=True):
         assert a == pytest.approx(b, rel=1e-9, nan_ok=True)
-    none = crossentropy.by_counts(docs, labels.where("quality > 1")).where("doc_id = 5").first()
-    assert none.target_loss == pytest.approx(math.log(size)) and crossentropy.by_counts(docs.limit(0), labels).count() == 0
+    none = crossentropy.scored(docs, labels.where("quality > 1")).where("doc_id = 5").first()
+    assert none.target_loss == pytest.approx(math.log(size)) and crossentropy.scored(docs.limit(0), labels).count() == 0
 
 
 def test_pipeline_drops_texts_of_similar_shingles(spark):
