@@ -3,13 +3,14 @@
 A SentencePiece model is a protobuf of scored pieces, a normaliser and a trainer specification. The few fields that matter are
 parsed here and rebuilt as a tokenizer: the normaliser with the metaspace marker, the unigram or merge model with its scores, byte
 fallback and the decoder. A merge model's merges follow from its pieces: whichever two pieces make a third, in the order of its score.
-Texts are encoded in batches by the library's own threads, and the ids are held against the original processor's.
+Texts are encoded in batches by the library's own threads, and every text's ids are held against the original processor's.
 """
 
 from __future__ import annotations
 
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -18,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import in_batches, table
+from .base import in_batches, lean, table
 
 #: Where the default model lies, on every machine. A parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Every document whose hash is 0 modulo this is also encoded by the original processor: all of them.
-VERIFY = 1
+#: Words whose ids by the original processor a worker remembers, at most.
+KNOWN = 1 << 16
 SPACE = "▁"
 #: Kinds of pieces and models (fixed values of the format)
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -101,6 +102,11 @@ def _merges(spec: Spec, ids: dict[str, int]) -> list[tuple[str, str]]:
     return [(a, b) for *_, a, b in sorted(found)]
 
 
+def _by_words(spec: Spec) -> bool:
+    """Whether no piece goes on past the end of a word, so that words can be encoded, and remembered, one by one."""
+    return not any(SPACE in p.lstrip(SPACE) for p, k in zip(spec.pieces, spec.kinds, strict=True) if k in (NORMAL, USER))
+
+
 def build(spec: Spec):
     """The tokenizer of a model."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
@@ -120,8 +126,7 @@ def build(spec: Spec):
         steps.append(normalizers.Prepend(SPACE))
     steps.append(normalizers.Replace(" ", SPACE))
     tokenizer.normalizer = normalizers.Sequence(steps)
-    if not any(SPACE in p.lstrip(SPACE) for p, k in zip(spec.pieces, spec.kinds, strict=True) if k == NORMAL):
-        # No piece goes on past the end of a word, so words can be encoded, and remembered, one by one
+    if _by_words(spec):
         tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"), "isolated")
     back = [decoders.Replace(SPACE, " "), decoders.ByteFallback(), decoders.Fuse()]
     tokenizer.decoder = decoders.Sequence(back + [decoders.Strip(" ", 1, 0)] * spec.dummy_prefix)
@@ -138,34 +143,57 @@ def load(path: str):
     return build(parse(data)), sentencepiece.SentencePieceProcessor(model_proto=data)
 
 
-def encoded(docs: DataFrame, model: str = MODEL, verify: int = VERIFY) -> DataFrame:
+def by_original(path: str) -> Callable[[str], list[int]]:
+    """A function that gives the original processor's ids of a text. Where the model keeps to words and changes nothing but spaces, merges in
+    one word have no bearing on another, and the processor encodes each word once and has it remembered; else it encodes whole texts."""
+    _, original = load(path)
+    with open(path, "rb") as f:
+        spec = parse(f.read())
+    if not (spec.model == MERGES and _by_words(spec) and spec.dummy_prefix and spec.escape) or spec.fewer_spaces or spec.charsmap:
+        return lambda text: original.encode(text, num_threads=1)
+    words, known = re.compile(f"{SPACE}+[^{SPACE}]*").findall, {SPACE: [original.piece_to_id(SPACE)]}
+
+    def ids(text: str) -> list[int]:
+        out: list[int] = []
+        for word in words(SPACE + text.replace(" ", SPACE)) if text else ():
+            found = known.get(word)
+            if found is None:
+                if len(known) > KNOWN:
+                    known.clear()
+                    known[SPACE] = [original.piece_to_id(SPACE)]
+                found = known[word] = original.encode(word[1:], num_threads=1)  # it puts the first space itself
+            out += found
+        return out
+
+    return ids
+
+
+def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """(doc_id, ids, decoded, same) per row of docs: the ids of the whole text, the text that they decode to, and whether the
-    original processor gives the same ids and text (null where it wasn't asked: with a `verify` over 1 it is for every so many texts by hash only).
+    original processor gives the same ids and text, for every row.
 
-    Null and empty texts give no ids and the empty text. Special tokens' strings in a text are ordinary text. Rows that repeat are
-    encoded alike; an empty table gives an empty result. A task holds a batch of about a million characters, or one text."""
+    Null and empty texts give no ids and the empty text. Special tokens' strings in a text are ordinary text. Rows that repeat, or share a doc_id, are
+    encoded alike; a null doc_id stays null; other columns, whatever their names, are not read; an empty table gives an empty result. A task holds a
+    batch of about a million characters, or one text, however long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         tokenizer, original = load(model)
+        asked = by_original(model)
         for b in batches:
             texts = [x or "" for x in b.column("text").to_pylist()]
-            asked = b.column("asked").to_pylist()
             sizes = np.cumsum([len(x) for x in texts])
             edges = [0, *(np.flatnonzero(np.diff(sizes // _BATCH)) + 1).tolist(), len(texts)]
             for first, last in zip(edges, edges[1:], strict=False):
                 lot = texts[first:last]
                 ids = [x.ids if t else [] for x, t in zip(tokenizer.encode_batch_fast(lot, add_special_tokens=False), lot, strict=True)]
                 back = tokenizer.decode_batch(ids, skip_special_tokens=False)
-                same = []
-                for text, own, decoded, ask in zip(lot, ids, back, asked[first:last], strict=True):
-                    same.append(original.encode(text, num_threads=1) == own and original.decode(own) == decoded if ask else None)
+                same = [asked(text) == own and original.decode(own) == decoded for text, own, decoded in zip(lot, ids, back, strict=True)]
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(first, last - first), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(back, pa.string()), "same": pa.array(same, pa.bool_())})
 
-    asked = F.pmod(F.xxhash64("text"), F.lit(verify)) == 0
-    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", asked.alias("asked")).mapInArrow(run, "doc_id long, ids array<int>, decoded string, same boolean")
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, ids array<int>, decoded string, same boolean")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ inducing, named, and sorted recursively as a string of names; two inducing scans
 An inducing scan reads the array in order and writes further on, so plain loops are the usual form.
 Here a scan takes a block at a time: all entries ahead of the nearest slot that the block itself will write
 are final, so their predecessors can be placed together. The work stays linear and the numpy calls
-are few, since blocks grow as long as nothing is written into them.
+are few, since blocks grow as long as nothing is written into them. A long run of one byte writes each entry just ahead of the scan and takes a
+call for each; whoever has such runs should cut them into equal pieces first, as substrings.py does.
 """
 
 from __future__ import annotations
@@ -128,36 +129,37 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     return _sorted(text, int(dense[-1]) + 1)[1:]
 
 
-def shared(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """For suffixes in sorted order (a part of the suffix array will do), whether each has a common prefix of
-    `length` bytes or more with the one before it in that order; every suffix has so many bytes.
-
-    Prefixes are compared in text order (the permuted form): a suffix that shares m bytes with its predecessor
-    leaves m - 1 to the next suffix, so places that follow a shared one are compared in cache."""
-    out = np.zeros(len(order), bool)
-    if len(order) < 2:
-        return out
-    rank = np.full(len(data), -1, np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
-    here = np.flatnonzero(rank > 0)
-    there = order[rank[here] - 1].astype(np.int64)
-    held = np.zeros(len(data) + 8, np.uint8)
-    held[: len(data)] = data
-    # Eight bytes at any place: unaligned words read through eight shifted views
-    views = [held[s : s + (len(held) - s) // 8 * 8].view(np.uint64) for s in range(8)]
-    word = np.empty(len(data) + 1, np.uint64)
+def prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Permuted common prefixes: for each place of data, how many bytes its suffix shares with the one before it in order, the whole suffix array.
+
+    A place is reducible if the byte before it is also the one before that other suffix: the pair of a place earlier then
+    shares one byte more, so the value carries over, less one. Only the other places are compared, eight bytes at a time."""
+    n = len(data)
+    other = np.full(n, -1, np.int32)
+    other[order[1:]] = order[:-1]
+    alone = np.ones(n, bool)
+    alone[1:] = (other[1:] <= 0) | (data[:-1] != data[other[1:] - 1])
+    held = np.zeros(n + 16, np.uint8)
+    held[:n] = data
+    # Eight bytes at any place: words read through eight shifted views
+    word = np.empty(n + 8, np.uint64)
     for s in range(8):
         part = word[s::8]
-        m = min(len(part), len(views[s]))
-        part[:m] = views[s][:m]
-    steps = [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])] if length >= 8 else None
-    if steps is None:
-        for k in range(length):
-            same = held[here + k] == held[there + k]
-            here, there = here[same], there[same]
-    else:
-        for k in steps:
-            same = word[here + k] == word[there + k]
-            here, there = here[same], there[same]
-    out[rank[here]] = True
-    return out
+        part[:] = held[s : s + 8 * len(part)].view("<u8")
+    here = np.flatnonzero(alone & (other >= 0))
+    there = other[here].astype(np.int64)
+    found = np.zeros(n, np.int32)
+    pending, depth = np.arange(len(here)), 0
+    while len(pending):
+        a, b = here[pending] + depth, there[pending] + depth
+        room = np.maximum(a, b) < n
+        pending, a, b = pending[room], a[room], b[room]
+        differ = word[a] ^ word[b]
+        same = np.bitwise_count((differ & -differ) - np.uint64(1)) >> 3  # bytes before the first that differs; 8 for none
+        found[here[pending]] += same
+        pending = pending[same == 8]
+        depth += 8
+    found[here] = np.minimum(found[here], n - np.maximum(here, there))
+    place = np.arange(n, dtype=np.int32)
+    last = np.maximum.accumulate(np.where(alone, place, 0))
+    return found[last] - (place - last)

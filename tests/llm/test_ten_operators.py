@@ -1,6 +1,7 @@
 """The ten operators on small cases: brute force, round trips, odd rows."""
 
 import hashlib
+import os
 import random
 import zlib
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stratafold.llm import crossentropy, html, lines, media, mixing, multiset, pieces, queries, simhash, substrings, toxicity
 from stratafold.llm.components import components
-from stratafold.llm.suffix import shared, suffix_array
+from stratafold.llm.suffix import prefixes, suffix_array
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size_ int, k string"
 WORDS = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "pu") for b in ("ra", "so", "ti", "vu")]
@@ -32,6 +33,7 @@ def corpus(n=120, seed=3):
             text = (texts[-1] or "").replace("ka", "kaa", 1)
         texts.append(text)
     texts[7], texts[8], texts[9], texts[10] = "", None, "   \n\t", "A" * 5000
+    texts[11], texts[12] = "ab" * 700 + "x" * 300, "x" * 200 + "ba" * 400
     return texts
 
 
@@ -198,8 +200,9 @@ def test_suffix_array():
             raw = data.tobytes()
             order = suffix_array(data)
             assert order.tolist() == sorted(range(n), key=lambda i: raw[i:])
-            part = order[order <= n - 9]
-            assert shared(data, part, 9).tolist() == [i > 0 and raw[part[i] : part[i] + 9] == raw[part[i - 1] : part[i - 1] + 9] for i in range(len(part))]
+            got = prefixes(data, order).tolist() if n else []
+            assert [got[i] for i in order[1:]] == [len(os.path.commonprefix([raw[i:], raw[j:]])) for i, j in zip(order, order[1:], strict=False)]
+            assert not n or got[order[0]] == 0
 
 
 def test_substrings(docs, odd, empty):
@@ -248,8 +251,8 @@ def test_pieces(docs, odd, empty):
     for t in texts[1:]:
         ids = tokenizer.encode(t, add_special_tokens=False).ids if t else []
         assert ids == original.encode(t) and tokenizer.decode(ids, skip_special_tokens=False) == original.decode(ids)
-    got = {r.doc_id: r for r in pieces.encoded(docs, verify=1).collect()}
-    assert all(r.same for r in got.values() if r.same is not None) and got[8].ids == [] and got[0].decoded == corpus()[0]
+    got = {r.doc_id: r for r in pieces.encoded(docs).collect()}
+    assert all(r.same for r in got.values()) and got[8].ids == [] and got[0].decoded == corpus()[0]
     assert pieces.encoded(odd).count() == 6 and pieces.encoded(empty).count() == 0
 
 
