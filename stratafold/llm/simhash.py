@@ -10,7 +10,7 @@ buckets stay small for far more fingerprints than 32 bits would allow. An equali
 proposes pairs, in which a wildcard bucket joins only members with that bit clear to members with it
 set, and the whole distance decides within the join.
 
-similar_links serves a similarity of shingle sets, far more bits apart than segments can hold: see there.
+similar_roots serves a similarity of shingle sets, far more bits apart than segments can hold: see there.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import cut, in_batches, utf8
+from .base import cut, in_batches, lean, utf8
 from .components import components
 
 #: The longest distance that two segments can serve.
@@ -48,15 +48,20 @@ def simhash(data: bytes, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(over, bitorder="little").view("<i8")[0])
 
 
+def _tag() -> Column:
+    """What tells rows that share a doc_id apart."""
+    return F.xxhash64("text").alias("tag")
+
+
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp: long), one row per row of docs. A null text counts as empty; a null doc_id stays."""
+    """(doc_id, tag, fp: long), one row per row of docs. A null text counts as empty; a null doc_id stays; tag is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = pa.array([simhash(x, words) for x in utf8(b.column(1))], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), fps], ["doc_id", "fp"])
+            fps = pa.array([simhash(x, words) for x in utf8(b.column("text"))], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tag"), fps], ["doc_id", "tag", "fp"])
 
-    return in_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), _tag(), "text").mapInArrow(lean(run), "doc_id long, tag long, fp long")
 
 
 def _keys(fps: DataFrame, side: int) -> DataFrame:
@@ -138,27 +143,27 @@ def _places(size: int) -> np.ndarray:
 
 
 def long_fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, f: long, fp: binary), one row per row of docs; f is shared by texts of the same words."""
+    """(doc_id, tag, f: long, fp: binary), one row per row of docs; f is shared by texts of the same words, tag is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held = [_parts(x) for x in utf8(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(map(_text, held), pa.int64()), pa.array([long_simhash(x, words) for x in held], pa.binary())], ["doc_id", "f", "fp"])
+            known: dict[bytes, tuple[int, bytes]] = {}  # copies are often near each other
+            f, fp = [], []
+            for text in utf8(b.column("text")):
+                if text not in known:
+                    parts = _parts(text)
+                    known[text] = _text(parts), long_simhash(parts, words)
+                f.append(known[text][0])
+                fp.append(known[text][1])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tag"), pa.array(f, pa.int64()), pa.array(fp, pa.binary())], ["doc_id", "tag", "f", "fp"])
 
-    return in_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, f long, fp binary")
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), _tag(), "text").mapInArrow(lean(run), "doc_id long, tag long, f long, fp binary")
 
 
-def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(u, v): pairs of nodes (f, fp) whose texts' shingle sets have that similarity or more.
-
-    Each of KEYS keys holds some bits of a fingerprint, enough that unrelated texts seldom share one: SPARE more than number the texts. Whoever shares a
-    key is proposed with the least and the greatest f among them, so a large group of near copies makes a few links for each member and key,
-    not one for each pair; whatever links to the same one is together. Proposals whose fingerprints are too far
-    apart are left, and all others are verified on the texts' shingles. No link is wrong, but a pair can be missed: all its keys may differ, or
-    where three or more share one, both its members may be unlike the least and the greatest."""
-    size = min(48, nodes.count().bit_length() + SPARE)
+def _keyed(size: int):
+    """(key, f): the KEYS keys of each fingerprint, of `size` bits each."""
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.int64(1) << np.arange(size, dtype=np.int64)
         for b in batches:
             if b.num_rows:
@@ -166,6 +171,13 @@ def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
                 keys = np.stack([(bits[:, p] @ weights) + (np.int64(i) << np.int64(size)) for i, p in enumerate(_places(size))], 1)
                 yield pa.RecordBatch.from_pydict({"key": keys.reshape(-1), "f": np.repeat(b.column("f").to_numpy(), KEYS)})
 
+    return run
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) of nodes (f, fp) whose texts' shingle sets have that similarity or more. Those whose fingerprints are too far apart are
+    left without a look at their texts."""
+
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         most = _far(similarity)
         for b in batches:
@@ -177,59 +189,87 @@ def similar_links(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([_text(_parts(x)) for x in utf8(b.column("text"))], pa.int64()), b.column("text")], ["f", "text"])
 
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             stay = [similarity_of(x, y, words) >= similarity for x, y in zip(utf8(b.column("a")), utf8(b.column("b")), strict=True)]
             yield pa.RecordBatch.from_pydict({"u": b.column("u"), "v": b.column("v")}).filter(pa.array(stay, pa.bool_()))
 
-    keys = nodes.select("f", "fp").mapInArrow(keyed, "key long, f long")
+    side = lambda df, name, held, to: df.select(F.col("f").alias(name), F.col(held).alias(to))
+    proposed = cut(pairs.join(side(nodes, "u", "fp", "a"), "u").join(side(nodes, "v", "fp", "b"), "v").select("u", "v", "a", "b").mapInArrow(near, "u long, v long"))
+    asked = proposed.select("u").union(proposed.select("v")).distinct().withColumnRenamed("u", "f")
+    found = in_batches(docs).select("text").mapInArrow(lean(texts), "f long, text string").join(asked, "f", "left_semi").dropDuplicates(["f"])
+    return proposed.join(side(found, "u", "text", "a"), "u").join(side(found, "v", "text", "b"), "v").select("u", "v", "a", "b").mapInArrow(lean(alike), "u long, v long")
+
+
+def similar_roots(docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(node, root): components of nodes (f, fp) whose texts' shingle sets have that similarity or more; nodes without a link may lack.
+
+    Each of KEYS keys holds some bits of a fingerprint, enough that unrelated texts seldom share one: SPARE more than number the texts. Whoever
+    shares a key is proposed with the least and the greatest f among them, so a group makes no pairs by the square of its size. First each text is held
+    against the one that it shares most keys with, which links nearly all members of a large group of near copies by one proposal each. Then whatever
+    else shares a key and isn't in one component yet is proposed. All proposals are verified on the texts' shingles. No link is wrong, but a pair can be
+    missed: all its keys may differ, or where three or more share one, both its members may be unlike the least and the greatest."""
+    size = min(48, nodes.count().bit_length() + SPARE)
+    keys = nodes.select("f", "fp").mapInArrow(_keyed(size), "key long, f long")
     # Cut, so that Spark can split a frequent key's rows
     ends = cut(keys.groupBy("key").agg(F.min("f").alias("first"), F.max("f").alias("last")).where("first <> last"))
-    shared = keys.join(ends, "key").select("f", F.explode(F.array("first", "last")).alias("v")).where("f <> v").select(F.least("f", "v").alias("u"), F.greatest("f", "v").alias("v")).distinct()
-    side = lambda name, to: nodes.select(F.col("f").alias(name), F.col("fp").alias(to))
-    proposed = cut(shared.join(side("u", "a"), "u").join(side("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(near, "u long, v long"))
-    asked = proposed.select(F.explode(F.array("u", "v")).alias("f")).distinct()
-    found = in_batches(docs).select("text").mapInArrow(texts, "f long, text string").join(asked, "f", "left_semi").dropDuplicates(["f"])
-    whole = lambda name, to: found.select(F.col("f").alias(name), F.col("text").alias(to))
-    return proposed.join(whole("u", "a"), "u").join(whole("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(verified, "u long, v long")
+    met = keys.join(ends, "key").select("f", F.explode(F.array("first", "last")).alias("v")).where("f <> v")
+    pairs = cut(met.groupBy("f", "v").agg(F.count("*").cast("int").alias("n")))
+    best = pairs.groupBy("f").agg(F.max(F.struct("n", "v")).alias("best")).select(F.least("f", "best.v").alias("u"), F.greatest("f", "best.v").alias("v")).distinct()
+    first = cut(components(verified(best, docs, nodes, words, similarity)))
+
+    def rooted(df: DataFrame, name: str) -> DataFrame:
+        known = first.select(F.col("node").alias(name), F.col("root").alias("root_"))
+        return df.join(known, name, "left").withColumn(f"{name}_root", F.coalesce("root_", name)).drop("root_")
+
+    apart = rooted(rooted(pairs.select(F.least("f", "v").alias("u"), F.greatest("f", "v").alias("v")).distinct(), "u"), "v").where("u_root <> v_root")
+    more = rooted(rooted(verified(apart.select("u", "v"), docs, nodes, words, similarity), "u"), "v")
+    second = cut(components(more.select(F.col("u_root").alias("u"), F.col("v_root").alias("v"))))
+    over = second.select(F.col("node").alias("root"), F.col("root").alias("over"))
+    return first.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(second.join(first, "node", "left_anti"))
 
 
-def _rooted(fps: DataFrame, distinct: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """fps with component_id, the smallest doc_id of what the links (found) make one; distinct: (key, least)."""
-    rooted = distinct.join(components(found).withColumnRenamed("node", key), key, "left").select(key, "least", F.coalesce("root", key).alias("root"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(key, "component_id")
-    return fps.join(named, key).select("doc_id", key, "component_id")
+def _rooted(fps: DataFrame, distinct: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """fps with root, the same in one component, and component_id, the smallest doc_id in it; distinct: (key, least); roots: (node, root)."""
+    rooted = distinct.join(roots.withColumnRenamed("node", key), key, "left").select(key, "least", F.coalesce("root", key).alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(key, "component_id", "root")
+    return fps.join(named, key).select("doc_id", key, "component_id", "tag", "root")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id), one row per row of docs. component_id is the smallest doc_id that can be
-    reached over links of BITS differing bits or fewer.
+    """(doc_id, fp, component_id, tag, root), one row per row of docs. component_id is the smallest doc_id that can be
+    reached over links of BITS differing bits or fewer; rows of one component share a root; tag is a hash of the text.
 
     Rows with equal fingerprints meet once, in an aggregate with a partial sum, before any pair is
     sought, so a large group of copies counts as one fingerprint. Null and empty texts have
     fingerprint 0 and are linked like any other. Rows that repeat a doc_id each get their row. A null doc_id is never a
-    component's id unless the component has no other. An empty table gives an empty result."""
+    component's id unless the component has no other. Texts may be of any length: each is handled alone. Other columns, whatever their names, are
+    not read. An empty table gives an empty result."""
     fps = cut(fingerprints(docs, words))
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    return _rooted(fps, distinct, links(distinct.select(F.col("fp").alias("f"))), "fp")
+    return _rooted(fps, distinct, components(links(distinct.select(F.col("fp").alias("f")))), "fp")
 
 
 def similar(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, f, component_id), like near_duplicates, over links between texts whose shingle sets are that similar or more
-    (similar_links); texts of the same words meet first, as one f. Texts without words are one component."""
+    """(doc_id, f, component_id, tag, root), like near_duplicates, over links between texts whose shingle sets are that similar or more
+    (similar_roots); texts of the same words meet first, as one f. Texts without words are one component."""
     fps = cut(long_fingerprints(docs, words))
     distinct = cut(fps.groupBy("f").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")))
-    return _rooted(fps, distinct.select("f", "least"), similar_links(docs, distinct, words, similarity), "f")
+    return _rooted(fps, distinct.select("f", "least"), similar_roots(docs, distinct, words, similarity), "f")
 
 
 def keep_one(docs: DataFrame, words: int = 3, similarity: float | None = None) -> DataFrame:
     """docs without the documents that have a near duplicate of a smaller doc_id in their component: one
     doc_id of each component stays, with its columns as they were. Near are texts of BITS differing bits or fewer or, given a similarity, those
-    whose shingles are that similar. Rows that share a doc_id stay or go together, but for those
-    whose own text put them into another component; rows without a doc_id stay only as the sole members."""
+    whose shingles are that similar. Rows that share a doc_id are judged each by the component that its own text put it into: a copy of another
+    document goes, whatever else has its doc_id. A row without a doc_id stays only where its component has none with one, and there only the
+    rows of one text stay."""
     found = near_duplicates(docs, words) if similarity is None else similar(docs, words, similarity)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(stay.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    found = cut(found.select("doc_id", "tag", "component_id", "root"))
+    named = found.where("doc_id = component_id").select("doc_id", "tag").distinct()
+    nameless = found.where("component_id is null").groupBy("root").agg(F.min("tag").alias("tag")).select(F.lit(None).cast("long").alias("doc_id"), "tag")
+    stay = named.unionByName(nameless).select(F.col("doc_id").alias("_kept"), F.col("tag").alias("_tag"))
+    return docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")) & (_tag() == F.col("_tag")), "left_semi")
 
 
 def op1(spark, sf_dir):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import in_batches, table
+from .base import in_batches, lean, returned, table
 
 #: Toxic rows that the models are fitted on, at most, and ordinary rows for each of them. The curve takes a quarter of both.
 TRAIN, ORDINARY = 2_500, 3
@@ -190,14 +190,23 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "score": pa.array([held.value.score(x) for x in b.column("text").to_pylist()], pa.float64())})
 
-    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, train: int = TRAIN) -> DataFrame:
     """docs without rows whose score is 0.5 or more, with their columns as they were."""
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, train))
-    score = F.pandas_udf(lambda text: text.map(lambda x: held.value.score(x)).astype("float64"), "double")
-    return docs.where(score(F.coalesce("text", F.lit(""))) < 0.5)
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for x in texts:
+                yield pa.array([held.value.score(text) for text in x.to_pylist()], pa.float64())
+        finally:
+            held.value._seen.clear()
+            returned()
+
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return in_batches(docs).where(F.arrow_udf(run, "double")(F.coalesce("text", F.lit(""))) < 0.5)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
