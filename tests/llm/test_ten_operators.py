@@ -175,20 +175,31 @@ def test_targets_fill(spark):
 
 
 def test_lines(docs, odd, empty):
-    seen, want = set(), {}
-    for i, t in enumerate(corpus()):
-        stay, gone, at = [], [], 0
-        for unit in (t or "").split("\n"):
-            plain = lines.normalised(unit)
-            if len(plain) >= lines.LEAST and plain in seen:
-                gone.append((at, at + len(unit)))
-            else:
-                stay.append(unit)
-            if len(plain) >= lines.LEAST:
-                seen.add(plain)
-            at += len(unit) + 1
-        want[i] = ("\n".join(stay), gone)
-    assert {r.row_.doc_id: (r.kept, [tuple(x) for x in r.gone]) for r in lines.without_repeats(docs).collect()} == want
+    def units(text):  # character by character
+        out, begin = [], 0
+        for i, c in enumerate(text):
+            after = text[i + 1] if i + 1 < len(text) else "\n"
+            if c == "\n":
+                begin = i + 1
+            elif after == "\n" or (c in ".!?" and after not in ".!?"):
+                out.append((begin, i + 1))
+                begin = i + 1
+        return out
+
+    for least in (1, lines.LEAST):
+        seen, want = set(), {}
+        for i, t in enumerate(corpus()):
+            t, stay, gone = t or "", list(t or ""), []
+            for x, y in units(t):
+                plain = lines.normalised(t[x:y])
+                if plain and len(plain.split(" ")) >= least:
+                    if plain in seen:
+                        gone.append((x, y))
+                        stay[x:y] = [""] * (y - x)
+                    seen.add(plain)
+            want[i] = ("".join(stay), gone, len(units(t)))
+        assert {r.row_.doc_id: (r.kept, [tuple(x) for x in r.gone], r.n_units) for r in lines.without_repeats(docs, least).collect()} == want
+        assert any(gone for _, gone, _ in want.values())
     assert lines.without_repeats(odd).count() == 6 and lines.without_repeats(empty).count() == 0
 
 

@@ -78,8 +78,15 @@ def test_pieces_hold_every_text_against_the_original(spark):
 
 def test_lines_drop_short_repeats(spark):
     docs = spark.createDataFrame([(1, "Menu\n\nx\nfirst text"), (2, " menu \n\nX\nx\n \t\nsecond text"), (3, "Reply\nMENU")], SCHEMA)
+    found = {r.row_.doc_id: r.kept for r in lines.without_repeats(docs, least=1).collect()}
+    assert found == {1: "Menu\n\nx\nfirst text", 2: "\n\n\n\n \t\nsecond text", 3: "Reply\n"}
+
+
+def test_lines_drop_passages_inside_of_lines(spark):
+    passage = "It was the last of the nine long winters here. Nobody could say why the old bridge had been left to fall!"
+    docs = spark.createDataFrame([(1, f"One text. {passage} And so on."), (2, f"Quite another text ends; {passage}\nAnd so on."), (3, "And so on. Nothing else.")], SCHEMA)
     found = {r.row_.doc_id: r.kept for r in lines.without_repeats(docs).collect()}
-    assert found == {1: "Menu\n\nx\nfirst text", 2: "\n \t\nsecond text", 3: "Reply"}
+    assert found == {1: f"One text. {passage} And so on.", 2: "Quite another text ends; It was the last of the nine long winters here.\nAnd so on.", 3: "And so on. Nothing else."}
 
 
 def test_short_toxic_texts_are_toxic(spark):
