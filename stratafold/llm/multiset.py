@@ -5,9 +5,10 @@ vectors, lane by lane, modulo a power of two. Sums don't depend on the order, so
 any order have equal fingerprints, and a paragraph is put in or taken out by adding or subtracting its vector.
 
 The vector has two parts. EXACT lanes of 32 bits, modulo 2**32, come from four seeded 64-bit hashes and decide equality. The
-rest is for likeness: each of the paragraph's pieces (sentences) is hashed to 120 lanes of one bit, three to a word with 20 bits
-for each, modulo 2**60. Taken from half their pieces' number, lanes are sums of plus or minus a half, so the scalar product of two
-fingerprints estimates what the texts share. Everything is a SQL expression; a text never leaves the JVM.
+rest is for likeness: each of the paragraph's pieces (sentences) is hashed to 120 lanes of one bit, three to a word, each modulo 2**20 with a spare
+bit above it that takes the carry and is cleared. About half their pieces' number, lanes are sums of plus or minus a half, so the scalar product of two
+fingerprints estimates what the texts share. The fingerprint's text form holds all of the vector, and likeness is a function of two of these
+alone. Everything is a SQL expression; a text never leaves the JVM.
 """
 
 from __future__ import annotations
@@ -22,16 +23,16 @@ from .base import table
 PARAGRAPH = "\\n"
 PIECE = "[\\n.!?]+"
 _SEEDS = (11, 23, 37, 51)
-_MASK = (1 << 60) - 1
 _LANE = (1 << 20) - 1
-_ONES = 1 | 1 << 20 | 1 << 40
-#: A bucket of the search for the next document holds 2 to this power doc_ids.
-BUCKET = 9
+_ONES = 1 | 1 << 21 | 1 << 42
+_MASK = _LANE * _ONES
+#: Rows for each bucket of the search for the next document, and buckets at most. Beyond them buckets grow, and a window's rows spill to disk.
+ROWS, BUCKETS = 64, 4096
 
 
 def vector(text: Column) -> Column:
     """The fingerprint of a text as an array of longs: the number of pieces, 8 exact lanes, 40 words of likeness lanes. Null counts
-    as empty, which has one paragraph, the empty one, and no pieces."""
+    as empty, which has one paragraph, the empty one, and no pieces. A text may be of any length: sums are modulo powers throughout."""
     whole = F.coalesce(text, F.lit(""))
     paragraphs = F.split(whole, PARAGRAPH)
     pieces = F.filter(F.transform(F.split(whole, PIECE), lambda x: F.trim(x)), lambda x: x != "")
@@ -49,10 +50,13 @@ def vector(text: Column) -> Column:
 
 
 def _fold(v: Column, w: Column, sign: int) -> Column:
+    spare = (_LANE + 1) * _ONES
+
     def lane(a: Column, b: Column, i: Column) -> Column:
-        mask = F.when(i < 8, F.lit(0xFFFFFFFF)).otherwise(F.lit(_MASK))
-        # Masked before it is taken away, so that no difference falls below zero; b is at most the mask
-        return (a + b if sign > 0 else a + (mask + 1 - b)).bitwiseAND(mask)
+        wide = F.when(i < 8, F.lit(0xFFFFFFFF)).when(i == 8, F.lit((1 << 62) - 1)).otherwise(F.lit(_MASK))
+        # The spare bits are lent before anything is taken away, so that no lane borrows from its neighbour
+        lent = F.when(i < 8, F.lit(1 << 32)).when(i == 8, F.lit(0)).otherwise(F.lit(spare))
+        return (a + b if sign > 0 else a + lent - b).bitwiseAND(wide)
 
     return F.transform(F.arrays_zip(v.alias("a"), w.alias("b")), lambda x, i: lane(x["a"], x["b"], i))
 
@@ -67,20 +71,33 @@ def take_out(v: Column, paragraphs: Column) -> Column:
     return _fold(v, vector(paragraphs), -1)
 
 
-def exact(v: Column) -> Column:
-    """The lanes that decide equality, as 64 hex digits."""
-    return F.lower(F.array_join(F.transform(F.slice(v, 1, 8), lambda x: F.lpad(F.hex(x), 8, "0")), ""))
+def written(v: Column) -> Column:
+    """A fingerprint as text: 8 hex digits for each exact lane, then 16 for the number of pieces and for each word of likeness lanes."""
+
+    def digits(part: Column, n: int) -> Column:
+        return F.array_join(F.transform(part, lambda x: F.lpad(F.hex(x), n, "0")), "")
+
+    return F.lower(F.concat(digits(F.slice(v, 1, 8), 8), digits(F.slice(v, 9, 41), 16)))
+
+
+def read(fingerprint: Column) -> Column:
+    """The fingerprint that written() has made text of."""
+
+    def longs(first: int, n: int, width: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.conv(F.substring(fingerprint, F.lit(first) + i * width, F.lit(width)), 16, 10).cast("long"))
+
+    return F.concat(longs(1, 8, 8), longs(65, 41, 16))
 
 
 def _lanes(v: Column) -> Column:
-    """Likeness lanes about their middle."""
-    middle = v[8] / 2.0
+    """Likeness lanes about their middle, half the number of pieces: what a lane has more or less, which is far below 2**19 for any text."""
+    half, odd = F.shiftright(v[8], 1), (v[8] % 2) / 2.0
     words = F.slice(v, 10, 40)
 
     def third(shift: int) -> Column:
-        return F.transform(words, lambda x: F.shiftrightunsigned(x, shift).bitwiseAND(_LANE) - middle)
+        return F.transform(words, lambda x: (F.shiftrightunsigned(x, shift) - half + (1 << 19)).bitwiseAND(_LANE) - (1 << 19) - odd)
 
-    return F.concat(third(0), third(20), third(40))
+    return F.concat(third(0), third(21), third(42))
 
 
 def _product(a: Column, b: Column) -> Column:
@@ -89,27 +106,53 @@ def _product(a: Column, b: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: 1 where the exact lanes are equal, else the cosine of two fingerprints, at least 0. It
-    estimates how many sentences two texts share, to about 0.1."""
+    estimates how many sentences two texts share, with a deviation of about 0.1."""
     x, y = _lanes(a), _lanes(b)
     norm = F.sqrt(_product(x, x) * _product(y, y))
     cosine = F.when(norm > 0, _product(x, y) / norm).otherwise(0.0)
     return F.when(F.slice(a, 1, 8) == F.slice(b, 1, 8), 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), cosine)))
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, vec, next_text, next_vec) per row of docs: next is the following one by descending doc_id, the first after
-    the last. Null texts are empty; null doc_ids come last; rows that share a doc_id are ordered by text.
+def _bounds(docs: DataFrame, rows: int, buckets: int) -> list[int]:
+    """Rising doc_ids that part docs into buckets of about so many rows each; so many buckets at most."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    n = min(ids.count() // rows, buckets - 1)
+    if n < 1:
+        return []
+    found = ids.agg(F.percentile_approx("doc_id", [i / (n + 1) for i in range(1, n + 1)], 4 * buckets).alias("at")).first()
+    return sorted({int(x) for x in found["at"] or ()})
+
+
+def _bucket(doc_id: Column, bounds: list[int]) -> Column:
+    """How many of the bounds are at most doc_id, by halving; -1 for null."""
+    if not bounds:
+        return F.when(doc_id.isNull(), -1).otherwise(0)
+    held = F.lit(bounds)
+
+    def step(found: Column, width: Column) -> Column:
+        there = F.least(found + width, F.lit(len(bounds)))
+        return F.when(F.element_at(held, there) <= doc_id, there).otherwise(found)
 
-    doc_ids are bucketed, so that a window sees 2 ** BUCKET of them at most (more only where rows share doc_ids), and a bucket's last
-    row takes the first row of the next bucket that has any. Only bucket numbers are ordered in one task."""
-    bucket = F.coalesce(F.shiftright(F.col("doc_id").cast("long"), BUCKET), F.lit(-(1 << 62)))
-    rows = docs.select(bucket.alias("bucket"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    widths = [1 << i for i in range(len(bounds).bit_length() - 1, -1, -1)]
+    return F.when(doc_id.isNull(), -1).otherwise(F.aggregate(F.lit(widths), F.lit(0), step))
+
+
+def with_next(docs: DataFrame, rows: int = ROWS, buckets: int = BUCKETS) -> DataFrame:
+    """(doc_id, text, vec, next_text, next_vec) per row of docs: next is the following one by descending doc_id, the first after
+    the last. Null texts are empty; null doc_ids come last; rows that share a doc_id are ordered by text. Other columns, whatever their names, are not
+    read; an empty table gives an empty result.
+
+    Documents are parted by quantiles of their doc_ids, so that a window sees a bucket of them, however the ids lie (more only where rows share
+    a doc_id), and a bucket's last row takes the first row of the next bucket that has any. A few thousand numbers of buckets at most are ordered in
+    one task, and as many bounds reach the driver."""
+    doc_id = F.col("doc_id").cast("long")
+    held = docs.select(_bucket(doc_id, _bounds(docs, rows, buckets)).alias("bucket"), doc_id.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     order = W.partitionBy("bucket").orderBy(F.col("doc_id").desc_nulls_last(), "text")
-    heads = rows.withColumn("rank", F.row_number().over(order)).where("rank = 1").select(F.col("bucket").alias("below"), F.col("text").alias("head_text"), vector(F.col("text")).alias("head_vec"))
+    heads = held.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("bucket", "text")
     down = W.orderBy(F.col("bucket").desc())
-    below = docs.select(bucket.alias("bucket")).distinct().select("bucket", F.coalesce(F.lead("bucket").over(down), F.first("bucket").over(down)).alias("below"))
-    edges = below.join(heads, "below").select("bucket", "head_text", "head_vec")
-    led = rows.withColumn("vec", vector(F.col("text"))).select("*", F.lead("text").over(order).alias("lead_text"), F.lead("vec").over(order).alias("lead_vec"))
+    below = held.groupBy("bucket").agg(F.lit(1).alias("one")).select("bucket", F.coalesce(F.lead("bucket").over(down), F.first("bucket").over(down)).alias("below"))
+    edges = below.join(heads.select(F.col("bucket").alias("below"), F.col("text").alias("head_text"), vector(F.col("text")).alias("head_vec")), "below").select("bucket", "head_text", "head_vec")
+    led = held.withColumn("vec", vector(F.col("text"))).select("*", F.lead("text").over(order).alias("lead_text"), F.lead("vec").over(order).alias("lead_vec"))
     return led.join(edges, "bucket").select("doc_id", "text", "vec", F.coalesce("lead_text", "head_text").alias("next_text"), F.coalesce("lead_vec", "head_vec").alias("next_vec"))
 
 
@@ -124,4 +167,4 @@ def compared(docs: DataFrame) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
     vec, edited, after = F.col("vec"), F.col("edited_vec"), F.col("next_vec")
-    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), exact(vec).alias("fingerprint"), exact(edited).alias("edited_fingerprint"), likeness(vec, edited).alias("near_edited"), likeness(vec, after).alias("near_next"))
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), written(vec).alias("fingerprint"), written(edited).alias("edited_fingerprint"), likeness(vec, edited).alias("near_edited"), likeness(vec, after).alias("near_next"))

@@ -3,11 +3,13 @@
 import hashlib
 import os
 import random
+import re
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from stratafold.llm import crossentropy, html, lines, media, mixing, multiset, pieces, queries, simhash, substrings, toxicity
@@ -272,19 +274,74 @@ def test_unigram_spec():
     assert pieces.build(spec).encode("ab a").tokens == ["▁ab", "▁", "a"]
 
 
-def test_multiset(spark, docs, empty):
+def test_multiset(spark, docs, odd, empty):
     texts = corpus()
     got = {r.doc_id: r for r in multiset.compared(docs).collect()}
     for i, t in enumerate(texts):
         t, after = t or "", texts[(i - 1) % len(texts)] or ""
         half = len(t) // 2
         assert got[i].n_chars == len(t) and got[i].edited == t[: len(t) - half] + after[:half]
-    assert got[0].vec == got[1].vec and got[0].next_vec == got[len(texts) - 1].vec
+        assert got[i].vec == by_hand(t) and got[i].edited_vec == by_hand(got[i].edited) and got[i].next_vec == by_hand(after)
     v = lambda x: multiset.vector(F.lit(x))
     r = spark.range(1).select((v("a.\nb c.") == v("b c.\na.")).alias("order"), (multiset.put_in(v("a."), F.lit("b c.")) == v("b c.\na.")).alias("put"), (multiset.take_out(v("a.\nb c."), F.lit("b c.")) == v("a.")).alias("take"), multiset.likeness(v("a"), v("a")).alias("same"), multiset.likeness(v("x y. z. q. r"), v("k. l. m. n")).alias("far")).first()
     assert r.order and r.put and r.take and r.same == 1.0 and r.far < 0.5
     one = spark.createDataFrame([(5, "ab")], "doc_id long, text string")
-    assert multiset.compared(one).first().edited == "aa" and multiset.compared(empty).count() == 0
+    assert multiset.compared(one).first().edited == "aa" and multiset.compared(empty).count() == 0 and multiset.compared(odd).count() == 6
+
+
+def by_hand(text):
+    exact, like = [0] * 8, [0] * 120
+    for p in text.split("\n"):
+        for i, seed in enumerate(multiset._SEEDS):
+            h = xxhash.xxh64_intdigest(p.encode(), spark_seed(seed))
+            exact[2 * i] = (exact[2 * i] + h) % 2**32
+            exact[2 * i + 1] = (exact[2 * i + 1] + (h >> 32)) % 2**32
+    pieces = [x.strip(" ") for x in re.split(multiset.PIECE, text)]
+    pieces = [x for x in pieces if x]
+    for p in pieces:
+        for j, seed in enumerate(multiset._SEEDS[:2]):
+            h = xxhash.xxh64_intdigest(p.encode(), spark_seed(seed))
+            for i in range(20):
+                for third in range(3):
+                    like[(20 * j + i) * 3 + third] += h >> (i + 21 * third) & 1
+    return exact + [len(pieces)] + [sum(like[3 * w + third] % 2**20 << 21 * third for third in range(3)) for w in range(40)]
+
+
+def spark_seed(n):
+    """xxhash64 of several columns takes the hash so far as the next one's seed; an int's own hash starts from 42."""
+    return xxhash.xxh64_intdigest(n.to_bytes(4, "little"), 42)
+
+
+def test_multiset_sparse_ids_and_buckets(spark):
+    rng = random.Random(9)
+    ids = [rng.getrandbits(62) - 2**61 for _ in range(300)] + [None, None, 7, 7]
+    texts = {f"t{n}": i for n, i in enumerate(ids)}
+    rows = spark.createDataFrame([(i, t) for t, i in texts.items()], "doc_id long, text string").repartition(3)
+    order = sorted(texts, key=lambda t: (texts[t] is None, -(texts[t] or 0), t))
+    want = {t: order[(n + 1) % len(order)] for n, t in enumerate(order)}
+    for size, most in ((4, 4096), (4, 5), (64, 4096), (10_000, 4096)):
+        assert {r.text: r.next_text for r in multiset.with_next(rows, size, most).collect()} == want
+    assert multiset.with_next(rows.where("doc_id is null")).count() == 2
+
+
+def test_multiset_likeness(spark):
+    """Likeness comes from the written fingerprints and tells what part of their sentences two texts share; lanes wrap without touching their neighbours."""
+    rng = random.Random(10)
+    rows, truth = [], []
+    for n in range(40):
+        own = [f"sentence {n} number {i}" for i in range(60)]
+        share = rng.randrange(61)
+        rows.append((n, ". ".join(own), ". ".join(own[:share] + [f"other {n} at {i}" for i in range(60 - share)])))
+        truth.append(share / 60)
+    df = spark.createDataFrame(rows, "n int, a string, b string").select("n", multiset.vector(F.col("a")).alias("a"), multiset.vector(F.col("b")).alias("b"))
+    got = df.select("n", multiset.likeness(F.col("a"), F.col("b")).alias("whole"), multiset.likeness(multiset.read(multiset.written(F.col("a"))), multiset.read(multiset.written(F.col("b")))).alias("read")).orderBy("n").collect()
+    assert all(r.whole == r.read for r in got)
+    assert np.mean([abs(r.whole - t) for r, t in zip(got, truth, strict=True)]) < 0.1
+    full = F.lit([1] * 8 + [(1 << 21) - 2] + [multiset._MASK] * 40)
+    wrapped = spark.range(1).select(multiset.put_in(full, F.lit("a b c")).alias("v"), multiset.take_out(multiset.put_in(full, F.lit("a b c")), F.lit("a b c")).alias("back")).first()
+    one = spark.range(1).select(multiset.vector(F.lit("a b c")).alias("v")).first().v
+    lanes = lambda v: [x >> 21 * k & multiset._LANE for x in v[9:] for k in range(3)]
+    assert lanes(wrapped.v) == [(x + multiset._LANE) % 2**20 for x in lanes(one)] and wrapped.back[9:] == [multiset._MASK] * 40
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
