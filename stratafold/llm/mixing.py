@@ -6,7 +6,7 @@ source is added, and a document is emitted once for each integer boundary that i
 order goes by size, so that the copies follow the sizes and taken words come near the target.
 
 The prefix sum needs no task that sees a whole source: documents fall into cells (source, size class,
-slice), of which a source has CLASSES * SLICES at most. Cells are counted, the few counts are
+slice), and slices get more as the corpus grows. Cells are counted, the counts are
 prefix-summed, and a document's place is its cell's start plus its place in the cell.
 """
 
@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .base import table
+from .base import cut, table
 
 #: Copies of a document at most: the ratio of a target to its source's size.
 MOST = 3
-#: Slices of a size class; each holds about that part of it.
-SLICES = 256
+#: Slices of a size class, each of which holds about that part of it, for up to FULL documents; beyond that twice as many for each doubling.
+SLICES, FULL = 256, 1 << 24
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -36,61 +36,64 @@ def _key() -> Column:
 
 
 def targets(sized: DataFrame, most: int = MOST) -> DataFrame:
-    """(key_, source_size_, target_) for (source, size_) rows: sources in order of code points, null
+    """(key, source_size, target) for (key, size) rows, of which a source may have many: sources in order of code points, null
     last, weigh 1, 2, 3 and again; a target is at most `most` times its source's size, and what is
     over is shared again by weight until none is above.
 
     Closed form: in rising order of limit / weight, those that stop at their limit come first and the
     rest share what they leave by weight. Only one row per source is ordered here."""
-    per = sized.groupBy(_key().alias("key_")).agg(F.sum("size_").alias("source_size_"))
-    order = W.orderBy(F.col("key_") == "", "key_")
-    weighed = per.select("*", ((F.row_number().over(order) - 1) % 3 + 1).cast("long").alias("w"), (most * F.col("source_size_")).alias("lim"))
-    rising = W.orderBy(F.col("lim") / F.col("w"), F.col("key_") == "", "key_")
+    per = sized.groupBy("key").agg(F.sum("size").alias("source_size"))
+    order = W.orderBy(F.col("key") == "", "key")
+    weighed = per.select("*", ((F.row_number().over(order) - 1) % 3 + 1).cast("long").alias("w"), (most * F.col("source_size")).alias("lim"))
+    rising = W.orderBy(F.col("lim") / F.col("w"), F.col("key") == "", "key")
     every = W.orderBy(F.lit(0)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     gone = F.coalesce(F.sum("lim").over(rising.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    level = (F.sum("source_size_").over(every) - gone) / F.sum("w").over(rising.rowsBetween(0, W.unboundedFollowing))
+    level = (F.sum("source_size").over(every) - gone) / F.sum("w").over(rising.rowsBetween(0, W.unboundedFollowing))
     levels = weighed.withColumn("level", level)
     fits = F.max(F.when(F.col("level") * F.col("w") <= F.col("lim"), F.col("level"))).over(every)
     share = F.col("fits") * F.col("w")
-    return levels.withColumn("fits", fits).select("key_", "source_size_", F.when(share < F.col("lim"), share).otherwise(F.col("lim").cast("double")).alias("target_"))
+    return levels.withColumn("fits", fits).select("key", "source_size", F.when(share < F.col("lim"), share).otherwise(F.col("lim").cast("double")).alias("target"))
 
 
-def copies(rows: DataFrame, most: int = MOST, seed: str = "mix") -> DataFrame:
-    """rows, which have doc_id, source and size_, with source_size_, target_ and copies_ (0 to `most`).
+def copies(docs: DataFrame, words: str | Column, most: int = MOST, seed: str = "mix") -> DataFrame:
+    """(row_, size, source_size, target, copies) per row of docs: row_ is a struct with all columns of docs, which keep whatever names they have;
+    words: the size, a column of docs or an expression; copies: 0 to `most`.
 
-    A null source is a source of its own. A source without words has target 0 and its rows 0 copies.
+    A null size is 0. A null source is a source of its own. A source without words has target 0 and its rows 0 copies.
     Rows that share a doc_id count as rows of their own; where they are also equal in size, which of
-    them gets one copy more is not fixed, but their number is. An empty table gives an empty result. Names
-    that end in an underscore are this module's: such columns of the input are replaced."""
+    them gets one copy more is not fixed, but their number is. Null doc_ids are ties like any others. Texts aren't looked at, but for their size. An
+    empty table gives an empty result."""
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    bits = F.bin("size_")
+    bits = F.bin("size")
     #: Four classes for each doubling of the size
     cls = F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(F.concat(bits, F.lit("00")), 2, 2))
-    cell = ["key_", "class_", "slice_"]
-    placed = rows.select("*", _key().alias("key_"), cls.alias("class_"), (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % SLICES).alias("slice_"), digest.alias("tie_"))
-    counts = placed.groupBy(*cell).agg(F.count("*").alias("n_"))
-    before = F.sum("n_").over(W.partitionBy("key_").orderBy("class_", "slice_").rowsBetween(W.unboundedPreceding, -1))
-    starts = counts.select(*cell, F.coalesce(before, F.lit(0)).alias("start_")).join(targets(rows, most), "key_")
-    place = F.row_number().over(W.partitionBy(*cell).orderBy("size_", "tie_", "doc_id"))
-    known = placed.withColumn("place_", place).join(starts, cell)
-    offset = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|offset|"), "key_")), 1, 4), 16, 10).cast("long") + 0.5) / 65536.0
-    each = F.when(F.col("source_size_") > 0, F.col("target_") / F.col("source_size_")).otherwise(F.lit(0.0))
-    upto = F.col("start_") + F.col("place_")
+    slices = SLICES << ((docs.count() - 1) // FULL).bit_length() if docs.take(1) else SLICES
+    cell = ["key", "class", "slice"]
+    size_of = F.coalesce(words if isinstance(words, Column) else F.col(words), F.lit(0)).cast("long")
+    rows = docs.select(F.struct(*docs.columns).alias("row_"), _key().alias("key"), F.col("doc_id").alias("id"), digest.alias("tie"), size_of.alias("size"))
+    placed = rows.select("*", cls.alias("class"), (F.conv(F.substring("tie", 1, 8), 16, 10).cast("long") % slices).alias("slice"))
+    counts = cut(placed.groupBy(*cell).agg(F.count("*").alias("n"), F.sum("size").alias("size")))
+    before = F.sum("n").over(W.partitionBy("key").orderBy("class", "slice").rowsBetween(W.unboundedPreceding, -1))
+    starts = counts.select(*cell, F.coalesce(before, F.lit(0)).alias("start")).join(targets(counts, most), "key")
+    place = F.row_number().over(W.partitionBy(*cell).orderBy("size", "tie", "id"))
+    known = placed.withColumn("place", place).join(starts, cell)
+    offset = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|offset|"), "key")), 1, 4), 16, 10).cast("long") + 0.5) / 65536.0
+    each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    upto = F.col("start") + F.col("place")
     crossed = F.floor(offset + each * upto) - F.floor(offset + each * (upto - 1))
-    kept = [c for c in rows.columns if c not in ("source_size_", "target_", "copies_")]
-    return known.select(*kept, "source_size_", "target_", crossed.cast("long").alias("copies_"))
+    return known.select("row_", "size", "source_size", "target", crossed.cast("long").alias("copies"))
 
 
 def mix(docs: DataFrame, most: int = MOST, seed: str = "mix") -> DataFrame:
-    """The mixed corpus: every row of docs as often as the mix takes it, with the columns of docs. Each is
+    """The mixed corpus: every row of docs as often as the mix takes it, with the columns of docs, whatever their names. Each is
     handled once, with its text, in one exchange by cell."""
-    found = copies(docs.withColumn("size_", size("text")), most, seed).where("copies_ > 0")
-    return found.withColumn("copy_", F.explode(F.array_repeat(F.lit(1), F.col("copies_").cast("int")))).select(*docs.columns)
+    found = copies(docs, size("text"), most, seed).where("copies > 0")
+    return found.select(F.explode(F.array_repeat("row_", F.col("copies").cast("int"))).alias("row_")).select("row_.*")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", size("text").alias("size_"))
-    return copies(rows).select("doc_id", F.col("size_").alias("size"), F.col("source_size_").alias("source_size"), F.col("target_").alias("target"), (F.col("copies_") * F.col("size_")).alias("taken"))
+    rows = cut(table(spark, sf_dir, "documents").select("doc_id", "source", size("text").alias("words")))
+    return copies(rows, "words").select("row_.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 OP5_SQL = r"""

@@ -145,23 +145,28 @@ def test_cross_entropy(spark, docs, odd, empty):
     assert len(found) == 6 and crossentropy.scored(empty, labels).count() == 0 and crossentropy.scored(docs, labels.limit(0)).count() == len(got)
 
 
-def test_mixing(docs, odd, empty):
-    rows = docs.select("doc_id", "source", mixing.size("text").alias("size_"))
-    got = mixing.copies(rows).toPandas()
+def test_mixing(spark, docs, odd, empty):
+    took = lambda df: mixing.copies(df, mixing.size("text")).select("row_.*", "size", "target", "copies").toPandas()
+    rows = docs.select("doc_id", "source", "text")
+    got = took(rows)
     texts = corpus()
-    assert {r.doc_id: r.size_ for r in got.itertuples()} == {i: len((t or "").split()) for i, t in enumerate(texts)}
-    assert got.copies_.between(0, 3).all() and got.sort_values("doc_id").copies_.tolist() == mixing.copies(rows.repartition(5)).toPandas().sort_values("doc_id").copies_.tolist()
+    assert {r.doc_id: r.words for r in got.rename(columns={"size": "words"}).itertuples()} == {i: len((t or "").split()) for i, t in enumerate(texts)}
+    assert got.copies.between(0, 3).all() and got.sort_values("doc_id").copies.tolist() == took(rows.repartition(5)).sort_values("doc_id").copies.tolist()
     for key, g in got.groupby(got.source.fillna("~")):
-        assert abs((g.copies_ * g.size_).sum() - g.target_.iloc[0]) <= 0.25 * g.target_.iloc[0] + g.size_.max(), key
-    assert got.drop_duplicates("source").target_.sum() == pytest.approx(sum(len((t or "").split()) for t in texts))
+        assert abs((g["copies"] * g["size"]).sum() - g.target.iloc[0]) <= 0.25 * g.target.iloc[0] + g["size"].max(), key
+    assert got.drop_duplicates("source").target.sum() == pytest.approx(sum(len((t or "").split()) for t in texts))
     mixed = mixing.mix(docs)
-    assert mixed.columns == docs.columns and mixed.count() == got.copies_.sum()
-    assert mixing.copies(odd.select("doc_id", "source", mixing.size("text").alias("size_"))).count() == 6 and mixing.mix(empty).count() == 0
+    assert mixed.columns == docs.columns and mixed.count() == got["copies"].sum()
+    assert took(odd.select("doc_id", "source", "text")).shape[0] == 6 and mixing.mix(empty).count() == 0
+    # Columns named like those of the module come back as they were, and ties are taken as often in every run
+    named = spark.createDataFrame([(7, "same words here", "s", 777, -1, "k", 5) for _ in range(9)], "doc_id long, text string, source string, size int, copies int, key string, target int")
+    assert {tuple(r) for r in mixing.mix(named).collect()} == {(7, "same words here", "s", 777, -1, "k", 5)} and mixing.mix(named).count() == 9
 
 
 def test_targets_fill(spark):
     rows = [(s, n) for s, n in (("a", 10), ("b", 1000), ("c", 1), ("d", 500), (None, 0))]
-    got = {r.key_: (r.source_size_, r.target_) for r in mixing.targets(spark.createDataFrame(rows, "source string, size_ long")).collect()}
+    keyed = [("" if s is None else f"={s}", n) for s, n in rows]
+    got = {r.key: (r.source_size, r.target) for r in mixing.targets(spark.createDataFrame(keyed, "key string, size long")).collect()}
     left, weights, limit, want = 1511.0, dict(zip("abcd~", (1, 2, 3, 1, 2), strict=True)), {"a": 30, "b": 3000, "c": 3, "d": 1500, "~": 0}, {}
     while True:
         share = {k: left * w / sum(weights.values()) for k, w in weights.items()}
