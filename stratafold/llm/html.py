@@ -1,9 +1,10 @@
 """HTML to text by layout-aware rendering.
 
 A page is parsed into a stream of properly nested elements: a builder implies the tags that HTML lets authors leave out (paragraphs, list
-items, table parts) and closes what is left open. Visibility rules drop what a browser wouldn't show. A renderer then lays out what is left: blocks
+items, table parts) and closes what is left open. Visibility rules drop what a browser wouldn't show: elements that hide by kind, attribute, style or
+a rule of the page's own style sheets with a simple selector, closed details but for their summary, all but the chosen option of a menu. A renderer then lays out what is left: blocks
 on lines of their own, with blank lines where margins are; lists with markers and indents; preformatted text as it is; tables as rows with
-cells padded to their columns. Both work on a stack of their own, so deep nesting needs no recursion.
+cells padded to their columns, those of several rows or columns in their places. Both work on a stack of their own, so deep nesting needs no recursion.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import in_batches, table
+from .base import in_batches, lean, table
 
 # Fixed sets of the HTML standard
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style template noscript iframe object canvas svg math audio video datalist select textarea meta link base area map".split())
+HIDDEN = frozenset("head title script style template noscript iframe canvas audio video datalist meta link base area map defs desc metadata symbol clippath annotation annotation-xml".split())
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure form fieldset hr".split())
 BLOCK = MARGIN | frozenset("html body div section article aside header footer nav main address li dt dd figcaption details summary dialog legend center caption tr td th thead tbody tfoot".split())
 CLOSE_P = BLOCK - frozenset("html body caption tr td th thead tbody tfoot".split())
@@ -36,15 +37,36 @@ IMPLIED = {
     "th": ({"td", "th"}, {"tr", "table"}),
     **{x: ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}) for x in ("thead", "tbody", "tfoot")},
     "body": ({"head"}, {"html"}),
+    "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select", "datalist"}),
 }
 #: Ends of inner elements stop at these.
 SCOPE = frozenset({"table", "td", "th", "caption", "html"})
 _SPACE = re.compile("[ \t\n\f\r]+")
-_NONE_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*(none\b)?", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
+_AT_RULE = re.compile(r"@[^{;]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\})")
+_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_SELECTOR = re.compile(r"([a-z][a-z0-9-]*)?((?:[.#][\w-]+)*)", re.I)
 
 
-def _visible(tag: str, attributes: dict[str, str | None]) -> bool:
-    return not (tag in HIDDEN or "hidden" in attributes or (tag == "dialog" and "open" not in attributes) or _NONE_STYLE.search(attributes.get("style") or ""))
+def _shown(style: str) -> tuple[bool | None, bool | None]:
+    """What declarations say: whether the element is there, and whether it is visible; None where they don't say."""
+    display, visibility = _DISPLAY.findall(style), _VISIBILITY.findall(style)
+    return (not display[-1] if display else None), (visibility[-1].lower() == "visible" if visibility else None)
+
+
+def _rules(sheet: str) -> list[tuple[str, frozenset[str], tuple]]:
+    """(tag or nothing, classes and ids with their marks, what the declarations say) of the rules with simple selectors that show or hide. Rules
+    for some media only are left."""
+    found = []
+    for selectors, style in _RULE.findall(_AT_RULE.sub("", re.sub(r"/\*.*?\*/", "", sheet, flags=re.S))):
+        said = _shown(style)
+        for selector in selectors.split(",") if said != (None, None) else ():
+            match = _SELECTOR.fullmatch(selector.strip())
+            if match and match[0]:
+                found.append(((match[1] or "").lower(), frozenset(re.findall(r"[.#][\w-]+", match[2])), said))
+    return found
 
 
 def _width(text: str) -> int:
@@ -97,37 +119,66 @@ class _Flow:
 
 class _Table:
     def __init__(self) -> None:
-        self.rows: list[list[tuple[list[str], int]]] = []
+        self.rows: list[list[tuple[list[str], int, int]]] = []  # lines, columns and rows of each cell
         self.caption: list[str] = []
 
-    def lines(self) -> list[str]:
-        widths: list[int] = []
+    def _placed(self) -> list[list[tuple[int, list[str], int]]]:
+        """(first column, lines, columns) of each row's cells; where a cell of an earlier row reaches down there is a cell without lines."""
+        out, down = [], {}  # column: (rows left, columns) of the cell that begins there
         for row in self.rows:
-            at = 0
-            for lines, span in row:
-                widths += [0] * (at + span - len(widths))
-                if span == 1:
+            cells, at, waiting = [], 0, list(row)
+            while waiting or any(c >= at for c in down):
+                if at in down:
+                    left, wide = down.pop(at)
+                    cells.append((at, [], wide))
+                    if left > 1:
+                        down[at] = left - 1, wide
+                    at += wide
+                    if left > 1:
+                        continue
+                elif waiting:
+                    lines, wide, high = waiting.pop(0)
+                    nearest = min((c for c in down if c > at), default=at + wide)
+                    wide = min(wide, nearest - at)  # it can't reach into a column that is taken
+                    cells.append((at, lines, wide))
+                    if high > 1:
+                        down[at] = high - 1, wide
+                    at += wide
+                else:
+                    ahead = min(c for c in down if c >= at)
+                    cells.append((at, [], ahead - at))
+                    at = ahead
+                    continue
+            out.append(cells)
+        return out
+
+    def lines(self) -> list[str]:
+        rows = self._placed()
+        widths = [0] * max((at + wide for row in rows for at, _, wide in row), default=0)
+        for row in rows:
+            for at, lines, wide in row:
+                if wide == 1:
                     widths[at] = max([widths[at], *map(_width, lines)])
-                at += span
-        for row in self.rows:  # a spanning cell widens its last column
-            at = 0
-            for lines, span in row:
-                if span > 1:
-                    have = sum(widths[at : at + span]) + 3 * (span - 1)
-                    widths[at + span - 1] += max(0, max(map(_width, lines), default=0) - have)
-                at += span
+        for row in rows:  # a spanning cell widens its last column
+            for at, lines, wide in row:
+                if wide > 1:
+                    have = sum(widths[at : at + wide]) + 3 * (wide - 1)
+                    widths[at + wide - 1] += max(0, max(map(_width, lines), default=0) - have)
         out = list(self.caption)
-        for row in self.rows:
-            for i in range(max((len(lines) for lines, _ in row), default=0)):
-                at, line = 0, []
-                for lines, span in row:
+        for row in rows:
+            for i in range(max((len(lines) for _, lines, _ in row), default=0)):
+                line = []
+                for at, lines, wide in row:
                     text = lines[i] if i < len(lines) else ""
-                    line.append(text + " " * (sum(widths[at : at + span]) + 3 * (span - 1) - _width(text)))
-                    at += span
+                    line.append(text + " " * (sum(widths[at : at + wide]) + 3 * (wide - 1) - _width(text)))
                 out.append(" | ".join(line).rstrip())
         return out
 
 
+#: Kinds of elements whose content is laid out by itself.
+_OWN_FLOW = ("indent", "pre", "cell", "caption", "table", "menu", "option", "area")
+
+
 class _Page(HTMLParser):
     CDATA_CONTENT_ELEMENTS = ("script", "style")
 
@@ -140,6 +191,10 @@ class _Page(HTMLParser):
         self.tables: list[_Table] = []
         self.lists: list[list] = []  # [ordered, next number]
         self.links: list[tuple] = []  # what each open element has to do when it ends
+        self.seen: list[bool] = [True]  # whether text is visible, in each open element that isn't dark
+        self.menus: list[list[tuple[list[str], bool]]] = []  # lines of options, and whether they are chosen
+        self.sheet: list[str] = []  # what the style element that is open holds
+        self.rules: list[tuple[str, frozenset[str], tuple]] = []
 
     # The builder
 
@@ -191,18 +246,43 @@ class _Page(HTMLParser):
             self._end()
 
     def handle_data(self, data: str) -> None:
-        if not self.dark and (data.strip(" \t\n\f\r") or self.open[-1:] != ["tr"] and self.open[-1:] != ["table"]):
+        if self.open[-1:] == ["style"]:
+            self.sheet.append(data)
+        elif not self.dark and self.seen[-1] and self.links[-1:] != [("closed",)] and (data.strip(" \t\n\f\r") or self.open[-1:] != ["tr"] and self.open[-1:] != ["table"]):
             self.flows[-1].text(data)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Outside of XML, all that begins with <![ is a comment up to the next >."""
+        end = self.rawdata.find(">", i + 3)
+        return end + 1 if end >= 0 else -1
+
+    def _shows(self, tag: str, attributes: dict) -> tuple[bool, bool]:
+        """Whether an element is there, and whether its text is visible."""
+        there, visible = not (tag in HIDDEN or "hidden" in attributes or (tag == "dialog" and "open" not in attributes) or (tag == "input" and (attributes.get("type") or "").lower() == "hidden")), self.seen[-1]
+        if self.links[-1:] == [("closed",)] and tag != "summary":
+            there = False
+        if self.rules and there:
+            own = {f".{x}" for x in (attributes.get("class") or "").split()} | {f"#{attributes.get('id')}"}
+            for name, marks, (display, visibility) in self.rules:
+                if name in ("", tag) and marks <= own:
+                    there = there if display is None else display
+                    visible = visible if visibility is None else visibility
+        display, visibility = _shown(attributes.get("style") or "")
+        if display is not None and tag not in HIDDEN:
+            there = display and "hidden" not in attributes
+        return there, visible if visibility is None else visibility
+
     # The renderer
 
     def _start(self, tag: str, attributes: dict) -> None:
         self.open.append(tag)
         self.count[tag] += 1
-        if self.dark or not _visible(tag, attributes):
+        there, visible = (False, False) if self.dark else self._shows(tag, attributes)
+        if not there:
             self.dark += 1
             self.links.append(("dark",))
             return
+        self.seen.append(visible)
         flow, kind = self.flows[-1], ("plain",)
         if tag == "br":
             flow.end(keep=True)
@@ -235,15 +315,25 @@ class _Page(HTMLParser):
         elif tag == "tr" and self.tables:
             self.tables[-1].rows.append([])
         elif tag in ("td", "th") and self.tables:
-            span = attributes.get("colspan") or ""
-            kind = ("cell", min(max(int(span), 1), 1000) if re.fullmatch(r"\d{1,4}", span) else 1)
+            wide, high = (min(max(int(x), 1), 1000) if re.fullmatch(r"[0-9]{1,4}", x) else 1 for x in (attributes.get("colspan") or "", attributes.get("rowspan") or ""))
+            kind = ("cell", wide, high)
         elif tag == "caption" and self.tables:
             kind = ("caption",)
         elif tag == "q":
             flow.text("“")
             kind = ("quote",)
-        if kind[0] in ("indent", "pre", "cell", "caption", "table"):
-            self.flows.append(_Flow(pre=kind[0] == "pre" or (flow.pre and kind[0] == "indent")))
+        elif tag == "details" and "open" not in attributes:
+            kind = ("closed",)
+        elif tag == "select":
+            self.menus.append([])
+            size = attributes.get("size") or ""
+            kind = ("menu", "multiple" in attributes or (re.fullmatch(r"[0-9]{1,4}", size) is not None and int(size) > 1))
+        elif tag == "option" and self.menus:
+            kind = ("option", "selected" in attributes)
+        elif tag == "textarea":
+            kind = ("area",)
+        if kind[0] in _OWN_FLOW:
+            self.flows.append(_Flow(pre=kind[0] in ("pre", "area") or (flow.pre and kind[0] == "indent")))
         self.links.append(kind)
 
     def _end(self) -> None:
@@ -251,8 +341,12 @@ class _Page(HTMLParser):
         self.count[tag] -= 1
         if kind[0] == "dark":
             self.dark -= 1
+            if tag == "style":
+                self.rules += _rules("".join(self.sheet))
+                self.sheet.clear()
             return
-        if kind[0] in ("indent", "pre", "cell", "caption", "table"):
+        self.seen.pop()
+        if kind[0] in _OWN_FLOW:
             lines = self.flows.pop().done()
         flow = self.flows[-1]
         if kind[0] == "indent":
@@ -263,7 +357,7 @@ class _Page(HTMLParser):
         elif kind[0] == "pre":
             flow.add(lines)
         elif kind[0] == "cell":
-            self.tables[-1].rows[-1].append((lines, kind[1]))
+            self.tables[-1].rows[-1].append((lines, kind[1], kind[2]))
         elif kind[0] == "caption":
             self.tables[-1].caption += lines
         elif kind[0] == "table":
@@ -276,6 +370,15 @@ class _Page(HTMLParser):
             self.lists.pop()
         elif kind[0] == "quote":
             flow.text("”")
+        elif kind[0] == "area":
+            flow.end()
+            flow.add(lines)
+        elif kind[0] == "option":
+            self.menus[-1].append((lines, kind[1]))
+        elif kind[0] == "menu":
+            options = self.menus.pop()
+            chosen = [x for x, on in options if on][-1:] or [x for x, _ in options][:1]
+            flow.text(" " + " ".join(line for option in ([x for x, _ in options] if kind[1] else chosen) for line in option) + " ")
         if tag in MARGIN:
             nested = kind[0] == "list" and self.lists
             flow.end() if nested else flow.margin()
@@ -289,16 +392,24 @@ class _Page(HTMLParser):
 
 
 def render(html: str | None) -> str:
-    """The visible text of a page; null as an empty page. Whatever can't be parsed as a tag is text."""
-    page = _Page()
-    page.feed(html or "")
-    page.close()
-    return page.text()
+    """The visible text of a page; null as an empty page. Whatever can't be parsed as a tag is text, and there is text for every page: where the
+    parser gives up on a declaration or a character's number, these are taken out and the rest is parsed anew."""
+    for attempt in range(2):
+        page = _Page()
+        try:
+            page.feed(html or "")
+            page.close()
+            return page.text()
+        except (AssertionError, ValueError):
+            if attempt:
+                raise
+            html = re.sub(r"&#[0-9]{8,};?", "\ufffd", html).replace("<!", "&lt;!")
+    return ""
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text) per row of pages. Null and empty pages give the empty text; null ids and repeated rows stay as they are; an empty table
-    gives an empty result. Each page is handled alone, within the memory for its tree."""
+    """(page_id, url, text) per row of pages. Null and empty pages give the empty text; null ids and repeated rows stay as they are; other columns,
+    whatever their names, are not read; an empty table gives an empty result. Each page is handled alone, within the memory for its tree, however long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -306,7 +417,7 @@ def extracted(pages: DataFrame) -> DataFrame:
                 lot = b.slice(first, 256)
                 yield pa.RecordBatch.from_arrays([lot.column("page_id"), lot.column("url"), pa.array([render(x) for x in lot.column("html").to_pylist()], pa.string())], ["page_id", "url", "text"])
 
-    return in_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "page_id long, url string, text string")
+    return in_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(lean(run), "page_id long, url string, text string")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

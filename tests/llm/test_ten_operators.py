@@ -134,6 +134,40 @@ def test_html():
     assert html.render("a < b & c</p>") .startswith("a < b & c")
 
 
+def test_html_visibility():
+    cases = {
+        "<style>.x, p#y {display: none} @media print {.z {display:none}} /* .q{display:none} */ .v{visibility:hidden}</style><p class='a x'>no</p><p id=y>no</p><div class=z>z</div><i class=q>q</i><p class=v>no<b style='visibility: visible'>yes</b>no</p>": "z\nq\n\nyes",
+        "<div style='visibility:hidden'>no<span style='visibility:visible'>in</span></div>out": "in\nout",
+        "<details><summary>short</summary>no<p>no</details><details open><summary>s</summary>long</details>": "short\ns\nlong",
+        "a<textarea>one\n two</textarea>b": "a\none\n two\nb",
+        "pick <select><option>x<option selected>y<option>z</select> now <select multiple><option>k<option>l</select>": "pick y now k l",
+        "<select><option>first<option>second</select>": "first",
+        "<svg><title>no</title><text>label</text></svg> <math><mi>x</mi><mo>=</mo></math> <object data=a.swf>plain</object>": "label x= plain",
+        "<div style='display:none'>no<p style='display:block'>no</p></div>a": "a",
+        "<![abc[x]]>after <![if IE]>text<!endif>": "after text",
+        "&#" + "9" * 5000 + ";<b>after</b>": "\ufffdafter",
+        "<!": "<!",
+    }
+    for page, text in cases.items():
+        assert html.render(page) == text, page
+
+
+def test_html_tables():
+    page = "<table><tr><td rowspan=2>A<td>b<tr><td>c</table>"
+    assert html.render(page) == "A | b\n  | c"
+    page = "<table><tr><td>a<td rowspan=3>tall<td>b<tr><td>c<td>d<tr><td colspan=9>wide cell<td>e<tr><td>f<td>g<td>h</table>"
+    assert html.render(page) == "a         | tall | b\nc         |      | d\nwide cell |      | e\nf         | g    | h"
+    assert html.render("<table><tr><td rowspan=9 colspan=2>x y z<td>1<tr><td>2<tr><td>3</table>") == "x y z | 1\n      | 2\n      | 3"
+    assert html.render("<table><tr><td>a<td>b<td rowspan=2>c<tr><td>d</table>") == "a | b | c\nd |   |"
+
+
+def test_html_rows(spark):
+    rows = [(1, "u", "<p>a", 5), (1, "u", "<p>a", 5), (None, None, None, 6), (2, "v", "", None), (3, "w", "<![x[" * 3, 1), (4, "x", "<i>" * 30_000 + "z", 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    assert sorted(((r.page_id or 0), r.url or "", r.text) for r in html.extracted(pages).collect()) == [(0, "", ""), (1, "u", "a"), (1, "u", "a"), (2, "v", ""), (3, "w", "<![x[" * 3), (4, "x", "z")]
+    assert html.extracted(pages.limit(0)).count() == 0
+
+
 def test_cross_entropy(spark, docs, odd, empty):
     labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(0, 120, 3)] + [(None, 1)], "doc_id long, quality int")
     got = {r.doc_id: r for r in crossentropy.scored(docs, labels).collect()}
