@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, NumericType, StructType
+
+from .lineage import cut
 
 
 def keep_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -90,18 +93,166 @@ def sessions(df: DataFrame, key: str, time: str, gap_seconds: int) -> DataFrame:
     return df.withColumn("_b", F.when(pause <= gap_seconds, 0).otherwise(1)).withColumn("session", F.sum("_b").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_b")
 
 
-def one_to_one(pairs: DataFrame, most: int = 50) -> DataFrame:
+def one_to_one(pairs: DataFrame) -> DataFrame:
     """(a, b, score) of a greedy assignment: the pair with the best score first, then the best among what is left; ties go to the smaller ids.
 
-    In rounds: pairs that are the best of both their ends are final, and take their ends out. The greedy order gives the same result, and rounds are few
-    unless scores form long chains. Each round is checkpointed."""
-    left, done = pairs.select("a", "b", "score"), []
-    for _ in range(most):
+    In rounds until all is settled: pairs that are the best of both their ends are final, and take their ends out. The greedy order gives the same
+    result, and rounds are few unless scores fall along a chain. Each round is checkpointed."""
+    left, done = cut(pairs.select("a", "b", "score")), []
+    while not left.isEmpty():
         order = [F.col("score").desc(), "a", "b"]
         ranked = left.withColumns({"_x": F.row_number().over(W.partitionBy("a").orderBy(*order)), "_y": F.row_number().over(W.partitionBy("b").orderBy(*order))})
-        best = ranked.where("_x = 1 and _y = 1").drop("_x", "_y").checkpoint()
-        if best.isEmpty():
-            return reduce(DataFrame.unionByName, done, best).select("a", "b", "score")
+        best = cut(ranked.where("_x = 1 and _y = 1").drop("_x", "_y"))
         done.append(best)
-        left = left.join(best.select("a"), "a", "left_anti").join(best.select("b"), "b", "left_anti").checkpoint()
-    raise RuntimeError(f"not settled after {most} rounds")
+        left = cut(left.join(best.select("a"), "a", "left_anti").join(best.select("b"), "b", "left_anti"))
+    return reduce(DataFrame.unionByName, done, left).select("a", "b", "score")
+
+
+def running(df: DataFrame, order: list, amount: Column) -> DataFrame:
+    """df with before_: the sum of amount over all earlier rows by order, which should have no ties.
+
+    No task sees all rows: these are sorted by ranges, summed within each, and offset by what the ranges ahead hold. Only a row for each range is ordered
+    in one task."""
+    held = cut(df.withColumn("amount_", amount).orderBy(*order).withColumns({"range_": F.spark_partition_id(), "at_": F.monotonically_increasing_id()}))
+    ahead = F.sum("whole_").over(W.orderBy("range_").rowsBetween(W.unboundedPreceding, -1))
+    offsets = held.groupBy("range_").agg(F.sum("amount_").alias("whole_")).select("range_", F.coalesce(ahead, F.lit(0)).alias("ahead_"))
+    inside = F.sum("amount_").over(W.partitionBy("range_").orderBy("at_").rowsBetween(W.unboundedPreceding, -1))
+    return held.withColumn("inside_", F.coalesce(inside, F.lit(0))).join(offsets, "range_").withColumn("before_", F.col("inside_") + F.col("ahead_")).drop("amount_", "range_", "at_", "inside_", "ahead_")
+
+
+def numbered(df: DataFrame, order: list) -> DataFrame:
+    """df with place, from 1 on by order."""
+    return running(df, order, F.lit(1).cast("long")).withColumn("place", F.col("before_") + 1).drop("before_")
+
+
+def ranked(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
+    """df with least_rank (one more than the rows that are better), average_rank (ties share the mean of their places) and n (all rows)."""
+    counts = df.groupBy(value).agg(F.count("*").alias("same_"))
+    by = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
+    placed = running(counts, [by], F.col("same_")).select(F.col(value).alias("value_"), (F.col("before_") + 1).alias("least_rank"), (F.col("before_") + (F.col("same_") + 1) / 2).alias("average_rank"))
+    n = counts.agg(F.sum("same_").alias("n"))
+    return df.join(placed, F.col(value).eqNullSafe(F.col("value_"))).drop("value_").crossJoin(F.broadcast(n))
+
+
+def profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(col, n, nulls, empties, distincts, lowest, highest, leading_zeros, constant) of text columns, in one pass."""
+
+    def seen(c: str) -> Column:
+        x = F.col(c)
+        hits = lambda test: F.count(F.when(test, 1))
+        return F.struct(
+            F.lit(c).alias("col"), F.count("*").alias("n"), hits(x.isNull()).alias("nulls"), hits(x == "").alias("empties"), F.count_distinct(x).alias("distincts"),
+            F.min(x).alias("lowest"), F.max(x).alias("highest"), hits(x.rlike("^0[0-9]")).alias("leading_zeros"), (F.count_distinct(x) <= 1).alias("constant"),
+        )
+
+    return df.agg(F.array(*map(seen, columns)).alias("all_")).select(F.inline("all_"))
+
+
+def decisions(evidence: DataFrame, key: str, row_id: str) -> DataFrame:
+    """(key, selected, alternatives, reason, confidence) for keys with several rows: the best by class, governance, quality, completeness, time, period,
+    content and id, why it is ahead of the next, and how sure that is. One window in place of two joined rankings."""
+    criteria = ["cls", "governance", "quality", "completeness"]
+    best = W.partitionBy(key).orderBy(*(F.col(c).desc() for c in criteria), F.col("seen").desc_nulls_last(), F.col("period").desc_nulls_last(), "content", row_id)
+    after = {c: F.lead(c).over(best).alias(f"{c}_") for c in (*criteria, "seen", "period")}
+    led = evidence.select("*", *after.values(), F.row_number().over(best).alias("i_"), F.count("*").over(W.partitionBy(key)).alias("n_")).where("i_ = 1 and n_ > 1")
+    ahead = lambda c: F.col(c) > F.col(f"{c}_")
+    other = lambda c: F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col(f"{c}_"))
+    names = dict(zip(criteria, ("record_class_priority", "source_governance_priority", "quality_score", "payload_completeness"), strict=True))
+    reason = reduce(lambda chain, c: chain.when(ahead(c), names[c]), criteria[1:], F.when(ahead("cls"), names["cls"])).when(other("seen"), "latest_collection_time").when(other("period"), "latest_period").otherwise("stable_content_hash_tiebreak")
+    sure = F.when(ahead("cls") | ahead("governance") | (F.col("quality") >= F.col("quality_") + 10), "high").when(ahead("quality") | ahead("completeness"), "medium").otherwise("low")
+    return led.select(key, F.col(row_id).alias("selected"), (F.col("n_") - 1).alias("alternatives"), reason.alias("reason"), sure.alias("confidence"))
+
+
+def interpolated(df: DataFrame, keys: list[str], order: str, value: str, most: int | None = None) -> DataFrame:
+    """df whose null values lie on the line between the nearest known ones of their key on both sides, where these are `most` apart or less, with how:
+    given, between, or null."""
+    back, on = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1), W.partitionBy(*keys).orderBy(order).rowsBetween(1, W.unboundedFollowing)
+    at = F.when(F.col(value).isNotNull(), F.col(order))
+    known = df.withColumns({"p_": F.last(value, True).over(back), "pn_": F.last(at, True).over(back), "q_": F.first(value, True).over(on), "qn_": F.first(at, True).over(on)})
+    gap = F.col("qn_") - F.col("pn_")
+    near = gap.isNotNull() if most is None else gap <= most
+    line = F.col("p_") + (F.col(order) - F.col("pn_")) * (F.col("q_") - F.col("p_")) / gap
+    how = F.when(F.col(value).isNotNull(), "given").when(near, "between")
+    return known.withColumn("how", how).withColumn(value, F.coalesce(value, F.when(near, line))).drop("p_", "pn_", "q_", "qn_")
+
+
+def keyword_classes(df: DataFrame, rules: list[tuple[str, list[str], float]], name: Column, columns: Column) -> DataFrame:
+    """df with category and confidence: rules are (category, keywords, points); a keyword in the name gives its points, one in the column names 0.8 of them."""
+    hits = lambda text, points: lambda kw: F.when(F.contains(text, F.lit(kw)), points).otherwise(0.0)
+    scores = [F.struct((reduce(lambda a, b: a + b, [hits(name, base)(kw) + hits(columns, 0.8 * base)(kw) for kw in words])).alias("s"), F.lit(cat).alias("cat")) for cat, words, base in rules]
+    held = df.withColumn("scores_", F.filter(F.array(*scores), lambda x: x["s"] > 0))
+    ordered = F.array_sort(F.transform("scores_", lambda x: F.struct((-x["s"]).alias("s"), x["cat"].alias("cat"))))
+    whole = F.aggregate("scores_", F.lit(0.0), lambda acc, x: acc + x["s"])
+    best = F.try_element_at(ordered, F.lit(1))
+    sure = F.round(F.least(F.lit(0.95), 0.4 + 0.6 * (-best["s"] / whole) * F.least(F.lit(1.0), -best["s"] / 0.9)), 3)
+    return held.withColumns({"category": F.coalesce(best["cat"], F.lit("unknown")), "confidence": F.coalesce(sure, F.lit(0.0))}).drop("scores_")
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """(node, root): the smallest node reachable over links (x, y); nodes without links aren't there. Labels spread until none changes, a checkpoint a round."""
+    both = cut(links.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(links.select(F.col("y").alias("a"), F.col("x").alias("b"))).distinct())
+    labels = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")))
+    while True:
+        offered = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("root").alias("offer"))
+        moved = cut(labels.join(offered, "a", "left").select("a", F.least("root", "offer").alias("root"), (F.col("offer") < F.col("root")).alias("fell")))
+        labels = moved.select("a", "root")
+        if moved.where("fell").isEmpty():
+            return labels.withColumnRenamed("a", "node")
+
+
+def alike_sets(df: DataFrame, item: str, element: str, similarity: float) -> DataFrame:
+    """(item, cluster): items whose sets of elements are that similar by Jaccard, or linked by others that are; cluster is the smallest item. Equal sets
+    meet first, so copies of a set are one row in the join by elements."""
+    sets = df.groupBy(item).agg(F.sort_array(F.collect_set(element)).alias("set_")).withColumn("key_", F.sha2(F.to_json("set_"), 256))
+    distinct = sets.groupBy("key_").agg(F.min(item).alias("first_"), F.first("set_").alias("set_"))
+    parts = distinct.select("first_", F.size("set_").alias("n_"), F.explode("set_").alias("e_"))
+    a, b = parts.select(F.col("first_").alias("x"), F.col("n_").alias("m"), "e_"), parts.select(F.col("first_").alias("y"), F.col("n_").alias("n"), "e_")
+    pairs = a.join(b, "e_").where("x < y").groupBy("x", "y", "m", "n").agg(F.count("*").alias("k"))
+    roots = connected(pairs.where(F.col("k") / (F.col("m") + F.col("n") - F.col("k")) >= similarity).select("x", "y"))
+    named = distinct.join(roots, F.col("first_") == F.col("node"), "left").select("key_", F.coalesce("root", "first_").alias("cluster"))
+    return sets.join(named, "key_").select(item, "cluster")
+
+
+def merge_shards(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The rows of shards whose columns may differ, with nulls for what a shard lacks; a key's row is that of the last shard that has it."""
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.withColumn("shard_", F.lit(i)) for i, f in enumerate(frames)])
+    rest = [c for c in every.columns if c not in keys and c != "shard_"]
+    return every.groupBy(*keys).agg(F.max_by(F.struct(*rest), "shard_").alias("row_")).select(*keys, "row_.*")
+
+
+def dimension(rule: str, columns: dict[str, str]) -> Column:
+    """A predicate of 'kind:value'; columns: the column of each kind."""
+    kind, _, value = rule.partition(":")
+    if kind not in columns or not value:
+        raise ValueError(f"no such dimension: {rule}")
+    return F.col(columns[kind]) == value
+
+
+def roles(schema: StructType) -> dict[str, str]:
+    """What each column is for, by its name, place and type."""
+
+    def role(i: int, name: str, kind) -> str:
+        low = name.lower()
+        if i == 0 and (low == "id" or low.endswith("_id")):
+            return "key"
+        if low in ("geo_id", "parent_geo_id"):
+            return "geo"
+        if low in ("lat", "lon", "latitude", "longitude"):
+            return "coordinate"
+        if low in ("period", "date", "ts") or low.endswith(("_at", "_date", "_time")):
+            return "time"
+        if low in ("unit", "currency"):
+            return "unit"
+        if "json" in low or isinstance(kind, ArrayType | MapType | StructType):
+            return "json"
+        if isinstance(kind, NumericType):
+            return "measure"
+        return "text" if low in ("name", "title", "address", "description") or low.endswith("_name") else "dimension"
+
+    return {f.name: role(i, f.name, f.dataType) for i, f in enumerate(schema)}
+
+
+def personal(columns: list[str]) -> list[str]:
+    """Those of the columns that name a person or a way to reach one."""
+    marks = ("phone", "mail", "owner", "person", "tckn", "iban", "author")
+    return [c for c in columns if any(m in c.lower() for m in marks)]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import haversine
+from .lineage import cut
 
 METRES_A_DEGREE = 111_320.0
 
@@ -59,8 +61,74 @@ def containing_area(points: DataFrame, areas: DataFrame, grid: float = 1.0) -> D
     return put.join(cells, ["gx", "gy"]).where(contains(F.col("ring"), F.col("x"), F.col("y"))).groupBy("id").agg(F.min("area_id").alias("area_id"))
 
 
-def circle_wkt(lat: float, lon: float, metres: float, corners: int = 72) -> str:
-    """A circle as a polygon in well-known text."""
-    dy, dx = metres / METRES_A_DEGREE, metres / (METRES_A_DEGREE * math.cos(math.radians(lat)))
-    points = [(lon + dx * math.cos(2 * math.pi * i / corners), lat + dy * math.sin(2 * math.pi * i / corners)) for i in range(corners)]
-    return "POLYGON((" + ", ".join(f"{x:.7f} {y:.7f}" for x, y in [*points, points[0]]) + "))"
+def circle(lat: Column, lon: Column, metres: Column | float, corners: int = 72) -> Column:
+    """The ring of a circle as an array of (x, y) structs in degrees, its first point again at the end."""
+    turn = lambda i: i * (2 * math.pi / corners)
+    wide = metres / (METRES_A_DEGREE * F.cos(F.radians(lat)))
+    return F.transform(F.sequence(F.lit(0), F.lit(corners)), lambda i: F.struct((lon + wide * F.cos(turn(i % corners))).alias("x"), (lat + metres / METRES_A_DEGREE * F.sin(turn(i % corners))).alias("y")))
+
+
+def polygon_text(ring: Column, digits: int = 7) -> Column:
+    """A closed ring in well-known text."""
+    return F.concat(F.lit("POLYGON(("), F.array_join(F.transform(ring, lambda p: F.format_string(f"%.{digits}f %.{digits}f", p["x"], p["y"])), ", "), F.lit("))"))
+
+
+def _cell(value: Column, size: float) -> Column:
+    return F.floor(value / size).cast("long")
+
+
+def _around(df: DataFrame, dy: float, dx: float) -> DataFrame:
+    cells = F.array(*(F.struct((_cell(F.col("lat"), dy) + i).alias("y"), (_cell(F.col("lon"), dx) + j).alias("x")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    return df.withColumn("cell_", F.explode(cells))
+
+
+def within(a: DataFrame, b: DataFrame, metres: float, reach: float = 60.0) -> DataFrame:
+    """Rows of a (lat, lon and others) with rows of b (lat2, lon2 and others) within a distance, with all their columns and meters, by an equality join on
+    grid cells. `reach` is the largest absolute latitude that occurs; pairs across the date line aren't found."""
+    dy = metres / METRES_A_DEGREE
+    dx = dy / math.cos(math.radians(reach))
+    there = b.withColumn("cell_", F.struct(_cell(F.col("lat2"), dy).alias("y"), _cell(F.col("lon2"), dx).alias("x")))
+    meters = haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
+    return _around(a, dy, dx).join(there, "cell_").drop("cell_").withColumn("meters", meters).where(F.col("meters") <= metres)
+
+
+def box_join(a: DataFrame, b: DataFrame, dy: float, dx: float) -> DataFrame:
+    """Rows of a (lat, lon and others) with rows of b (lat, lon and others) that differ by dy and dx degrees at most, by cells of that size."""
+    there = b.withColumnsRenamed({"lat": "lat2", "lon": "lon2"}).withColumn("cell_", F.struct(_cell(F.col("lat2"), dy).alias("y"), _cell(F.col("lon2"), dx).alias("x")))
+    inside = F.col("lat2").between(F.col("lat") - dy, F.col("lat") + dy) & F.col("lon2").between(F.col("lon") - dx, F.col("lon") + dx)
+    return _around(a, dy, dx).join(there, "cell_").where(inside).drop("cell_", "lat2", "lon2")
+
+
+def nearest(a: DataFrame, a_id: str, b: DataFrame, b_id: str, cell: float = 0.5) -> DataFrame:
+    """(a_id, b_id, meters): the nearest row of b for each row of a; ties to the millimetre go to the smaller id.
+
+    The search widens: whoever has a neighbour within the radius is done, the others go on with twice the radius, until it spans the globe."""
+    left, metres, found = cut(a.select(a_id, "lat", "lon")), cell * METRES_A_DEGREE, []
+    there = b.select(F.col(b_id).alias("other_"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    while not left.isEmpty() and metres < 41_000_000:
+        best = within(left, there, metres).groupBy(a_id).agg(F.min(F.struct(F.round("meters", 3).alias("m"), "other_", "meters")).alias("b_"))
+        found.append(cut(best.select(a_id, F.col("b_.other_").alias(b_id), F.col("b_.meters").alias("meters"))))
+        left, metres = cut(left.join(found[-1], a_id, "left_anti")), 2 * metres
+    empty = a.select(a_id).join(there.select(F.col("other_").alias(b_id)).limit(0), F.lit(False)).withColumn("meters", F.lit(0.0))
+    return reduce(DataFrame.unionByName, found) if found else empty
+
+
+def covering(points: DataFrame, areas: DataFrame, cell: float) -> DataFrame:
+    """Points (lat, lon and others) with the areas (lat0, lon0, lat1, lon1 and others) whose boxes hold them, lower edges included: areas go to the cells
+    that they touch."""
+    rows = areas.withColumn("y_", F.explode(F.sequence(_cell(F.col("lat0"), cell), _cell(F.col("lat1"), cell)))).withColumn("x_", F.explode(F.sequence(_cell(F.col("lon0"), cell), _cell(F.col("lon1"), cell))))
+    put = points.withColumns({"y_": _cell(F.col("lat"), cell), "x_": _cell(F.col("lon"), cell)})
+    held = (F.col("lat") >= F.col("lat0")) & (F.col("lat") < F.col("lat1")) & (F.col("lon") >= F.col("lon0")) & (F.col("lon") < F.col("lon1"))
+    return put.join(rows, ["y_", "x_"]).where(held).drop("y_", "x_")
+
+
+def locality(df: DataFrame, lat: str, lon: str, box: tuple[float, float, float, float], bits: int = 16) -> DataFrame:
+    """df with z, which puts near places near each other: the bits of both coordinates' cells in a box (south, west, north, east) in turn. Sort by ranges of
+    it to store."""
+    south, west, north, east = box
+    y = F.floor((F.col(lat) - south) / (north - south) * (1 << bits)).cast("long")
+    x = F.floor((F.col(lon) - west) / (east - west) * (1 << bits)).cast("long")
+    z = F.lit(0).cast("long")
+    for k in range(bits):
+        z = z + F.shiftleft(F.shiftright(x, k).bitwiseAND(F.lit(1).cast("long")), 2 * k) + F.shiftleft(F.shiftright(y, k).bitwiseAND(F.lit(1).cast("long")), 2 * k + 1)
+    return df.withColumn("z", z)

@@ -77,12 +77,22 @@ MARKS = {
 }
 
 
-def run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def source(sf_dir: str, name: str) -> str:
+    """A base table as a relation of Spark SQL: read by its path, so that no view of the session is touched."""
+    return f"(select * from parquet.`{sf_dir}/{name}.parquet`)"
+
+
+def given(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """The query's result as it is."""
     text = expand(text)
-    for name in TABLES:
-        if re.search(rf"\b{name}\b", text):
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    df = spark.sql(text)
+    tables = [f"{name} as {source(sf_dir, name)}" for name in TABLES if re.search(rf"\b{name}\b", text)]
+    if tables:
+        text = f"with {', '.join(tables)}, {text[4:].strip()}" if text.lower().startswith("with") else f"with {', '.join(tables)} {text}"
+    return spark.sql(text)
+
+
+def run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    df = given(spark, sf_dir, text)
     # Places and hours count as longs, and exact decimals of literals as doubles, so that both dialects return one schema
     kinds = {n: "double" if t.startswith("decimal") else "long" for n, t in df.dtypes if t.startswith("decimal") or n in ("i", "hr", "rnk", "place")}
     return df.withColumns({n: df[n].cast(kind) for n, kind in kinds.items()}) if kinds else df

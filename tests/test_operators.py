@@ -1,5 +1,6 @@
 """Relational and spatial operators on small cases with ties and nulls."""
 
+import math
 import random
 
 import pytest
@@ -70,4 +71,28 @@ def test_spatial(spark):
     points = spark.createDataFrame([(1, 1.0, 1.0), (2, 2.0, 3.0), (3, 5.0, 5.0)], "id int, x double, y double")
     assert {tuple(r) for r in S.containing_area(points, areas).collect()} == {(1, 1), (2, 2)}
     assert areas.where("area_id = 2").select(S.ring_area(F.col("ring")).alias("a")).first().a == 16.0
-    assert S.circle_wkt(40, 30, 100).count(",") == 72
+    text = spark.range(1).select(S.polygon_text(S.circle(F.lit(40.0), F.lit(30.0), 100)).alias("t")).first().t
+    points = [tuple(map(float, p.split())) for p in text[len("POLYGON((") : -2].split(", ")]
+    assert len(points) == 73 and points[0] == points[-1]
+    assert all(abs(math.hypot((x - 30) * 111_320 * math.cos(math.radians(40)), (y - 40) * 111_320) - 100) < 0.1 for x, y in points)
+
+
+def test_one_to_one_settles_long_chains(spark):
+    chain = [(i, j, 1000.0 - i - j) for i in range(12) for j in (i, i + 1)]
+    found = {(r.a, r.b) for r in R.one_to_one(spark.createDataFrame(chain, "a int, b int, score double")).collect()}
+    assert found == {(i, i) for i in range(12)}
+
+
+def test_nearest_widens_its_search(spark):
+    a = spark.createDataFrame([(1, 40.0, 30.0), (2, 10.0, 50.0)], "k int, lat double, lon double")
+    b = spark.createDataFrame([(7, 40.0, 30.001), (8, 40.0, 31.0), (6, 40.0, 29.999)], "id int, lat double, lon double")
+    assert sorted((r.k, r.id) for r in S.nearest(a, "k", b, "id", 0.01).collect()) == [(1, 6), (2, 8)]
+    assert S.nearest(a, "k", b.limit(0), "id", 0.01).count() == 0
+
+
+def test_running_and_ranks(spark):
+    df = spark.createDataFrame([(i, (i * 7) % 10) for i in range(200)], "id int, v int").repartition(7)
+    found = {r.id: r for r in R.ranked(df, "v").collect()}
+    assert all(found[i].least_rank == 1 + 20 * ((i * 7) % 10) and found[i].average_rank == 10.5 + 20 * ((i * 7) % 10) and found[i].n == 200 for i in found)
+    assert [r.id for r in R.numbered(df, ["v", "id"]).orderBy("place").collect()] == sorted(range(200), key=lambda i: ((i * 7) % 10, i))
+    assert R.numbered(df.limit(0), ["id"]).count() == 0 and R.ranked(df.limit(0), "v").count() == 0
