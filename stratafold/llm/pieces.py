@@ -29,8 +29,8 @@ SPACE = "▁"
 #: Kinds of pieces and models (fixed values of the format)
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
-#: Characters in a batch that the library's threads share.
-_BATCH = 1 << 20
+#: Characters in a batch that the library's threads share, and these.
+_BATCH, THREADS = 1 << 19, "2"
 
 
 @dataclass
@@ -174,12 +174,13 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     Null and empty texts give no ids and the empty text. Special tokens' strings in a text are ordinary text. Rows that repeat, or share a doc_id, are
     encoded alike; a null doc_id stays null; other columns, whatever their names, are not read; an empty table gives an empty result. A task holds a
-    batch of about a million characters, or one text, however long."""
+    batch of about half a million characters, or one text, however long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+        os.environ.setdefault("RAYON_NUM_THREADS", THREADS)
         tokenizer, original = load(model)
         asked = by_original(model)
         for b in batches:

@@ -15,9 +15,9 @@ similar_roots serves a similarity of shingle sets, far more bits apart than segm
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ from .components import components
 
 #: The longest distance that two segments can serve.
 BITS = 2
+#: Hashes whose bits are spread out at a time.
+_SPREAD = 1 << 13
 #: For a similarity: 64-bit lanes of a fingerprint, keys of each fingerprint, and bits of a key beyond those that number the texts.
 LANES, KEYS, SPARE = 4, 128, 4
 
@@ -41,11 +43,24 @@ def simhash(data: bytes, words: int = 3, seed: int = 42) -> int:
     parts = data.lower().split()  # bytes: both touch ASCII alone
     if not parts:
         return 0
-    shingles = list(map(b" ".join, zip(*(parts[i:] for i in range(words)), strict=False))) or [b" ".join(parts)]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.uint64, len(shingles))
-    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    over = 2 * bits.sum(axis=0, dtype=np.int64) > len(shingles)
-    return int(np.packbits(over, bitorder="little").view("<i8")[0])
+    return int(_majority(_hashes(parts, words, seed), lambda x: x[:, None], 1).view("<i8")[0])
+
+
+def _hashes(parts: list[bytes], words: int, seed: int) -> np.ndarray:
+    """XXH64 of each shingle of a text's words, as often as it occurs; fewer words make one shingle."""
+    n = len(parts) - words + 1
+    if n < 1:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(parts), seed)], np.uint64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, zip(*(islice(parts, i, None) for i in range(words)), strict=False)), repeat(seed)), np.uint64, n)
+
+
+def _majority(hashes: np.ndarray, lanes: Callable[[np.ndarray], np.ndarray], n: int) -> np.ndarray:
+    """The bits that over half of the hashes have, as bytes; lanes makes n words of each hash. Some thousands of hashes are spread out at a time."""
+    total = np.zeros(64 * n, np.int64)
+    for at in range(0, len(hashes), _SPREAD):
+        rows = np.ascontiguousarray(lanes(hashes[at : at + _SPREAD]).astype("<u8"))
+        total += np.unpackbits(rows.view(np.uint8).reshape(-1, 8 * n), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * total > len(hashes), bitorder="little")
 
 
 def _tag() -> Column:
@@ -100,33 +115,40 @@ def _parts(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
-def _shingles(parts: list[bytes], words: int) -> list[bytes]:
-    return list(map(b" ".join, zip(*(parts[i:] for i in range(words)), strict=False))) or [b" ".join(parts)]
-
-
 def _text(parts: list[bytes]) -> int:
     """What texts of the same words share: 64 bits of hash, as a signed number."""
     return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(parts))).view(np.int64))
 
 
-def long_simhash(parts: list[bytes], words: int, seed: int = 42) -> bytes:
-    """The fingerprint of LANES * 64 bits of a text's words: simhash() with further hashes mixed from the first."""
-    shingles = _shingles(parts, words)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.uint64, len(shingles))
-    lanes = []
+def _lanes(hashes: np.ndarray) -> np.ndarray:
+    """LANES further hashes mixed from each."""
+    found = []
     for i in range(LANES):
         x = hashes + np.uint64((0x9E3779B97F4A7C15 * i) & ((1 << 64) - 1))
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        lanes.append(x ^ (x >> np.uint64(31)))
-    bits = np.unpackbits(np.stack(lanes, 1).astype("<u8").view(np.uint8).reshape(-1, 8 * LANES), axis=1, bitorder="little")
-    return np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(shingles), bitorder="little").tobytes()
+        found.append(x ^ (x >> np.uint64(31)))
+    return np.stack(found, 1)
+
+
+def long_simhash(parts: list[bytes], words: int, seed: int = 42) -> bytes:
+    """The fingerprint of LANES * 64 bits of a text's words."""
+    return _majority(_hashes(parts, words, seed), _lanes, LANES).tobytes()
+
+
+def _set(text: bytes, words: int) -> np.ndarray:
+    """A text's distinct shingles, as sorted hashes of 64 bits."""
+    return np.unique(_hashes(_parts(text), words, 42))
 
 
 def similarity_of(a: bytes, b: bytes, words: int) -> float:
     """Jaccard similarity of the sets of two texts' shingles; texts without words are alike."""
-    x, y = (set(_shingles(_parts(t), words)) for t in (a, b))
-    return len(x & y) / len(x | y)
+    return _similarity(_set(a, words), _set(b, words))
+
+
+def _similarity(x: np.ndarray, y: np.ndarray) -> float:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared / (len(x) + len(y) - shared)
 
 
 def _far(similarity: float) -> int:
@@ -191,11 +213,16 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, si
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            stay = [similarity_of(x, y, words) >= similarity for x, y in zip(utf8(b.column("a")), utf8(b.column("b")), strict=True)]
+            stay, last, held = [], None, None
+            for x, y in zip(b.column("a").cast(pa.large_binary()), b.column("b").cast(pa.large_binary()), strict=True):
+                x, y = x.as_py() or b"", y.as_py() or b""
+                if y != last:  # many texts in a row may be held against one
+                    last, held = y, _set(y, words)
+                stay.append(_similarity(_set(x, words), held) >= similarity)
             yield pa.RecordBatch.from_pydict({"u": b.column("u"), "v": b.column("v")}).filter(pa.array(stay, pa.bool_()))
 
     side = lambda df, name, held, to: df.select(F.col("f").alias(name), F.col(held).alias(to))
-    proposed = cut(pairs.join(side(nodes, "u", "fp", "a"), "u").join(side(nodes, "v", "fp", "b"), "v").select("u", "v", "a", "b").mapInArrow(near, "u long, v long"))
+    proposed = cut(pairs.join(side(nodes, "u", "fp", "a"), "u").join(side(nodes, "v", "fp", "b"), "v").select("u", "v", "a", "b").mapInArrow(lean(near), "u long, v long"))
     asked = proposed.select("u").union(proposed.select("v")).distinct().withColumnRenamed("u", "f")
     found = in_batches(docs).select("text").mapInArrow(lean(texts), "f long, text string").join(asked, "f", "left_semi").dropDuplicates(["f"])
     return proposed.join(side(found, "u", "text", "a"), "u").join(side(found, "v", "text", "b"), "v").select("u", "v", "a", "b").mapInArrow(lean(alike), "u long, v long")
@@ -210,7 +237,7 @@ def similar_roots(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
     else shares a key and isn't in one component yet is proposed. All proposals are verified on the texts' shingles. No link is wrong, but a pair can be
     missed: all its keys may differ, or where three or more share one, both its members may be unlike the least and the greatest."""
     size = min(48, nodes.count().bit_length() + SPARE)
-    keys = nodes.select("f", "fp").mapInArrow(_keyed(size), "key long, f long")
+    keys = nodes.select("f", "fp").mapInArrow(lean(_keyed(size)), "key long, f long")
     # Cut, so that Spark can split a frequent key's rows
     ends = cut(keys.groupBy("key").agg(F.min("f").alias("first"), F.max("f").alias("last")).where("first <> last"))
     met = keys.join(ends, "key").select("f", F.explode(F.array("first", "last")).alias("v")).where("f <> v")
