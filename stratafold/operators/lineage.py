@@ -4,17 +4,24 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df without its lineage: a reliable checkpoint in the folder that the session names in spark.checkpoint.dir. Only where it names none and one
-    machine does all work, as in tests, a folder of this machine is made and set."""
-    spark = df.sparkSession
+def shared(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir. Only where it names none and one machine does all work, as in tests, a folder of this
+    machine is made and set."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and (not context.master.startswith("local") or context.master.startswith("local-cluster")):
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="stratafold-"))
+        named = tempfile.mkdtemp(prefix="stratafold-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df without its lineage: a reliable checkpoint in the shared folder."""
+    shared(df.sparkSession)
     return df.checkpoint()
