@@ -8,8 +8,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions import ROW_QUERIES
-from .plans import queries_land, queries_rules, queries_shapes, queries_sql, twins  # noqa: F401  (some register their twins)
-from .plans.forecast import forecast_ensemble
+from .plans import queries_land, queries_matching, queries_rules, queries_shapes, queries_sql, twins  # noqa: F401  (some register their twins)
+from .plans.forecast import BACKCAST_SQL, backcast_prices, forecast_ensemble, forecast_evaluation
 from .plans.model import expand, run
 from .sources.files import SOURCE_QUERIES
 from .streaming.events import STREAM_QUERIES, STREAM_SQL
@@ -28,12 +28,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{name: f for name, (f, _) in SOURCE_QUERIES.items()},
     **STREAM_QUERIES,
     "forecast_ensemble": forecast_ensemble,
+    "forecast_evaluation": forecast_evaluation,
+    "backcast_prices": backcast_prices,
     **twins.QUERIES,
 }
 ORACLE_SQL: dict[str, str] = {
     **{name: expand(text, duck=True) for name, text in SQL.items()},
     **{name: sql for table in (ROW_QUERIES, SOURCE_QUERIES) for name, (_, sql) in table.items() if sql},
     **STREAM_SQL,
+    "backcast_prices": BACKCAST_SQL,
     **twins.ORACLE_SQL,
 }
 
