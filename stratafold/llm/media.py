@@ -11,6 +11,7 @@ are read as whole arrays; the others symbol by symbol.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import struct
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import chunks, in_batches, table
+from .base import chunks, in_batches, lean, table
 
 BLOCK = 64
 #: MCUs in a row of the stored image, at most.
@@ -452,30 +453,36 @@ def stored(docs: DataFrame) -> DataFrame:
             for first, texts in chunks(b.column("text"), _CHUNK):
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(first, len(texts)), "n_bytes": pa.array(list(map(len, texts)), pa.int64()), "media": pa.array([encode(pad(x)) for x in texts], pa.binary())})
 
-    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, n_bytes long, media binary")
 
 
 def read_back(media: DataFrame, tensors: bool = True) -> DataFrame:
-    """media's rows (doc_id, n_bytes, media) with payload, feature and, where asked for, tensor: a struct of height, width and RGB samples by rows."""
+    """media's rows (doc_id, n_bytes, media) with payload, feature, and the full-resolution picture: its height, width and tensor_sha256 (of the RGB samples by
+    rows) and, where asked for, tensor: a struct of height, width and the samples. Equal media give equal rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("height", pa.int32()), ("width", pa.int32()), ("rgb", pa.binary())])
         for b in batches:
             for first, files in chunks(b.column("media"), _CHUNK):
-                payloads, features, pictures = [], [], []
+                payloads, features, pictures, shapes, digests = [], [], [], [], []
                 for data in files:
                     image = Image(data)
                     tensor = image.tensor()
                     payloads.append(image.payload())
                     features.append(feature(tensor))
+                    shapes.append(tensor.shape[:2])
+                    digests.append(hashlib.sha256(np.ascontiguousarray(tensor)).hexdigest())
                     pictures.append({"height": image.height, "width": image.width, "rgb": tensor.tobytes()} if tensors else None)
                 lot = b.slice(first, len(files))
-                yield pa.RecordBatch.from_arrays([*lot.columns, pa.array(payloads, pa.binary()), pa.array(features), pa.array(pictures, kind)], ["doc_id", "n_bytes", "media", "payload", "feature", "tensor"])
+                height, width = (pa.array([x[i] for x in shapes], pa.int32()) for i in (0, 1))
+                names = ["doc_id", "n_bytes", "media", "payload", "feature", "height", "width", "tensor_sha256", "tensor"]
+                yield pa.RecordBatch.from_arrays([*lot.columns, pa.array(payloads, pa.binary()), pa.array(features), height, width, pa.array(digests), pa.array(pictures, kind)], names)
 
-    return in_batches(media).select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, media binary, payload binary, feature string, tensor struct<height:int,width:int,rgb:binary>")
+    schema = "doc_id long, n_bytes long, media binary, payload binary, feature string, height int, width int, tensor_sha256 string, tensor struct<height:int,width:int,rgb:binary>"
+    return in_batches(media).select("doc_id", "n_bytes", "media").mapInArrow(lean(run), schema)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = read_back(stored(table(spark, sf_dir, "documents").select("doc_id", "text")), tensors=False)
     size = F.octet_length("payload")
-    return found.select("doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.substring("payload", size - 63, F.lit(64))).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature")
+    return found.select("doc_id", "n_bytes", size.cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), F.crc32(F.substring("payload", size - 63, F.lit(64))).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature", "height", "width", "tensor_sha256")

@@ -4,12 +4,17 @@ A SentencePiece model is a protobuf of scored pieces, a normaliser and a trainer
 parsed here and rebuilt as a tokenizer: the normaliser with the metaspace marker, the unigram or merge model with its scores, byte
 fallback and the decoder. A merge model's merges follow from its pieces: whichever two pieces make a third, in the order of its score.
 Texts are encoded in batches by the library's own threads, and every text's ids are held against the original processor's.
+
+Where no piece of a merge model goes on past the end of a word, merges in one word have no bearing on another. Texts are then normalised whole, and
+their distinct words encoded, decoded and held against the original processor once, as long as a worker remembers them: what a text becomes is what its words
+become; what its ids decode to is compared whole. Other models have whole texts encoded and compared.
 """
 
 from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -23,8 +28,8 @@ from .base import in_batches, lean, table
 
 #: Where the default model lies, on every machine. A parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Words whose ids by the original processor a worker remembers, at most.
-KNOWN = 1 << 16
+#: Words that a worker remembers, at most; then it forgets them all.
+KNOWN = 1 << 18
 SPACE = "▁"
 #: Kinds of pieces and models (fixed values of the format)
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -143,29 +148,73 @@ def load(path: str):
     return build(parse(data)), sentencepiece.SentencePieceProcessor(model_proto=data)
 
 
-def by_original(path: str) -> Callable[[str], list[int]]:
-    """A function that gives the original processor's ids of a text. Where the model keeps to words and changes nothing but spaces, merges in
-    one word have no bearing on another, and the processor encodes each word once and has it remembered; else it encodes whole texts."""
-    _, original = load(path)
+def _plain(spec: Spec) -> bool:
+    """Whether words can be handled one by one: a merge model that keeps to them, and a normaliser that only marks spaces."""
+    return spec.model == MERGES and _by_words(spec) and spec.dummy_prefix and spec.escape and not spec.fewer_spaces and not spec.charsmap
+
+
+class _Words:
+    """What words become: ids (32 bits each), the text that these decode to, and whether the original processor has the same ids."""
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer, self.original = load(path)
+        self.split = re.compile(f"{SPACE}+[^{SPACE}]*").findall
+        self.known: dict[str, tuple[bytes, str, bool]] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        bare = [w[1:] for w in words]  # either side puts the first space itself, but not before nothing
+        ids = [x.ids for x in self.tokenizer.encode_batch_fast(bare, add_special_tokens=False)]
+        others = self.original.encode(bare, num_threads=1)
+        if SPACE in words:
+            at = words.index(SPACE)
+            ids[at], others[at] = [self.tokenizer.token_to_id(SPACE)], [self.original.piece_to_id(SPACE)]
+        back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        for word, own, other, text in zip(words, ids, others, back, strict=True):
+            self.known[word] = array("i", own).tobytes(), text, own == other
+
+    def of(self, texts: list[str]) -> tuple[pa.Array, list[str], list[bool]]:
+        held = [self.split(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        self._needed(held)
+        known = self.known
+        ids, back, same = [], [], []
+        for words in held:
+            found = [known[w] for w in words]
+            ids.append(b"".join([x[0] for x in found]))
+            back.append(" ".join([x[1] for x in found]))
+            # Words for the ids, the whole text for what they decode to
+            same.append(all([x[2] for x in found]) and self.original.decode(array("i", ids[-1]).tolist()) == back[-1])
+        offsets = np.zeros(len(ids) + 1, np.int32)
+        np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32))), back, same
+
+    def _needed(self, held: list[list[str]]) -> None:
+        wanted = dict.fromkeys(w for words in held for w in words)
+        new = [w for w in wanted if w not in self.known]
+        if new and len(self.known) + len(new) > KNOWN:
+            self.known.clear()
+            new = list(wanted)
+        if new:
+            self._learn(new)
+
+
+def _whole(path: str) -> Callable[[list[str]], tuple[pa.Array, list[str], list[bool]]]:
+    """The same for models whose texts must be handled whole."""
+    tokenizer, original = load(path)
+
+    def of(texts: list[str]) -> tuple[pa.Array, list[str], list[bool]]:
+        ids = [x.ids if t else [] for x, t in zip(tokenizer.encode_batch_fast(texts, add_special_tokens=False), texts, strict=True)]
+        back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+        same = [original.encode(t, num_threads=1) == own and original.decode(own) == decoded for t, own, decoded in zip(texts, ids, back, strict=True)]
+        return pa.array(ids, pa.list_(pa.int32())), back, same
+
+    return of
+
+
+def encoder(path: str) -> Callable[[list[str]], tuple[pa.Array, list[str], list[bool]]]:
+    """A function of texts that gives their ids, what these decode to, and whether the original processor says the same."""
     with open(path, "rb") as f:
         spec = parse(f.read())
-    if not (spec.model == MERGES and _by_words(spec) and spec.dummy_prefix and spec.escape) or spec.fewer_spaces or spec.charsmap:
-        return lambda text: original.encode(text, num_threads=1)
-    words, known = re.compile(f"{SPACE}+[^{SPACE}]*").findall, {SPACE: [original.piece_to_id(SPACE)]}
-
-    def ids(text: str) -> list[int]:
-        out: list[int] = []
-        for word in words(SPACE + text.replace(" ", SPACE)) if text else ():
-            found = known.get(word)
-            if found is None:
-                if len(known) > KNOWN:
-                    known.clear()
-                    known[SPACE] = [original.piece_to_id(SPACE)]
-                found = known[word] = original.encode(word[1:], num_threads=1)  # it puts the first space itself
-            out += found
-        return out
-
-    return ids
+    return _Words(path).of if _plain(spec) else _whole(path)
 
 
 def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
@@ -181,18 +230,14 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         os.environ.setdefault("RAYON_NUM_THREADS", THREADS)
-        tokenizer, original = load(model)
-        asked = by_original(model)
+        of = encoder(model)
         for b in batches:
             texts = [x or "" for x in b.column("text").to_pylist()]
             sizes = np.cumsum([len(x) for x in texts])
             edges = [0, *(np.flatnonzero(np.diff(sizes // _BATCH)) + 1).tolist(), len(texts)]
             for first, last in zip(edges, edges[1:], strict=False):
-                lot = texts[first:last]
-                ids = [x.ids if t else [] for x, t in zip(tokenizer.encode_batch_fast(lot, add_special_tokens=False), lot, strict=True)]
-                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
-                same = [asked(text) == own and original.decode(own) == decoded for text, own, decoded in zip(lot, ids, back, strict=True)]
-                yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(first, last - first), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(back, pa.string()), "same": pa.array(same, pa.bool_())})
+                ids, back, same = of(texts[first:last])
+                yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(first, last - first), "ids": ids, "decoded": pa.array(back, pa.string()), "same": pa.array(same, pa.bool_())})
 
     return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, ids array<int>, decoded string, same boolean")
 

@@ -280,7 +280,7 @@ def test_substrings(docs, odd, empty):
     assert substrings.remove_repeats(docs).columns == docs.columns
 
 
-def test_media(docs, empty):
+def test_media(docs, odd, empty):
     rng = random.Random(6)
     for n in (1, 6, 7, 50, 6200):
         payload = rng.randbytes(64 * n)
@@ -293,16 +293,101 @@ def test_media(docs, empty):
     found = {r.doc_id: r for r in media.read_back(media.stored(docs)).collect()}
     for i, t in enumerate(corpus()):
         assert bytes(found[i].payload) == media.pad((t or "").encode()) and len(found[i].tensor.rgb) == 3 * found[i].tensor.height * found[i].tensor.width
-    assert found[1].feature == found[0].feature and media.stored(empty).count() == 0
+        rgb = np.frombuffer(found[i].tensor.rgb, np.uint8)
+        assert (found[i].height, found[i].width) == (found[i].tensor.height, found[i].tensor.width) and found[i].tensor_sha256 == hashlib.sha256(rgb).hexdigest()
+    assert found[1].feature == found[0].feature and media.stored(empty).count() == 0 and media.read_back(media.stored(odd)).count() == 6
     assert media.pad(b"") == bytes(64) and media.pad(b"x" * 64) == b"x" * 64
 
 
+def by_scans(blocks, side):
+    """A progressive JPEG of one component whose coefficients, zeros among them, are sent symbol by symbol in four scans."""
+    import struct
+
+    def scan(first, last, high, low, bits):
+        return media._segment(0xDA, bytes([1, 1, 0, first, last, high << 4 | low])) + media._packed(np.array(bits, np.uint8))
+
+    def number(x, n):
+        return [x >> i & 1 for i in range(n - 1, -1, -1)]
+
+    symbols = list(range(250))
+    code = lambda s: number(s, 8)
+    signed = lambda v: number(v if v > 0 else v + (1 << abs(v).bit_length()) - 1, abs(v).bit_length())
+    dc, last = [], 0
+    for b in blocks:
+        step, last = (b[0] >> 1) - last, b[0] >> 1
+        dc += code(abs(step).bit_length()) + (signed(step) if step else [])
+    runs, held, first, more = 0, [], [], []
+
+    def flush(out):
+        nonlocal runs, held
+        if runs:
+            n = runs.bit_length() - 1
+            out += code(n << 4) + number(runs - (1 << n), n) + held
+        runs, held = 0, []
+
+    for b in blocks:
+        r = 0
+        for c in b[1:]:
+            v = abs(c) >> 1
+            if not v:
+                r += 1
+                continue
+            flush(first)
+            first += code(0xF0) * (r // 16)
+            v = v if c > 0 else -v
+            first += code(r % 16 << 4 | abs(v).bit_length()) + signed(v)
+            r = 0
+        runs += r > 0
+    flush(first)
+    for b in blocks:
+        size = [abs(c) for c in b]
+        end = max((k for k in range(1, 64) if size[k] == 1), default=0)
+        r, own = 0, []
+        for k in range(1, 64):
+            if not size[k]:
+                r += 1
+                continue
+            while r > 15 and k <= end:
+                flush(more)
+                more += code(0xF0) + own
+                own, r = [], r - 16
+            if size[k] > 1:
+                own.append(size[k] & 1)
+                continue
+            flush(more)
+            more += code(r << 4 | 1) + [int(b[k] > 0)] + own
+            own, r = [], 0
+        if r or own:
+            runs += 1
+            held += own
+    flush(more)
+    frame = media._segment(0xC2, struct.pack(">BHHB", 8, side, side, 1) + bytes([1, 0x11, 0]))
+    head = b"\xff\xd8" + media._segment(0xDB, bytes([0]) + bytes([1]) * 64) + frame + media._huffman(0, 0, symbols, 8) + media._huffman(1, 0, symbols, 8)
+    return head + scan(0, 0, 0, 1, dc) + scan(1, 63, 0, 1, first) + scan(0, 0, 1, 0, [b[0] & 1 for b in blocks]) + scan(1, 63, 1, 0, more) + b"\xff\xd9"
+
+
+def test_media_reads_runs_of_zeros():
+    rng = random.Random(12)
+    for often in (0.0, 0.01, 0.1, 0.5, 1.0):
+        for _ in range(6):
+            blocks = [[rng.randint(-200, 200)] + [rng.choice([-9, -3, -2, -1, 1, 1, 2, 5, 40]) if rng.random() < often else 0 for _ in range(63)] for _ in range(36)]
+            for whole in (True, False):
+                got = media.Image(by_scans(blocks, 48), whole)
+                assert got.parts[1].coefficients.reshape(-1, 64).tolist() == blocks
+    assert got.tensor().shape == (48, 48, 3)
+
+
 def test_pieces(docs, odd, empty):
     texts = ["", "a  b", " lead", "日本語 \U0001f600", "</s> <0x0A>", "▁x▁▁", "tab\tline\n\n", *[t or "" for t in corpus()[:30]]]
     tokenizer, original = pieces.load(pieces.MODEL)
     for t in texts[1:]:
         ids = tokenizer.encode(t, add_special_tokens=False).ids if t else []
         assert ids == original.encode(t) and tokenizer.decode(ids, skip_special_tokens=False) == original.decode(ids)
+    ids, back, same = pieces.encoder(pieces.MODEL)(texts)
+    whole = pieces._whole(pieces.MODEL)(texts)  # no word by itself
+    assert (ids.to_pylist(), back, same) == (whole[0].to_pylist(), whole[1], whole[2]) and all(same)
+    assert all(b == t for b, t in zip(back, texts, strict=True) if pieces.SPACE not in t)  # the mark itself comes back as a space
+    assert all(tokenizer.normalizer.normalize_str(t) == pieces.SPACE + t.replace(" ", pieces.SPACE) for t in texts if t)
     got = {r.doc_id: r for r in pieces.encoded(docs).collect()}
     assert all(r.same for r in got.values()) and got[8].ids == [] and got[0].decoded == corpus()[0]
     assert pieces.encoded(odd).count() == 6 and pieces.encoded(empty).count() == 0

@@ -108,3 +108,36 @@ def test_short_toxic_texts_are_toxic(spark):
     text = " ".join(plain)
     offset = lambda x: sum(map(model._word, toxicity.words(x))) / len(x.split()) - model.evidence(x)
     assert offset(text + " zorgix" * 50) == pytest.approx(offset(text))
+
+
+def test_pipeline_content(spark, sf_dir, tmp_path):
+    """Every stage on odd rows and on none, and the whole against its stages: who stays, what is cut, how often the mix takes it, what the ids decode to."""
+    import hashlib
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size int, row_ string, key string"
+    rng = random.Random(11)
+    words = [f"{a}{b}{c}" for a in ("ka", "lo", "mi") for b in ("ra", "so", "ti") for c in ("n", "m", "l", "x")]
+    passage = " ".join(rng.choices(words, k=30))
+    rows = [(i, " ".join(rng.choices(words, k=40)) + (f" {passage}" if i % 9 == 0 else ""), "en", f"s{i % 2}", 1, i, "r", "k") for i in range(60)]
+    rows += [(100, rows[3][1], "en", "s1", 1, 0, None, None), (None, "alone and without an id, as it were", None, None, None, None, None, None), (101, None, None, None, None, None, None, None), (102, "", None, "s0", 0, 0, "", "")]
+    (tmp_path / "in").mkdir()
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in/documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(str(tmp_path / "in/labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "in/documents.parquet"))
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path / "in"))
+        assert kept.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), str(tmp_path / "in")).count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), "").count() == 0
+    clean = {r.doc_id: r for r in corpus_pipeline.substring_dedup(spark, corpus_pipeline.near_dedup(spark, docs, ""), "").collect()}
+    assert set(clean) == {*range(60), None, 101} and clean[0].text == rows[0][1] and all(len(clean[i].text) < len(rows[i][1]) for i in range(9, 60, 9))
+    assert clean[None].text == "alone and without an id, as it were" and clean[101].text == "" and clean[5].size == 5
+    out = corpus_pipeline.run(spark, str(tmp_path / "in")).collect()
+    assert out and all(r.same for r in out)
+    tokenizer, _ = pieces.load(pieces.MODEL)
+    for r in out:
+        assert hashlib.sha256(tokenizer.decode(r.ids, skip_special_tokens=False).encode()).digest() == hashlib.sha256(clean[r.doc_id].text.encode()).digest()
+    assert max(Counter(r.doc_id for r in out).values()) <= 3
+    real = corpus_pipeline.run(spark, sf_dir)
+    assert real.count() > 100 and real.where("not same").count() == 0
