@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from .functions import ROW_QUERIES
-from .plans import queries_land, queries_matching, queries_rules, queries_shapes, queries_sql, twins  # noqa: F401  (some register their twins)
+from .plans import queries_land, queries_matching, queries_more, queries_rules, queries_shapes, queries_sql, queries_surface, twins  # noqa: F401  (some register their twins)
 from .plans.forecast import BACKCAST_SQL, backcast_prices, forecast_ensemble, forecast_evaluation
 from .plans.model import expand, run
 from .sources.files import SOURCE_QUERIES

@@ -100,16 +100,9 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.array_join(F.array_sort(F.json_object_keys("props")), ",").alias("names"))
 
 
-def url_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _read(spark, sf_dir, "pages")
-    bare = F.regexp_replace(F.regexp_replace(F.lower("url"), "[?#].*$", ""), "^https?://(www[.]|m[.])?", "")
-    return p.select("page_id", F.regexp_replace(bare, "/+$", "").alias("canonical"))
-
-
 ROW_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "jaro_winkler_match": (jaro_winkler_match, "select a.p_partkey a_id, b.p_partkey b_id, round(jaro_winkler_similarity(lower(a.p_name), lower(b.p_name)), 9) score from part a join part b on a.p_brand = b.p_brand and a.p_size = b.p_size and a.p_partkey < b.p_partkey where round(jaro_winkler_similarity(lower(a.p_name), lower(b.p_name)), 9) >= 0.8"),
     "token_jaccard_pairs": (token_jaccard_pairs, "with t as (select p_partkey, p_brand, p_size, list_distinct(string_split(trim(regexp_replace(lower(p_type), '[^a-z0-9]+', ' ', 'g')), ' ')) w from part) select * from (select a.p_partkey a_id, b.p_partkey b_id, round(len(list_intersect(a.w, b.w)) / len(list_distinct(list_concat(a.w, b.w))), 9) score from t a join t b on a.p_brand = b.p_brand and a.p_size = b.p_size and a.p_partkey < b.p_partkey) where score >= 0.5"),
     "gtfs_time_parse": (gtfs_time_parse, "select event_id, (extract(hour from ts) * 3600 + extract(minute from ts) * 60 + extract(second from ts))::bigint secs from events"),
     "json_props": (json_props, "select event_id, cast(json_extract_string(props, '$.k') as bigint) k, array_to_string(list_sort(json_keys(props)), ',') as names from events"),
-    "url_canonical": (url_canonical, "select page_id, regexp_replace(regexp_replace(regexp_replace(lower(url), '[?#].*$', ''), '^https?://(www[.]|m[.])?', ''), '/+$', '') canonical from pages"),
 }

@@ -132,3 +132,21 @@ def locality(df: DataFrame, lat: str, lon: str, box: tuple[float, float, float,
     for k in range(bits):
         z = z + F.shiftleft(F.shiftright(x, k).bitwiseAND(F.lit(1).cast("long")), 2 * k) + F.shiftleft(F.shiftright(y, k).bitwiseAND(F.lit(1).cast("long")), 2 * k + 1)
     return df.withColumn("z", z)
+
+
+def overlaid(boxes: DataFrame, areas: DataFrame, box_id: str, value: str, cell: float = 1.0) -> DataFrame:
+    """(box_id, value): the sum of the areas' values, each by the part of the area (lat0, lon0, side) that a box (s, n, w, e) covers. Both go to the cells
+    that they touch; a pair that shares several counts in the first of them."""
+
+    def cells(df: DataFrame, low: tuple[Column, Column], high: tuple[Column, Column]) -> DataFrame:
+        return df.withColumn("y_", F.explode(F.sequence(_cell(low[0], cell), _cell(high[0], cell)))).withColumn("x_", F.explode(F.sequence(_cell(low[1], cell), _cell(high[1], cell))))
+
+    c = F.col
+    a = cells(boxes, (c("s"), c("w")), (c("n"), c("e")))
+    b = cells(areas, (c("lat0"), c("lon0")), (c("lat0") + c("side"), c("lon0") + c("side")))
+    south, west = F.greatest("s", "lat0"), F.greatest("w", "lon0")
+    high = F.greatest(F.lit(0.0), F.least(c("n"), c("lat0") + c("side")) - south)
+    wide = F.greatest(F.lit(0.0), F.least(c("e"), c("lon0") + c("side")) - west)
+    first = (c("y_") == _cell(south, cell)) & (c("x_") == _cell(west, cell))
+    pairs = a.join(b, ["y_", "x_"]).where(first & (high > 0) & (wide > 0))
+    return pairs.groupBy(box_id).agg(F.sum(high * wide / (c("side") * c("side")) * F.coalesce(c(value), F.lit(0))).alias(value))

@@ -16,20 +16,17 @@ SQL: dict[str, str] = {
     "seismic_score": "with d as (select p_partkey, (p_partkey * 13 % 1800) / 10.0 km from part) select p_partkey, case when km > 150 then 95 when km <= 5 then 25 when km <= 15 then 50 when km <= 35 then 70 when km <= 70 then 85 else 95 end score from d",
     "flood_score": "with d as (select p_partkey, least(p_partkey * 91 % 900, p_partkey * 57 % 1200) m from part) select p_partkey, case when m <= 60 then 20 when m <= 150 then 55 when m <= 400 then 80 else 100 end score from d",
     "composite_land_score": "with s as (select p_partkey, p_partkey * 7 % 101 water, p_partkey * 11 % 101 slope, p_partkey * 13 % 101 sun, p_partkey * 17 % 101 flood, p_partkey * 19 % 101 quake from part), t as (select p_partkey, greatest(10, least(100, cast(floor((35 * water + 25 * slope + 15 * sun + 15 * flood + 10 * quake) / 100) as int))) score from s) select p_partkey, score, case when score >= 85 then 'A+' when score >= 70 then 'A' when score >= 55 then 'B' when score >= 40 then 'C' else 'D' end cls from t",
-    "nearest_settlement": "with s as (select n_nationkey id, 36 + n_nationkey * 47 % 600 / 100.0 lat, 26 + n_nationkey * 83 % 1900 / 100.0 lon from nation) select p.id, min(case when " + distance("p.", "s.") + " <= 150000 then round(" + distance("p.", "s.") + ", 2) end) meters from poi p left join s on s.lat between p.lat - 1.5 and p.lat + 1.5 and s.lon between p.lon - 2 and p.lon + 2 group by p.id",
     "nearest_per_class": "with d as (select case when category like '%BRASS%' then 'well' when category like '%STEEL%' then 'canal' when category like '%TIN%' then 'spring' else 'tank' end cls, id, " + dist_to(39.5, 33.5) + " m from poi where lat between 38 and 41 and lon between 32 and 35) select cls, count(*) n, min_by(id, round(m, 3) * 1e7 + id) nearest, round(min(m), 2) meters from d group by cls",
     "segment_distance": "with s as (select id, lat, lon, (lon - 30) * 111320 * cos(radians(39.0)) px, (lat - 39) * 111320 py, 50000.0 bx, 20000.0 by_ from poi), t as (select *, greatest(0.0, least(1.0, (px * bx + py * by_) / (bx * bx + by_ * by_))) u from s) select id, round(sqrt(power(px - u * bx, 2) + power(py - u * by_, 2)), 3) meters from t",
     "bounding_box": "select id, round(lat - 500 / 111320.0, 9) south, round(lat + 500 / 111320.0, 9) north, round(lon - 500 / (111320.0 * cos(radians(lat))), 9) west, round(lon + 500 / (111320.0 * cos(radians(lat))), 9) east from poi",
     "ring_counts": "with d as (select brand, " + dist_to(39.0, 34.0) + " m from poi) select brand, count(case when m <= 50000 then 1 end) within_50, count(case when m <= 100000 then 1 end) within_100, count(case when m <= 300000 then 1 end) within_300 from d group by brand",
     "local_density_ratio": "with d as (select brand, " + dist_to(39.0, 34.0) + " m from poi) select brand, round((count(case when m <= 100000 then 1 end) / 31415.926536) / nullif(count(case when m <= 500000 then 1 end) / 785398.163397, 0), 6) ratio from d group by brand",
     "buildable_capacity": "select p_partkey, cast(p_size * 50 as double) area, cast(p_size * 75 as double) gross, cast(p_size * 15 as double) footprint, cast(ceil(1.5 / 0.3 - 1e-9) as int) floors from part",
-    "comparable_statistics": "with c as (select id, price, 100 - (id % 60) w from poi where brand = 'Brand#13' or brand = 'Brand#23'), o as (select *, sum(w) over (order by price, id rows between unbounded preceding and current row) upto, sum(w) over () total from c) select count(*) n, percentile_cont(0.25) within group (order by price) p25, percentile_cont(0.5) within group (order by price) median, percentile_cont(0.75) within group (order by price) p75, min(case when upto * 2 >= total then price end) weighted_median from o",
     "area_band_segments": "select case when p_size <= 10 then '1-10' when p_size <= 25 then '11-25' when p_size <= 40 then '26-40' else '41+' end band, count(*) n, round(avg(p_retailprice), 6) mean, bool_or(p_size = 30) matches from part group by 1",
     "zoning_shares_top6": "with c as (select p_type z, count(*) n from part group by 1), r as (select z, n, round(100.0 * n / sum(n) over (), 6) share, row_number() over (order by n desc, z) i from c) select z, n, share, i from r where i <= 6",
     "index_history_split": "select geo_id, period, round(avg(case when projected = 0 then v end), 4) observed, round(avg(case when projected = 1 then v end), 4) projection from cell group by geo_id, period",
     "representative_fallback": "with n as (select geo_id, unit_id, count(*) n from obs group by 1, 2), r as (select *, row_number() over (partition by geo_id order by n desc, unit_id) i from n) select geo_id, unit_id representative, n from r where i = 1",
     "transactions_by_year": "select substr(period, 1, 4) yr, dim, count(*) n, round(avg(v), 4) mean from obs where substr(period, 1, 4) >= '1997' group by 1, 2",
-    "point_cap_flagged": "with c as (select o_custkey, count(*) n from orders group by 1), r as (select *, row_number() over (order by n desc, o_custkey) i, count(*) over () total from c) select o_custkey, n, total > 400 truncated from r where i <= 400",
     "access_gate": "select c_custkey, case c_mktsegment when 'BUILDING' then 'full' when 'MACHINERY' then 'basic' else 'none' end package, c_mktsegment = 'BUILDING' or (c_mktsegment = 'MACHINERY' and c_nationkey < 12) allowed from customer",
     "air_quality_exceedance": "with d as (select event_type station, substr(cast(ts as string), 1, 10) dd, avg(value) v from events group by 1, 2) select station, count(*) n_days, round(avg(v), 6) mean, count(case when v > 50 then 1 end) over_50 from d group by station",
     "period_block": "select geo_id, count(case when period like '2000-%' then 1 end) last_12, count(case when period like '1999-%' then 1 end) previous_12, round(100.0 * count(case when period like '2000-%' then 1 end) / nullif(count(case when period like '1999-%' then 1 end), 0) - 100, 6) change_pct from obs group by geo_id",
@@ -43,7 +40,6 @@ SQL: dict[str, str] = {
     "room_type_guess": "select doc_id, case when lower(text) like '%villa%' then 'villa' when lower(text) like '%arsa%' then 'land' when strlen_ > 2000 then 'long' else 'unknown' end guess from (select doc_id, text, n_chars strlen_ from documents) d",
     "address_parse": "with a as (select c_custkey, 'Cadde ' || cast(c_nationkey as string) || ' No: ' || cast(c_custkey % 200 as string) || ' ' || lpad(cast(c_custkey % 81 as string), 2, '0') || '100' t from customer) select c_custkey, regexp_extract(t, 'Cadde ([0-9]+)', 1) street, regexp_extract(t, 'No: ([0-9]+)', 1) house, regexp_extract(t, '([0-9]{5})$', 1) postal from a",
     "mojibake_repair": "select n_nationkey, replace(replace(replace(n_name || 'Ã¼Ã§Ä±', 'Ã¼', 'ü'), 'Ã§', 'ç'), 'Ä±', 'ı') fixed from nation",
-    "raw_copy_staging": "select n_nationkey raw_key, n_name raw_name, row_number() over (order by n_nationkey) place, @sha(concat_ws('|', cast(n_nationkey as string), coalesce(n_name, '-'), cast(n_regionkey as string))@bits) row_hash from nation",
     "ingest_coverage": "select o_orderstatus fmt, count(*) inventory, count(c_custkey) staged, round(100.0 * count(c_custkey) / count(*), 4) coverage from orders left join (select c_custkey from customer where c_custkey % 10 <> 0) c on c_custkey = o_custkey group by 1",
     "flight_board_diff": "with a as (select o_custkey k, max(o_totalprice) t from orders where o_orderkey % 2 = 0 group by 1), b as (select o_custkey k, max(o_totalprice) t from orders where o_orderkey % 3 = 0 group by 1) select coalesce(a.k, b.k) k, case when a.k is null then 'new' when b.k is null then 'cancelled' when a.t <> b.t then 'changed' end change, a.t before_t, b.t after_t from a full outer join b on a.k = b.k where a.k is null or b.k is null or a.t <> b.t",
     "district_center": "select brand, round(avg(lat), 8) lat, round(avg(lon), 8) lon from poi group by brand",
@@ -60,8 +56,6 @@ SQL: dict[str, str] = {
     "winner_reason_counts": "with r as (select geo_id, period, dim, src, upd, h, row_number() over (partition by geo_id, period, dim order by projected, upd desc, src, h) i, lead(upd) over (partition by geo_id, period, dim order by projected, upd desc, src, h) u2, lead(src) over (partition by geo_id, period, dim order by projected, upd desc, src, h) s2 from obs) select case when u2 is null then 'single' when upd <> u2 then 'newer' when src <> s2 then 'source' else 'hash' end reason, count(*) n from r where i = 1 group by 1",
     # Transit
     "stop_time_fill": "with t as (select o_custkey trip, cast(row_number() over (partition by o_custkey order by o_orderkey) as bigint) seq, case when o_orderkey % 3 = 0 then o_totalprice end t from orders), w as (select *, max(case when t is not null then seq end) over (partition by trip order by seq rows between unbounded preceding and current row) a, min(case when t is not null then seq end) over (partition by trip order by seq rows between current row and unbounded following) b from t) select trip, seq, case when t is not null then 'given' when a is not null and b is not null then 'interpolated' else 'missing' end kind, a prev_seq, b next_seq from w",
-    "frequency_expansion": "with f as (select n_nationkey k, n_nationkey * 600 begins, n_nationkey * 600 + 3600 ends, 900 step from nation), s as (select 0 i union all select 1 union all select 2 union all select 3) select k, begins + i * step departs from f cross join s where begins + i * step < ends",
-    "stop_pattern_signature": "with t as (select l_orderkey trip, count(*) || '-' || @stops signature from lineitem group by 1) select signature, count(*) trips, min(trip) sample from t group by signature",
     "service_labels": "select user_id, count(distinct @dow(ts)) n_weekdays, case when count(distinct @dow(ts)) = 7 then 'daily' when count(distinct case when @dow(ts) in (0, 6) then @dow(ts) end) = 0 then 'weekdays' else 'some' end label from events group by user_id",
     "line_hour_ratio": "with e as (select event_type line, extract(hour from ts) h, count(*) n from events group by 1, 2) select line, h as hr, n, round(n / avg(n) over (partition by line), 6) ratio from e",
 }

@@ -386,3 +386,18 @@ def name_map_fallback(spark, sf_dir):
     offers = s.join(first, "n").select("s_suppkey", "preference", "nm").unionByName(s.join(then, "r").select("s_suppkey", "preference", "nm"))
     best = offers.groupBy("s_suppkey").agg(F.min(F.struct("preference", "nm"))["nm"].alias("nm"))
     return s.select("s_suppkey").join(best, "s_suppkey", "left").select("s_suppkey", F.coalesce("nm", F.lit("manual")).alias("nm"))
+
+
+@twin("spearman_average_rank", "select c_custkey, c_nationkey x, cast(floor(c_acctbal / 100) as int) y from customer", """with a as (select x, sum(count(*)) over (order by x) - (count(*) - 1) / 2.0 rx from i group by x), b as (select y, sum(count(*)) over (order by y) - (count(*) - 1) / 2.0 ry from i group by y)
+    select round(corr(rx, ry), 9) spearman, count(*) n from i join a using (x) join b using (y)""")
+def spearman_average_rank(i):
+    rx = relational.ranked(i, "x").select("c_custkey", "y", F.col("average_rank").alias("rx"))
+    both = relational.ranked(rx, "y").select("rx", F.col("average_rank").alias("ry"))
+    return both.agg(F.round(F.corr("rx", "ry"), 9).alias("spearman"), F.count("*").alias("n"))
+
+
+@twin("raw_copy_staging", "select c_custkey, c_name, c_mktsegment from customer", "select row_number() over (order by c_custkey) ordinal, c_custkey::varchar raw_c_custkey, c_name raw_c_name, c_mktsegment raw_c_mktsegment, sha256(c_custkey::varchar || chr(31) || c_name || chr(31) || c_mktsegment) row_hash, 'customer' source from i")
+def raw_copy_staging(i):
+    """Every column as it is, as text, with the row's hash, number and source; numbers come range by range, not from one task."""
+    raw = relational.numbered(i, ["c_custkey"])
+    return raw.select(F.col("place").alias("ordinal"), *(F.col(c).cast("string").alias(f"raw_{c}") for c in i.columns), rules.row_hash(*(F.col(c) for c in i.columns)).alias("row_hash"), F.lit("customer").alias("source"))

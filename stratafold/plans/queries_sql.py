@@ -26,7 +26,6 @@ SQL: dict[str, str] = {
     "unit_scale_case": "select o_orderkey, round(o_totalprice * case when o_orderpriority in ('1-URGENT', '2-HIGH') then 1.0 else 100.0 end, 4) scaled from orders",
     "observation_kind": "select h, case when projected = 1 or period > '2001-05' then 'projected' else 'observed' end kind from obs",
     "review_flags": "select id, concat_ws(',', case when rating < 1 then 'low_rating' end, case when price > 1500 then 'high_price' end, case when lat > 41 then 'north' end) flags from poi",
-    "row_hash": "select c_custkey, @sha(concat_ws('|', coalesce(c_name, '-'), coalesce(c_mktsegment, '-'), cast(c_nationkey as string))@bits) row_hash from customer",
     "stable_ids": "select s_suppkey, 'SUP_' || md5(s_name || '|' || cast(s_nationkey as string)) stable_id from supplier",
     "change_detection": """select a.c_custkey, a.c_nationkey old_nation, b.n2 new_nation from customer a join (select c_custkey, case when c_custkey % 7 = 0 then null else c_nationkey end n2 from customer) b
         on a.c_custkey = b.c_custkey where a.c_nationkey is distinct from b.n2""",
@@ -37,8 +36,6 @@ SQL: dict[str, str] = {
     "phone_digits": "select c_custkey, right(regexp_replace('+90 (5' || cast(c_custkey * 7919 % 1000000000 as string) || ') ' || c_name, '[^0-9]', ''@all), 10) digits from customer",
     "localized_number_parse": "select o_orderkey, cast(replace(replace(replace(cast(cast(floor(o_totalprice) as bigint) as string) || ',5', '.', ''), ',', '.'), ' ', '') as double) parsed from orders",
     "significant_rounding": "select p_partkey, case when abs(p_retailprice) < 1e6 then round(round(p_retailprice / power(10, floor(log10(abs(p_retailprice))) - 5)) * power(10, floor(log10(abs(p_retailprice))) - 5), 6) else round(p_retailprice, 2) end shown from part where p_retailprice <> 0",
-    "shard_by_hash": "select c_custkey, ascii(substr(md5(cast(c_custkey as string)), 1, 1)) % 4 shard from customer",
-    "recency_score": "select o_orderkey, greatest(0.2, 1 - datediff(@day, cast(o_orderdate as date), cast('2001-08-01' as date)) / 730.0) recency from orders",
     # Joins
     "full_outer_profile_merge": "select coalesce(a.k, b.k) k, a.n customers, b.n suppliers from (select c_nationkey k, count(*) n from customer where c_nationkey < 20 group by 1) a full outer join (select s_nationkey k, count(*) n from supplier where s_nationkey > 5 group by 1) b on a.k = b.k",
     "semi_scope": "select c_custkey from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'P')",
@@ -51,13 +48,9 @@ SQL: dict[str, str] = {
         left join (select il_id, count(*) n from obs group by 1) c on c.il_id = (case when g.level = 'mahalle' then 'IL_' || (cast(split_part(g.parent_id, '_', 2) as int) % 5) end) where g.level = 'mahalle'""",
     "correlated_scalar": "select n_nationkey, (select count(*) from customer where c_nationkey = n_nationkey) customers, (select max(s_acctbal) from supplier where s_nationkey = n_nationkey) best from nation",
     "grid_distance_join": "with g as (select *, cast(floor(lat / 0.5) as bigint) gy, cast(floor(lon / 0.5) as bigint) gx from poi), n as (select g.*, dy.d dy, dx.d dx from g cross join (select -1 d union all select 0 union all select 1) dy cross join (select -1 d union all select 0 union all select 1) dx) select a.id a_id, b.id b_id, round(" + distance("a.", "b.") + ", 3) meters from n a join g b on b.gy = a.gy + a.dy and b.gx = a.gx + a.dx and b.id > a.id where " + distance("a.", "b.") + " <= 20000",
-    "bbox_range_join": "with c as (select * from poi where id % 50 = 0) select c.id center, count(*) n from c join poi p on p.lat between c.lat - 0.4 and c.lat + 0.4 and p.lon between c.lon - 0.3 and c.lon + 0.3 and cast(floor(p.lat) as int) between cast(floor(c.lat - 0.4) as int) and cast(floor(c.lat + 0.4) as int) group by c.id",
-    "nearest_neighbour_minby": "with s as (select s_suppkey, 36 + (s_suppkey * 53 % 600) / 100.0 lat, 26 + (s_suppkey * 71 % 1900) / 100.0 lon from supplier) select s.s_suppkey, min_by(p.id, round(" + distance("s.", "p.") + ", 3) * 1e7 + p.id) nearest, round(min(" + distance("s.", "p.") + "), 2) meters from s join poi p on p.lat between s.lat - 1.5 and s.lat + 1.5 and p.lon between s.lon - 1.5 and s.lon + 1.5 group by s.s_suppkey",
-    "point_in_rectangle_smallest": "with r as (select n_nationkey id, 36 + n_nationkey % 6 lat0, 26 + n_nationkey % 18 lon0, 1 + n_nationkey % 3 side from nation) select p.id, min_by(r.id, r.side * 1000 + r.id) area_id, count(*) hits from poi p join r on p.lat >= r.lat0 and p.lat < r.lat0 + r.side and p.lon >= r.lon0 and p.lon < r.lon0 + r.side group by p.id",
     "series_alignment": "with x as (select geo_id, avg(v) x from cell where dim = 'F' group by 1), y as (select geo_id, avg(v) y from cell where dim = 'O' group by 1) select x.geo_id, round(x, 4) x, round(y, 4) y from x join y on x.geo_id = y.geo_id where x is not null and y is not null",
     "parent_value_inheritance": "with own as (select unit_id, avg(v) v from obs where v > 400000 group by 1), par as (select geo_id, avg(v) v from obs group by 1) select g.geo_id, round(coalesce(own.v, par.v), 4) v, case when own.v is null then 'inherited' else 'own' end origin from geo g left join own on own.unit_id = g.geo_id left join par on par.geo_id = g.parent_id where g.level = 'mahalle'",
     "snapshot_diff_events": "with a as (select distinct user_id, event_type from events where substr(cast(ts as string), 1, 10) < '2024-01-11'), b as (select distinct user_id, event_type from events where substr(cast(ts as string), 1, 10) >= '2024-01-20') select coalesce(a.user_id, b.user_id) user_id, coalesce(a.event_type, b.event_type) event_type, case when a.user_id is null then 'added' when b.user_id is null then 'removed' else 'stayed' end change from a full outer join b on a.user_id = b.user_id and a.event_type = b.event_type",
-    "winner_runner_up": "with r as (select geo_id, period, dim, src, v, row_number() over (partition by geo_id, period, dim order by upd desc, src, h) rk from obs) select w.geo_id, w.period, w.dim, w.src winner, u.src runner_up, w.v winner_v, u.v runner_v from r w left join r u on w.geo_id = u.geo_id and w.period = u.period and w.dim = u.dim and u.rk = 2 where w.rk = 1",
     # Aggregates
     "obs_dedup_latest": "select geo_id, period, dim, v, copies, conflict from cell",
     "conflict_summary": "select dim, cast(sum(copies) as bigint) n_rows, count(*) cells, count(case when conflict then 1 end) conflicts from cell group by dim",
@@ -72,15 +65,12 @@ SQL: dict[str, str] = {
     "zero_filled_counts": "select g.geo_id, coalesce(c.n, 0) n from geo g left join (select unit_id, count(*) n from obs where v > 450000 group by 1) c on c.unit_id = g.geo_id where g.level = 'mahalle'",
     "density_per_1000": "select g.geo_id, coalesce(c.n, 0) n, round(1000.0 * coalesce(c.n, 0) / nullif(p.people, 0), 6) per_1000 from geo g join pop p on p.unit_id = g.geo_id left join (select unit_id, count(*) n from obs where dim = 'P' group by 1) c on c.unit_id = g.geo_id where p.people >= 5",
     "pop_change_5y": "with y as (select 'ILCE_' || c_nationkey geo_id, substr(cast(o_orderdate as string), 1, 4) yr, count(distinct c_custkey) n from orders join customer on o_custkey = c_custkey group by 1, 2), m as (select max(yr) last_yr from y) select geo_id, max(case when yr = last_yr then n end) n_last, max(case when cast(yr as int) = cast(last_yr as int) - 5 then n end) n_before, round(100.0 * max(case when yr = last_yr then n end) / nullif(max(case when cast(yr as int) = cast(last_yr as int) - 5 then n end), 0) - 100, 6) change_pct from y cross join m group by geo_id",
-    "trailing_12m_sum": "with m as (select geo_id, period, cast(substr(period, 1, 4) as int) * 12 + cast(substr(period, 6, 2) as int) i, count(*) n from obs group by 1, 2, 3) select a.geo_id, a.period, cast(sum(b.n) as bigint) total from m a join m b on a.geo_id = b.geo_id and b.i between a.i - 11 and a.i group by a.geo_id, a.period having count(*) = 12",
     "category_share_classified": "with c as (select case when p_size > 40 then null else p_brand end category, count(*) n from part group by 1) select category, n, case when category is not null then round(100.0 * n / sum(case when category is not null then n end) over (), 6) end share from c",
     "share_of_year_total": "with y as (select substr(cast(o_orderdate as string), 1, 4) yr, o_orderpriority sector, sum(o_totalprice) v from orders group by 1, 2) select yr, sector, round(100 * v / sum(v) over (partition by yr), 6) share from y",
-    "competition_rank": "select s_suppkey, rank() over (order by s_acctbal desc) rnk, count(*) over () n from supplier",
     "duplicate_groups": "select md5(text) h, count(*) n, min(doc_id) first_doc, count(distinct source) sources from documents group by md5(text) having count(*) > 1",
     "audit_summary": "select min(period) earliest, max(period) latest, count(case when projected = 1 then 1 end) projected_rows, count(distinct src) sources, count(distinct geo_id) geos from obs",
     "accounting_check": "select bool_and(n = m) ok, count(*) cells from (select o_orderstatus s, count(*) n from orders group by 1) a join (select o_orderstatus s2, sum(k) m from (select o_orderstatus, o_orderpriority, count(*) k from orders group by 1, 2) x group by 1) b on a.s = b.s2",
     "pearson_corr": "select round(corr(x, y), 9) pearson, count(*) n from (select max(v) filter (where dim = 'F') x, max(v) filter (where dim = 'O') y from cell group by geo_id, period) z where x is not null and y is not null",
-    "spearman_average_rank": "with d as (select c_custkey, c_nationkey x, cast(floor(c_acctbal / 100) as int) y from customer), r as (select rank() over (order by x) + (count(*) over (partition by x) - 1) / 2.0 rx, rank() over (order by y) + (count(*) over (partition by y) - 1) / 2.0 ry from d) select round(corr(rx, ry), 9) spearman, count(*) n from r",
     "most_common_value": "with c as (select o_custkey, o_orderpriority p, count(*) n from orders group by 1, 2), r as (select *, row_number() over (partition by o_custkey order by n desc, p) i from c) select o_custkey, p, n from r where i = 1",
     "column_profile": "select 'c_name' col, count(*) n, count(case when c_name is null then 1 end) nulls, count(case when c_name = '' then 1 end) empties, count(distinct c_name) distincts, min(c_name) lowest, max(c_name) highest from customer union all select 'c_mktsegment', count(*), count(case when c_mktsegment is null then 1 end), count(case when c_mktsegment = '' then 1 end), count(distinct c_mktsegment), min(c_mktsegment), max(c_mktsegment) from customer",
     "content_detectors": "select source, count(case when @like(text, '[A-Za-z0-9._]+@[A-Za-z0-9]+[.][a-z]+') then 1 end) mails, count(case when @like(text, '[0-9]{3}-[0-9]{3,4}') then 1 end) phones, count(distinct lang) langs from documents group by source",
@@ -96,14 +86,12 @@ SQL: dict[str, str] = {
     "fill_down_running_max": "select o_orderkey, max(case when o_orderkey % 10 = 0 then o_orderkey end) over (partition by o_orderstatus order by o_orderkey rows between unbounded preceding and current row) filled from orders",
     "percentile_position": "with u as (select geo_id, avg(v) v from cell where dim = 'F' group by 1), r as (select *, row_number() over (order by v desc, geo_id) i, count(*) over () n from u) select geo_id, i, round(100.0 * (n - i) / (n - 1), 6) percentile from r",
     "rank_units_topk": "with u as (select c.geo_id, max(period) period, max_by(v, period) v from cell c where dim = 'F' and il_id = 'IL_2' and projected = 0 group by c.geo_id), r as (select *, row_number() over (order by v desc, geo_id) i, count(*) over () n from u) select geo_id, period, v, i, round(case when n > 1 then 100.0 * (n - i) / (n - 1) end, 6) percentile from r where i <= 5",
-    "rank_average_ties": "select p_partkey, rank() over (order by p_size) + (count(*) over (partition by p_size) - 1) / 2.0 avg_rank from part",
     "yoy_same_month": "with m as (select geo_id, cast(substr(period, 1, 4) as int) yr, substr(period, 6, 2) mo, avg(v) v from cell where projected = 0 group by 1, 2, 3) select a.geo_id, a.yr, a.mo, round(100 * (a.v / b.v - 1), 6) yoy from m a join m b on a.geo_id = b.geo_id and a.mo = b.mo and a.yr = b.yr + 1",
     "series_change_cagr": "with s as (select geo_id, min(period) a, max(period) z, min_by(v, period) va, max_by(v, period) vz from cell where dim = 'F' and projected = 0 group by geo_id), m as (select *, (cast(substr(z, 1, 4) as int) * 12 + cast(substr(z, 6, 2) as int)) - (cast(substr(a, 1, 4) as int) * 12 + cast(substr(a, 6, 2) as int)) n_months from s) select geo_id, a, z, n_months, round(vz / va - 1, 8) change, case when n_months >= 12 then round(power(vz / va, 12.0 / n_months) - 1, 8) end cagr from m",
     "last_n_slice": "with m as (select period, sum(quantity) q from ind group by 1), r as (select *, row_number() over (order by period desc) i from m) select sum(case when i <= 12 then q end) last_12, sum(case when i between 13 and 24 then q end) previous_12, count(case when i <= 24 then 1 end) n_months from r",
     "nearest_k_per_category": "with d as (select id, category, " + dist_to(39.0, 35.0) + " m from poi where lat between 37 and 41 and lon between 33 and 37), r as (select *, row_number() over (partition by category order by m, id) i from d where m <= 150000) select category, id, round(m, 2) meters, i from r where i <= 3",
     "radius_sector_counts": "select brand, count(*) n, round(min(" + dist_to(38.5, 34.0) + "), 2) nearest from poi where lat between 37 and 40 and lon between 32 and 36 and " + dist_to(38.5, 34.0) + " <= 120000 group by brand",
     "top_categories": "with c as (select category, count(*) n from poi group by 1), r as (select *, row_number() over (order by n desc, category) i from c) select category, n, i from r where i <= 15",
-    "ordered_listing": "with r as (select id, rating, row_number() over (order by rating desc nulls last, price desc nulls last, id) i from poi where rating >= 3.5) select id, rating, i from r where i <= 50",
     "set_union_distinct": "select c_nationkey k from customer union select s_nationkey from supplier",
     "set_intersect": "select c_nationkey k from customer where c_acctbal > 9000 intersect select s_nationkey from supplier",
     "set_except": "select n_nationkey k from nation except select s_nationkey from supplier where s_acctbal > 5000",
@@ -117,15 +105,11 @@ SQL: dict[str, str] = {
     "parent_share_compare": "with c as (select unit_id, geo_id, count(*) n from obs group by 1, 2) select unit_id, round(100.0 * n / sum(n) over (partition by geo_id), 6) share from c",
     "similar_units_zscore": "with f as (select geo_id, avg(case when dim = 'F' then ln(v) end) a, avg(case when dim = 'O' then ln(v) end) b from cell group by 1), z as (select geo_id, (a - avg(a) over ()) / case when stddev_pop(a) over () = 0 then 1 else stddev_pop(a) over () end a, (b - avg(b) over ()) / case when stddev_pop(b) over () = 0 then 1 else stddev_pop(b) over () end b from f where a is not null and b is not null) select z.geo_id, round(sqrt(power(z.a - t.a, 2) + power(z.b - t.b, 2)), 8) dist from z join z t on t.geo_id = 'ILCE_5' where z.geo_id <> 'ILCE_5'",
     "suitability_score": "with m as (select geo_id, avg(v) price, count(*) n from cell group by 1), r as (select geo_id, 100.0 * (rank() over (order by price) + (count(*) over (partition by price) - 1) / 2.0 - 1) / (count(*) over () - 1) p1, 100.0 * (rank() over (order by n) + (count(*) over (partition by n) - 1) / 2.0 - 1) / (count(*) over () - 1) p2 from m) select geo_id, round(0.6 * (100 - p1) + 0.4 * p2, 6) score from r",
-    "comparables_similarity": "with t as (select * from poi where id = 42), d as (select p.id, " + distance("t.", "p.") + " m, p.price / t.price ratio from poi p cross join t where p.id <> t.id and p.lat between t.lat - 1 and t.lat + 1 and abs(p.lon - t.lon) <= 1 / cos(radians(t.lat))) select id, round(m, 2) meters, round(100 * (0.6 * greatest(0, 1 - m / 100000) + 0.4 * greatest(0, 1 - abs(ratio - 1))), 6) score from d where m <= 100000",
     # Governance, entity resolution
-    "conflict_decisions": "with r as (select geo_id, period, dim, src, upd, row_number() over (partition by geo_id, period, dim order by projected, upd desc, src, h) rk, count(*) over (partition by geo_id, period, dim) n from obs) select w.geo_id, w.period, w.dim, case when w.upd <> u.upd then 'newer' when w.src <> u.src then 'source' else 'hash' end reason, case when w.upd <> u.upd then 'high' when w.src <> u.src then 'medium' else 'low' end confidence from r w join r u on w.geo_id = u.geo_id and w.period = u.period and w.dim = u.dim and u.rk = 2 where w.rk = 1",
     "canonical_resolution": "with r as (select o_orderkey, row_number() over (partition by o_custkey, substr(cast(o_orderdate as string), 1, 7) order by case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end, o_totalprice desc, o_orderkey) i from orders) select o_orderkey from r where i = 1",
     "main_value_picker": "select geo_id, period, dim, min_by(v, src || '|' || h) main_v, count(distinct src) sources, count(distinct v) n_values, round((max(v) - min(v)) / nullif(avg(v), 0), 8) spread from obs group by 1, 2, 3",
     "natural_key_hash": "select o_orderkey, @sha(concat_ws('|', cast(o_custkey as string), substr(cast(o_orderdate as string), 1, 7), o_orderstatus)@bits) natural_key from orders",
     "row_classifier": "select h, case when v is null or v <= 0 then 'quarantine' when projected = 1 then 'projection' else 'observed' end cls, case when projected = 1 then 'future_period_after_reference' else 'measured' end reason from obs",
-    "quality_score": "select c_custkey, least(100, greatest(0, case when c_acctbal > 0 then 70 when c_acctbal = 0 then 40 else 35 end - case when c_mktsegment = 'MACHINERY' then 25 else 0 end + case when c_nationkey between 5 and 9 then 5 else 0 end)) quality from customer",
-    "noisy_or_bands": "with e as (select p_partkey, (p_size % 10) / 10.0 a, (p_partkey % 7) / 10.0 b, (p_partkey % 3) / 10.0 c from part), s as (select p_partkey, least(0.985, 1 - (1 - a) * (1 - b) * (1 - c)) score from e) select p_partkey, round(score, 8) score, case when score >= 0.95 then 'A' when score >= 0.85 then 'B' when score >= 0.5 then 'C' else 'D' end band from s",
     "main_table_integrity": "select 'orders->customer' chk, count(*) broken from orders left join customer on o_custkey = c_custkey where c_custkey is null union all select 'customer->nation', count(*) from customer left join nation on c_nationkey = n_nationkey where n_nationkey is null union all select 'duplicate order ids', count(*) - count(distinct o_orderkey) from orders",
     "publish_gate": "select src, count(*) n, bool_and(projected = 0) publishable from obs where src in ('1-URGENT', '5-LOW') group by src",
     # Transit and time
