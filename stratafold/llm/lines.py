@@ -27,7 +27,7 @@ from .base import cut, in_batches, lean, table
 #: A line break, or a sentence.
 UNIT = r"[^.!?\n]+[.!?]*|[.!?]+|\n"
 #: Words of a unit that may go, at least.
-LEAST = 8
+LEAST = 10
 _NONE = (1 << 63) - 1
 _SPACE, _UNIT = re.compile("[ \t\n\x0b\f\r]+"), re.compile(UNIT)
 
@@ -102,7 +102,7 @@ with s as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\n]+[.!?]
 u as (select doc_id, unnest(a) t, unnest(range(len(a))) i from s),
 o as (select *, length(t) n, coalesce(sum(length(t)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0)::bigint b,
   trim(regexp_replace(lower(t), '[ \t\n\x0b\f\r]+', ' ', 'g')) p from u),
-g as (select *, p <> '' and length(p) - length(replace(p, ' ', '')) >= 7 and row_number() over (partition by p order by doc_id, i) > 1 as rep from o),
+g as (select *, p <> '' and length(p) - length(replace(p, ' ', '')) >= 9 and row_number() over (partition by p order by doc_id, i) > 1 as rep from o),
 c as (select doc_id, (count(*) filter (t <> chr(10)))::bigint n_units, (count(*) filter (rep))::bigint n_removed,
   coalesce(string_agg(b || '-' || (b + n), ';' order by i) filter (rep), '') removed_spans,
   sha256(coalesce(string_agg(t, '' order by i) filter (not rep), '')) kept_sha256 from g group by doc_id)
