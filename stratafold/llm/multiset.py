@@ -72,21 +72,13 @@ def take_out(v: Column, paragraphs: Column) -> Column:
 
 
 def written(v: Column) -> Column:
-    """A fingerprint as text: 8 hex digits for each exact lane, then 16 for the number of pieces and for each word of likeness lanes."""
-
-    def digits(part: Column, n: int) -> Column:
-        return F.array_join(F.transform(part, lambda x: F.lpad(F.hex(x), n, "0")), "")
-
-    return F.lower(F.concat(digits(F.slice(v, 1, 8), 8), digits(F.slice(v, 9, 41), 16)))
+    """A fingerprint as text: its numbers in order, with commas between them."""
+    return F.array_join(v.cast("array<string>"), ",")
 
 
 def read(fingerprint: Column) -> Column:
     """The fingerprint that written() has made text of."""
-
-    def longs(first: int, n: int, width: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.conv(F.substring(fingerprint, F.lit(first) + i * width, F.lit(width)), 16, 10).cast("long"))
-
-    return F.concat(longs(1, 8, 8), longs(65, 41, 16))
+    return F.split(fingerprint, ",").cast("array<bigint>")
 
 
 def _lanes(v: Column) -> Column:
@@ -104,13 +96,27 @@ def _product(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def _alike(a: Column, b: Column, xx: Column, yy: Column, xy: Column) -> Column:
+    norm = F.sqrt(xx * yy)
+    cosine = F.when(norm > 0, xy / norm).otherwise(0.0)
+    return F.when(F.slice(a, 1, 8) == F.slice(b, 1, 8), 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), cosine)))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: 1 where the exact lanes are equal, else the cosine of two fingerprints, at least 0. It
     estimates how many sentences two texts share, with a deviation of about 0.1."""
     x, y = _lanes(a), _lanes(b)
-    norm = F.sqrt(_product(x, x) * _product(y, y))
-    cosine = F.when(norm > 0, _product(x, y) / norm).otherwise(0.0)
-    return F.when(F.slice(a, 1, 8) == F.slice(b, 1, 8), 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), cosine)))
+    return _alike(a, b, _product(x, x), _product(y, y), _product(x, y))
+
+
+def with_likeness(df: DataFrame, one: str, others: dict[str, str]) -> DataFrame:
+    """df with the likeness of column one's fingerprint to those of others' columns; others: new column: column. Lanes and their squares are made once."""
+    names = {c: f"_{i}" for i, c in enumerate(dict.fromkeys([one, *others.values()]))}
+    held = df.withColumns({f"{n}_lanes": _lanes(F.col(c)) for c, n in names.items()})
+    held = held.withColumns({f"{n}_square": _product(F.col(f"{n}_lanes"), F.col(f"{n}_lanes")) for n in names.values()})
+    x = names[one]
+    found = {new: _alike(F.col(one), F.col(c), F.col(f"{x}_square"), F.col(f"{names[c]}_square"), _product(F.col(f"{x}_lanes"), F.col(f"{names[c]}_lanes"))) for new, c in others.items()}
+    return held.select(*df.columns, *(v.alias(new) for new, v in found.items()))
 
 
 def _bounds(docs: DataFrame, rows: int, buckets: int) -> list[int]:
@@ -165,6 +171,5 @@ def compared(docs: DataFrame) -> DataFrame:
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    vec, edited, after = F.col("vec"), F.col("edited_vec"), F.col("next_vec")
-    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), written(vec).alias("fingerprint"), written(edited).alias("edited_fingerprint"), likeness(vec, edited).alias("near_edited"), likeness(vec, after).alias("near_next"))
+    found = with_likeness(compared(table(spark, sf_dir, "documents").select("doc_id", "text")), "vec", {"near_edited": "edited_vec", "near_next": "next_vec"})
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), written(F.col("vec")).alias("fingerprint"), written(F.col("edited_vec")).alias("edited_fingerprint"), "near_edited", "near_next")

@@ -460,6 +460,8 @@ def test_multiset_likeness(spark):
     df = spark.createDataFrame(rows, "n int, a string, b string").select("n", multiset.vector(F.col("a")).alias("a"), multiset.vector(F.col("b")).alias("b"))
     got = df.select("n", multiset.likeness(F.col("a"), F.col("b")).alias("whole"), multiset.likeness(multiset.read(multiset.written(F.col("a"))), multiset.read(multiset.written(F.col("b")))).alias("read")).orderBy("n").collect()
     assert all(r.whole == r.read for r in got)
+    once = multiset.with_likeness(df, "a", {"whole": "b", "own": "a"}).orderBy("n").collect()
+    assert [r.whole for r in once] == [r.whole for r in got] and all(r.own == 1.0 for r in once)
     assert np.mean([abs(r.whole - t) for r, t in zip(got, truth, strict=True)]) < 0.1
     full = F.lit([1] * 8 + [(1 << 21) - 2] + [multiset._MASK] * 40)
     wrapped = spark.range(1).select(multiset.put_in(full, F.lit("a b c")).alias("v"), multiset.take_out(multiset.put_in(full, F.lit("a b c")), F.lit("a b c")).alias("back")).first()
