@@ -7,17 +7,19 @@ Texts are encoded in batches by the library's own threads, and every text's ids
 
 Where no piece of a merge model goes on past the end of a word, merges in one word have no bearing on another. Texts are then normalised whole, and
 their distinct words encoded, decoded and held against the original processor once, as long as a worker remembers them: what a text becomes is what its words
-become; what its ids decode to is compared whole. Other models have whole texts encoded and compared.
+become. Other models have whole texts encoded and compared.
 """
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
 #: Characters in a batch that the library's threads share, and these.
 _BATCH, THREADS = 1 << 19, "2"
+#: Words that the original processor decodes at a time.
+_ROW = 512
 
 
 @dataclass
@@ -154,12 +158,14 @@ def _plain(spec: Spec) -> bool:
 
 
 class _Words:
-    """What words become: ids (32 bits each), the text that these decode to, and whether the original processor has the same ids."""
+    """What words become: ids (32 bits each) and the text that these decode to; odd: words of which the original processor says otherwise."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer, self.original = load(path)
         self.split = re.compile(f"{SPACE}+[^{SPACE}]*").findall
-        self.known: dict[str, tuple[bytes, str, bool]] = {}
+        self.ids: dict[str, bytes] = {}
+        self.back: dict[str, str] = {}
+        self.odd: set[str] = set()
 
     def _learn(self, words: list[str]) -> None:
         bare = [w[1:] for w in words]  # either side puts the first space itself, but not before nothing
@@ -169,33 +175,34 @@ class _Words:
             at = words.index(SPACE)
             ids[at], others[at] = [self.tokenizer.token_to_id(SPACE)], [self.original.piece_to_id(SPACE)]
         back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        for word, own, other, text in zip(words, ids, others, back, strict=True):
-            self.known[word] = array("i", own).tobytes(), text, own == other
+        if ids != others:
+            self.odd.update(w for w, own, other in zip(words, ids, others, strict=True) if own != other)
+        # Words in a row decode to words with spaces between; only where they don't, one by one
+        for at in range(0, len(words), _ROW):
+            row = slice(at, at + _ROW)
+            if self.original.decode(list(chain.from_iterable(others[row]))) != " ".join(back[row]):
+                self.odd.update(w for w, other, text in zip(words[row], others[row], back[row], strict=True) if self.original.decode(other) != text)
+        self.ids.update(zip(words, [array("i", x).tobytes() for x in ids], strict=True))
+        self.back.update(zip(words, back, strict=True))
 
     def of(self, texts: list[str]) -> tuple[pa.Array, list[str], list[bool]]:
         held = [self.split(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        self._needed(held)
-        known = self.known
-        ids, back, same = [], [], []
-        for words in held:
-            found = [known[w] for w in words]
-            ids.append(b"".join([x[0] for x in found]))
-            back.append(" ".join([x[1] for x in found]))
-            # Words for the ids, the whole text for what they decode to
-            same.append(all([x[2] for x in found]) and self.original.decode(array("i", ids[-1]).tolist()) == back[-1])
+        wanted = set().union(*held)
+        new = wanted.difference(self.ids)
+        if new and len(self.ids) + len(new) > KNOWN:
+            self.ids.clear()
+            self.back.clear()
+            self.odd.clear()
+            new = wanted
+        if new:
+            self._learn(list(new))
+        ids = [b"".join(map(self.ids.__getitem__, words)) for words in held]
+        back = [" ".join(map(self.back.__getitem__, words)) for words in held]
+        same = [not self.odd or self.odd.isdisjoint(words) for words in held]
         offsets = np.zeros(len(ids) + 1, np.int32)
         np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32))), back, same
 
-    def _needed(self, held: list[list[str]]) -> None:
-        wanted = dict.fromkeys(w for words in held for w in words)
-        new = [w for w in wanted if w not in self.known]
-        if new and len(self.known) + len(new) > KNOWN:
-            self.known.clear()
-            new = list(wanted)
-        if new:
-            self._learn(new)
-
 
 def _whole(path: str) -> Callable[[list[str]], tuple[pa.Array, list[str], list[bool]]]:
     """The same for models whose texts must be handled whole."""
@@ -231,13 +238,17 @@ def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         os.environ.setdefault("RAYON_NUM_THREADS", THREADS)
         of = encoder(model)
-        for b in batches:
-            texts = [x or "" for x in b.column("text").to_pylist()]
-            sizes = np.cumsum([len(x) for x in texts])
-            edges = [0, *(np.flatnonzero(np.diff(sizes // _BATCH)) + 1).tolist(), len(texts)]
-            for first, last in zip(edges, edges[1:], strict=False):
-                ids, back, same = of(texts[first:last])
-                yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(first, last - first), "ids": ids, "decoded": pa.array(back, pa.string()), "same": pa.array(same, pa.bool_())})
+        gc.disable()  # many short lists, no cycles
+        try:
+            for b in batches:
+                texts = [x or "" for x in b.column("text").to_pylist()]
+                sizes = np.cumsum([len(x) for x in texts])
+                edges = [0, *(np.flatnonzero(np.diff(sizes // _BATCH)) + 1).tolist(), len(texts)]
+                for first, last in zip(edges, edges[1:], strict=False):
+                    ids, back, same = of(texts[first:last])
+                    yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(first, last - first), "ids": ids, "decoded": pa.array(back, pa.string()), "same": pa.array(same, pa.bool_())})
+        finally:
+            gc.enable()
 
     return in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, ids array<int>, decoded string, same boolean")
 

@@ -388,6 +388,9 @@ def test_pieces(docs, odd, empty):
     assert (ids.to_pylist(), back, same) == (whole[0].to_pylist(), whole[1], whole[2]) and all(same)
     assert all(b == t for b, t in zip(back, texts, strict=True) if pieces.SPACE not in t)  # the mark itself comes back as a space
     assert all(tokenizer.normalizer.normalize_str(t) == pieces.SPACE + t.replace(" ", pieces.SPACE) for t in texts if t)
+    wrong = pieces._Words(pieces.MODEL)
+    wrong.original = type("Other", (), {"encode": lambda self, x, num_threads: [original.encode("other") if w == "lead" else original.encode(w) for w in x], "decode": lambda self, x: original.decode(x), "piece_to_id": lambda self, x: original.piece_to_id(x)})()
+    assert wrong.of(["a lead", "a b", "", "lead"])[2] == [False, True, True, False]  # what differs is told
     got = {r.doc_id: r for r in pieces.encoded(docs).collect()}
     assert all(r.same for r in got.values()) and got[8].ids == [] and got[0].decoded == corpus()[0]
     assert pieces.encoded(odd).count() == 6 and pieces.encoded(empty).count() == 0
