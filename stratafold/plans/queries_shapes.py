@@ -268,11 +268,11 @@ def frequency_expansion(spark, sf_dir):
     return o.select("trip", F.explode(F.sequence(F.col("first_s"), F.col("first_s") + F.col("span") - 1, F.col("headway"))).alias("departure"))
 
 
-@twin_tables("stop_pattern_signature", "with s as (select l_orderkey trip, count(*) n, string_agg(l_suppkey || '#' || l_linenumber, ',' order by l_linenumber, l_suppkey) sig from lineitem group by 1) select n || '-' || md5(sig) signature, min(trip) representative, count(*) trips from s group by 1")
+@twin_tables("stop_pattern_signature", "with s as (select l_orderkey trip, count(*) n, string_agg(l_suppkey || '#' || l_linenumber, ',' order by l_linenumber, l_suppkey) sig from lineitem group by 1) select n || '-' || md5(sig) signature, min(trip) as sample, count(*) trips from s group by 1")
 def stop_pattern_signature(spark, sf_dir):
     stops = given(spark, sf_dir, "select l_orderkey trip, l_linenumber seq, l_suppkey stop from lineitem").groupBy("trip").agg(F.sort_array(F.collect_list(F.struct("seq", "stop"))).alias("s"))
     told = F.array_join(F.transform("s", lambda x: F.concat_ws("#", x["stop"].cast("string"), x["seq"].cast("string"))), ",")
-    return stops.groupBy(F.concat(F.size("s").cast("string"), F.lit("-"), F.md5(told)).alias("signature")).agg(F.min("trip").alias("representative"), F.count("*").alias("trips"))
+    return stops.groupBy(F.concat(F.size("s").cast("string"), F.lit("-"), F.md5(told)).alias("signature")).agg(F.min("trip").alias("sample"), F.count("*").alias("trips"))
 
 
 @twin_tables("pattern_trip_times", "with o as (select distinct l_linenumber seq, l_linenumber * 300 a from lineitem) select o_orderkey trip, seq, (o_orderkey % 86400 + a)::bigint arrival from orders, o where o_orderstatus = 'P'")
@@ -364,8 +364,8 @@ def keyword_scores(i):
     return relational.keyword_classes(i, _KEYWORDS, F.col("nm"), F.col("cols")).select("id", F.col("category"), F.col("confidence"))
 
 
-@twin("schema_clusters", "select p_brand f, p_type c from part union all select p_brand, 'size' || cast(p_size % 4 as string) from part where p_brand <> 'Brand#1'", """with s as (select distinct f, c from i), n as (select f, count(*) n from s group by f), p as (select a.f x, b.f y, count(*) k from s a join s b on a.c = b.c and a.f < b.f group by 1, 2),
-    e as (select x, y from p join n u on u.f = x join n v on v.f = y where k * 1.0 / (u.n + v.n - k) >= 0.8) select f, least(f, coalesce((select min(x) from e where y = f), f)) cluster from n""")
+@twin("schema_clusters", "select p_brand f, p_type c from part union all select p_brand, 'size' || cast(p_size % 4 as string) from part where p_brand <> 'Brand#1'", """with recursive s as (select distinct f, c from i), n as (select f, count(*) n from s group by f), p as (select a.f x, b.f y, count(*) k from s a join s b on a.c = b.c and a.f <> b.f group by 1, 2),
+    e as (select x, y from p join n u on u.f = x join n v on v.f = y where k * 1.0 / (u.n + v.n - k) >= 0.8), r as (select f, f as c from n union select r.f, e.y from r join e on e.x = r.c) select f, min(c) cluster from r group by f""")
 def schema_clusters(i):
     return relational.alike_sets(i, "f", "c", 0.8).select("f", "cluster")
 

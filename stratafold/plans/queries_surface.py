@@ -39,7 +39,7 @@ plan("plan_distribution", S.Distribution("price", "ilce", period="1999-06", dim=
 _METRES = "2 * 6371008.8 * asin(sqrt(power(sin(radians(lat - 38.5) / 2), 2) + cos(radians(38.5)) * cos(radians(lat)) * power(sin(radians(lon - 34.0) / 2), 2)))"
 plan("plan_surroundings", S.Surroundings(38.5, 34.0, 120_000), f"select brand, count(*) n, round(min(m), 2) nearest from (select brand, {_METRES} m from poi) where m <= 120000 group by brand")
 plan("plan_surrounding_categories", S.Surroundings(38.5, 34.0, 200_000, report="categories"), f"select category, count(*) n from poi where {_METRES} <= 200000 group by category order by 2 desc, 1 limit 15")
-plan("plan_nearest_list", S.Surroundings(38.5, 34.0, 200_000, category="ECONOMY", limit=7, report="list"), f"select id, name, round({_METRES}, 2) m from poi where category = 'ECONOMY' order by {_METRES}, id limit 7")
+plan("plan_nearest_list", S.Surroundings(38.5, 34.0, 200_000, category="ECONOMY", limit=7, report="list"), f"select id, name, round({_METRES}, 2) m from poi where category = 'ECONOMY' and {_METRES} <= 200000 order by {_METRES}, id limit 7")
 
 plan("plan_density", S.Density("IL_1", limit=10, least_people=3), """select 'MAH_' || c_nationkey || '_' || c_mktsegment geo_id, count(*) filter (c_acctbal > 0) n, count(*)::double people, round(1000.0 * count(*) filter (c_acctbal > 0) / count(*), 8) per_1000 from customer join nation on n_nationkey = c_nationkey
     where n_regionkey = 1 group by 1 having count(*) >= 3 order by per_1000 desc, geo_id limit 10""", "per_1000")

@@ -19,8 +19,9 @@ def twin(name: str, rows: str, oracle: str | None) -> Callable:
         QUERIES[name] = lambda spark, sf_dir: f(given(spark, sf_dir, rows))
         if oracle is not None:
             rest = oracle.strip()
-            tail = f", {rest[4:].strip()}" if rest.lower().startswith("with") else f" {rest}"
-            ORACLE_SQL[name] = expand(f"with i as ({rows}){tail}", duck=True)
+            again = rest.lower().startswith("with recursive")
+            tail = f", {rest[14 if again else 4 :].strip()}" if rest.lower().startswith("with") else f" {rest}"
+            ORACLE_SQL[name] = expand(f"with {'recursive ' * again}i as ({rows}){tail}", duck=True)
         return f
 
     return register

@@ -54,7 +54,7 @@ def test_plans_are_checked(spark, sf_dir):
     assert state(S.Rank, "price", "ilce", "MAH_1_BUILDING", dim="F") == state(S.Rank, "price", "ilce", limit=0) == state(S.Rank, "price") == "invalid"
     assert state(S.Rank, "price", "ilce", dim="F", period="1875-01") == state(S.Rank, "height", "ilce") == state(S.Profile, "XX_1") == "not_found"
     assert state(S.Compare, ("ILCE_1",), ("price",)) == state(S.Listing, order="distance") == state(S.Surroundings, 38, 34, 10) == "invalid"
-    told = S.answer(engine, S.Coverage, "share of rents")
+    told = S.answer(engine, S.Coverage, "share rents")
     assert told["state"] == "ambiguous" and told["candidates"] == ["listing_share"] and S.measure("population").id == "people"
     assert state(S.Projection, "ILCE_1", "listing_share") == "invalid" and state(S.Projection, "MAH_1_BUILDING", "people") == "not_found"
     assert S.fingerprint(S.Coverage("price")) == S.fingerprint(S.Coverage("price")) != S.fingerprint(S.Coverage("people"))

@@ -26,9 +26,10 @@ def test_distance_join_has_every_pair(spark, places):
 
 
 def test_comparables_reach_the_whole_radius(spark, places):
-    (own,) = (x for x in places if x.id == 42)
-    want = {x.id for x in places if x.id != 42 and meters(own, x) <= 100000}
-    assert {r.id for r in catalog.QUERIES["comparables_similarity"](spark, "/root/testdata/sf0.01").collect()} == want
+    """For every target, ids divisible by 50, all places within 40 km."""
+    want = {(t.id, x.id) for t in places if t.id % 50 == 0 for x in places if x.id != t.id and meters(t, x) <= 40000}
+    found = [(r.target, r.id) for r in catalog.QUERIES["comparables_similarity"](spark, "/root/testdata/sf0.01").collect()]
+    assert set(found) == want and len(found) == len(want) and 42 not in {t for t, _ in want}
 
 
 def test_stop_patterns_are_ordered_sequences(spark):
