@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .base import cut
 
 
+#: Links for each file of a round, about: rounds shrink, and so do the files that they write.
+ROWS = 1 << 18
+
+
 def _signature(links: DataFrame) -> tuple:
     row = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]
@@ -39,7 +43,7 @@ def components(links: DataFrame) -> DataFrame:
     links = cut(links.select("u", "v").where("u <> v").distinct())
     before = _signature(links)
     while before[0]:
-        links = cut(_small_star(_large_star(links)))
+        links = cut(_small_star(_large_star(links)).coalesce(1 + 2 * before[0] // ROWS))
         after = _signature(links)
         if after == before:
             break

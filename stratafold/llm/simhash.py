@@ -243,7 +243,7 @@ def similar_roots(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
     met = keys.join(ends, "key").select("f", F.explode(F.array("first", "last")).alias("v")).where("f <> v")
     pairs = cut(met.groupBy("f", "v").agg(F.count("*").cast("int").alias("n")))
     best = pairs.groupBy("f").agg(F.max(F.struct("n", "v")).alias("best")).select(F.least("f", "best.v").alias("u"), F.greatest("f", "best.v").alias("v")).distinct()
-    first = cut(components(verified(best, docs, nodes, words, similarity)))
+    first = components(verified(best, docs, nodes, words, similarity))
 
     def rooted(df: DataFrame, name: str) -> DataFrame:
         known = first.select(F.col("node").alias(name), F.col("root").alias("root_"))
@@ -251,7 +251,7 @@ def similar_roots(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
 
     apart = rooted(rooted(pairs.select(F.least("f", "v").alias("u"), F.greatest("f", "v").alias("v")).distinct(), "u"), "v").where("u_root <> v_root")
     more = rooted(rooted(verified(apart.select("u", "v"), docs, nodes, words, similarity), "u"), "v")
-    second = cut(components(more.select(F.col("u_root").alias("u"), F.col("v_root").alias("v"))))
+    second = components(more.select(F.col("u_root").alias("u"), F.col("v_root").alias("v")))
     over = second.select(F.col("node").alias("root"), F.col("root").alias("over"))
     return first.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(second.join(first, "node", "left_anti"))
 
