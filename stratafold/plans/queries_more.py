@@ -41,12 +41,12 @@ def json_record_lists(spark, sf_dir):
     return nested.records(parts).select("path", "under", F.try_element_at("fields", F.lit("id")).alias("id"))
 
 
-@twin_tables("geojson_boxes", "select s_suppkey::varchar id, 'LineString' kind, 26 + (s_suppkey * 71 % 1900) / 100e0 west, 27.5 + (s_suppkey * 71 % 1900) / 100e0 east, 36 + (s_suppkey * 53 % 600) / 100e0 + 0.25 lat from supplier")
+@twin_tables("geojson_boxes", "select s_suppkey::varchar id, 'LineString' kind, round(26 + (s_suppkey * 71 % 1900) / 100e0, 6) west, round(27.5 + (s_suppkey * 71 % 1900) / 100e0, 6) east, round(36 + (s_suppkey * 53 % 600) / 100e0 + 0.25, 6) lat from supplier")
 def geojson_boxes(spark, sf_dir):
     s = given(spark, sf_dir, _SUPPLIERS)
     feature = F.struct(F.col("s_suppkey").alias("id"), F.struct(F.col("s_suppkey").alias("n")).alias("properties"), F.struct(F.lit("LineString").alias("type"), F.array(F.array("lon", "lat"), F.array(F.col("lon") + 1.5, F.col("lat") + 0.5)).alias("coordinates")).alias("geometry"))
     docs = s.groupBy((F.col("s_suppkey") % 7).cast("string").alias("path")).agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))).alias("doc"))
-    return nested.boxed(nested.geojson(docs)).select("id", "kind", "west", "east", "lat")
+    return nested.boxed(nested.geojson(docs)).select("id", "kind", *(F.round(c, 6).alias(c) for c in ("west", "east", "lat")))
 
 
 @twin_tables("sdmx_observations", "select 'R' || n_regionkey area, c_mktsegment sector, '20' || lpad((c_nationkey % 10)::varchar, 2, '0') period, sum(c_acctbal::decimal(18, 2))::double v from customer join nation on n_nationkey = c_nationkey group by 1, 2, 3")
