@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import haversine, rules
 from ..operators import relational, spatial
-from .model import TABLES, given
+from .model import TABLES, given, run
 from .twins import twin, twin_tables
 
 # Aggregates
@@ -195,6 +195,13 @@ def nearest_neighbour_minby(spark, sf_dir):
     return spatial.nearest(given(spark, sf_dir, _SUPPLIERS), "s_suppkey", _pois(spark, sf_dir), "id", cell=0.5).select("s_suppkey", F.col("id").alias("nearest"), F.round("meters", 2).alias("meters"))
 
 
+@twin_tables("grid_distance_join", None)
+def grid_distance_join(spark, sf_dir):
+    """The pairs of the text of this name in queries_sql, which stays the oracle's: positions meet once, and their ids after that."""
+    p = run(spark, sf_dir, "select id, cast(lat as double) lat, cast(lon as double) lon from poi")
+    return spatial.pairs_within(p, 20_000).select("a_id", "b_id", F.col("m3").alias("meters"))
+
+
 @twin_tables("nearest_settlement", f"""with s as ({_SUPPLIERS}), d as (select s_suppkey, p.id, 2 * 6371008.8 * asin(sqrt(power(sin(radians(p.lat - s.lat) / 2), 2) + cos(radians(s.lat)) * cos(radians(p.lat)) * power(sin(radians(p.lon - s.lon) / 2), 2))) m from s cross join poi p)
     select s.s_suppkey, x.nearest, x.meters from s left join (select s_suppkey, arg_min(id, (round(m, 3), id)) nearest, round(min(m), 2) meters from d where m <= 15000 group by s_suppkey) x on x.s_suppkey = s.s_suppkey""")
 def nearest_settlement(spark, sf_dir):

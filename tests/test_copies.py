@@ -6,6 +6,8 @@ import itertools
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from stratafold import catalog
 from stratafold.operators import matching, relational
 
@@ -47,3 +49,23 @@ def test_large_groups_of_pairs_go_by_rounds(spark):
     pairs = spark.createDataFrame([(a, b, 1.0, 0) for a in range(4) for b in range(3)] + [(9, 9, 0.5, 1)], "a long, b long, score double, group_ long")
     for most in (1, 100):
         assert sorted((r.a, r.b) for r in relational.one_to_one_by_group(pairs, most).collect()) == [(0, 0), (1, 1), (2, 2), (9, 9)]
+
+
+def test_cells_are_as_high_as_the_distance(spark):
+    """250 m due north are a bit more than 250 / 111,320 degrees, so cells of that height let pairs two cells apart go by."""
+    from stratafold.operators import spatial
+
+    # From just below a cell's upper edge to just above the next cell's, by cells of either height
+    south = [(k + 1) * 250 / d - 1e-7 for d in (111_320, 111_000) for k in range(100)]
+    a = spark.createDataFrame([(i, y, 30.0) for i, y in enumerate(south)], "id long, lat double, lon double")
+    b = a.select(F.col("id").alias("other"), (F.col("lat") + 249.9 / 111_195.1).alias("lat2"), F.col("lon").alias("lon2"))
+    assert spatial.within(a, b, 250.0).where("id = other").count() == len(south)
+
+
+def test_positions_of_copies_meet_once(spark):
+    from stratafold.operators import spatial
+
+    rows = [(i, 40.0 + i % 4 * 0.1, 30.0) for i in range(24)] + [(99, None, 30.0)]
+    found = [(r.a_id, r.b_id) for r in spatial.pairs_within(spark.createDataFrame(rows, "id long, lat double, lon double"), 20_000).collect()]
+    assert sorted(found) == [(i, j) for i in range(24) for j in range(i + 1, 24) if abs(i % 4 - j % 4) < 2]
+    assert "collect_list" in plan(catalog.QUERIES["grid_distance_join"](spark, "/root/testdata/sf0.001"))
