@@ -69,3 +69,12 @@ def test_positions_of_copies_meet_once(spark):
     found = [(r.a_id, r.b_id) for r in spatial.pairs_within(spark.createDataFrame(rows, "id long, lat double, lon double"), 20_000).collect()]
     assert sorted(found) == [(i, j) for i in range(24) for j in range(i + 1, 24) if abs(i % 4 - j % 4) < 2]
     assert "collect_list" in plan(catalog.QUERIES["grid_distance_join"](spark, "/root/testdata/sf0.001"))
+
+
+def test_quarters_that_are_alike_are_weighed_once(spark, sf_dir):
+    columns = "id long, district long, name string, people long"
+    web = spark.createDataFrame([(i, i % 2, "Ada Mah." if i % 3 else "Bag", 100) for i in range(12)] + [(50, 0, None, 1), (51, None, "Ada", 1)], columns)
+    official = spark.createDataFrame([(i, i % 2, "ADA", 100 if i % 4 else None) for i in range(8)], columns)
+    found = {(r.a_id, r.b_id): r.consistency for r in matching.district_pairs(web, official).collect()}
+    assert found == {(i, j): 1.0 if j % 4 else None for i in range(12) for j in range(8) if i % 3 and i % 2 == j % 2}
+    assert "collect_list" in plan(catalog.QUERIES["district_match_scores"](spark, sf_dir))
