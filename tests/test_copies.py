@@ -78,3 +78,7 @@ def test_quarters_that_are_alike_are_weighed_once(spark, sf_dir):
     found = {(r.a_id, r.b_id): r.consistency for r in matching.district_pairs(web, official).collect()}
     assert found == {(i, j): 1.0 if j % 4 else None for i in range(12) for j in range(8) if i % 3 and i % 2 == j % 2}
     assert "collect_list" in plan(catalog.QUERIES["district_match_scores"](spark, sf_dir))
+
+
+def test_names_of_a_block_are_compared_once(spark, sf_dir):
+    assert "collect_list" in plan(catalog.QUERIES["jaro_winkler_match"](spark, sf_dir))
