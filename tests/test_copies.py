@@ -82,3 +82,15 @@ def test_quarters_that_are_alike_are_weighed_once(spark, sf_dir):
 
 def test_names_of_a_block_are_compared_once(spark, sf_dir):
     assert "collect_list" in plan(catalog.QUERIES["jaro_winkler_match"](spark, sf_dir))
+
+
+def test_nearest_searches_a_position_once(spark, monkeypatch):
+    from stratafold.operators import spatial
+
+    asked, within = [], spatial.within
+    monkeypatch.setattr(spatial, "within", lambda a, b, metres: asked.append((a.count(), b.count())) or within(a, b, metres))
+    points = "lat double, lon double"
+    a = spark.createDataFrame([(i, 40.0, 30.0 + i % 2) for i in range(10)] + [(10, None, 30.0)], f"k long, {points}")
+    b = spark.createDataFrame([(i, 40.001, 30.0 + i % 2) for i in range(20, 40)] + [(5, 44.0, 34.0)], f"id long, {points}")
+    assert sorted((r.k, r.id) for r in spatial.nearest(a, "k", b, "id").collect()) == [(i, 20 + i % 2) for i in range(10)]
+    assert asked[0] == (3, 3)
