@@ -179,8 +179,12 @@ def layer_findings(spark, sf_dir):
 def nearest_schools_by_kind(spark, sf_dir):
     """The nearest of each kind and the seats of all within reach, implausible ones left out."""
     p = given(spark, sf_dir, "select p_partkey id, p_type kind, p_size * 40 seats, cast(36 + (p_partkey * 37 % 600) / 100.0 as double) lat2, cast(26 + (p_partkey * 91 % 1900) / 100.0 as double) lon2 from part")
-    near = spatial.within(given(spark, sf_dir, _SUPPLIERS), p, 60_000)
-    return near.groupBy("s_suppkey", "kind").agg(F.min(F.struct(F.round("meters", 3).alias("m"), "id"))["id"].alias("nearest"), F.count("*").alias("n"), F.sum(F.when(F.col("seats").between(50, 1500), F.col("seats"))).alias("seats"))
+    s = given(spark, sf_dir, _SUPPLIERS)
+    # One row for each kind at a position, and one search for each position
+    p = p.groupBy("lat2", "lon2", "kind").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.sum(F.when(F.col("seats").between(50, 1500), F.col("seats"))).alias("seats"))
+    near = spatial.within(s.select("lat", "lon").distinct(), p, 60_000)
+    best = near.groupBy("lat", "lon", "kind").agg(F.min(F.struct(F.round("meters", 3).alias("m"), "id"))["id"].alias("nearest"), F.sum("n").alias("n"), F.sum("seats").alias("seats"))
+    return s.join(best, ["lat", "lon"]).select("s_suppkey", "kind", "nearest", "n", "seats")
 
 
 @twin_tables("region_profile", """select 'MAH_' || c_nationkey || '_' || c_mktsegment geo_id, coalesce(case when count(*) >= 14 then avg(c_acctbal) end, max(d), max(r)) is not null found, case when count(*) >= 14 then 'mahalle' when max(dn) >= 55 then 'ilce' else 'il' end scope, round(case when count(*) >= 14 then avg(c_acctbal) when max(dn) >= 55 then max(d) else max(r) end, 6) v

@@ -94,3 +94,8 @@ def test_nearest_searches_a_position_once(spark, monkeypatch):
     b = spark.createDataFrame([(i, 40.001, 30.0 + i % 2) for i in range(20, 40)] + [(5, 44.0, 34.0)], f"id long, {points}")
     assert sorted((r.k, r.id) for r in spatial.nearest(a, "k", b, "id").collect()) == [(i, 20 + i % 2) for i in range(10)]
     assert asked[0] == (3, 3)
+
+
+def test_schools_of_a_position_and_kind_meet_once(spark, sf_dir):
+    told = plan(catalog.QUERIES["nearest_schools_by_kind"](spark, sf_dir))
+    assert "partial_min(id" in told and "Broadcast" not in told.split("SortMergeJoin")[-1]
