@@ -99,3 +99,7 @@ def test_nearest_searches_a_position_once(spark, monkeypatch):
 def test_schools_of_a_position_and_kind_meet_once(spark, sf_dir):
     told = plan(catalog.QUERIES["nearest_schools_by_kind"](spark, sf_dir))
     assert "partial_min(id" in told and "Broadcast" not in told.split("SortMergeJoin")[-1]
+
+
+def test_types_of_a_block_are_compared_once(spark, sf_dir):
+    assert "collect_list" in plan(catalog.QUERIES["token_jaccard_pairs"](spark, sf_dir))
