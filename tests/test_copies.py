@@ -103,3 +103,12 @@ def test_schools_of_a_position_and_kind_meet_once(spark, sf_dir):
 
 def test_types_of_a_block_are_compared_once(spark, sf_dir):
     assert "collect_list" in plan(catalog.QUERIES["token_jaccard_pairs"](spark, sf_dir))
+
+
+def test_what_is_asked_alike_is_looked_up_once(spark):
+    asked = spark.createDataFrame([(i, "P 1", "d1" if i % 2 else None, "Q 1" if i % 3 else None) for i in range(12)], "id long, province string, district string, quarter string")
+    known = spark.createDataFrame([(9, "p1", "d1", "q1", None), (4, "p1", "d1", "q1", None), (7, "p1", "d2", "q1", "x"), (8, "p1", "d1", "z", None)], "rule long, province string, district string, quarter string, area string")
+    found = matching.rule_lookup(asked, known)
+    want = {i: ((4, "exact") if i % 3 else (4, "district")) if i % 2 else (4, "quarter") for i in range(12) if i % 2 or i % 3}
+    assert {r.id: (r.rule, r.how) for r in found.collect()} == want
+    assert "partial_min(rule" in plan(found)
