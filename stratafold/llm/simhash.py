@@ -233,27 +233,49 @@ def similar_roots(docs: DataFrame, nodes: DataFrame, words: int, similarity: flo
 
     Each of KEYS keys holds some bits of a fingerprint, enough that unrelated texts seldom share one: SPARE more than number the texts. Whoever
     shares a key is proposed with the least and the greatest f among them, so a group makes no pairs by the square of its size. First each text is held
-    against the one that it shares most keys with, which links nearly all members of a large group of near copies by one proposal each. Then whatever
-    else shares a key and isn't in one component yet is proposed. All proposals are verified on the texts' shingles. No link is wrong, but a pair can be
-    missed: all its keys may differ, or where three or more share one, both its members may be unlike the least and the greatest."""
+    against the one that it shares most keys with, which links nearly all members of a large group of near copies by one proposal each. Then what else
+    shares a key with the least or the greatest and isn't in one component yet is proposed. At last come all pairs that share a key and still are in two
+    components, so whatever shares a key is verified or linked by others. All proposals are verified on the texts' shingles. No link is wrong; a pair can
+    be missed only where all its keys differ."""
     size = min(48, nodes.count().bit_length() + SPARE)
     keys = nodes.select("f", "fp").mapInArrow(lean(_keyed(size)), "key long, f long")
     # Cut, so that Spark can split a frequent key's rows
-    ends = cut(keys.groupBy("key").agg(F.min("f").alias("first"), F.max("f").alias("last")).where("first <> last"))
+    ends = cut(keys.groupBy("key").agg(F.min("f").alias("first"), F.max("f").alias("last"), F.count("*").alias("n")).where("first <> last"))
     met = keys.join(ends, "key").select("f", F.explode(F.array("first", "last")).alias("v")).where("f <> v")
     pairs = cut(met.groupBy("f", "v").agg(F.count("*").cast("int").alias("n")))
     best = pairs.groupBy("f").agg(F.max(F.struct("n", "v")).alias("best")).select(F.least("f", "best.v").alias("u"), F.greatest("f", "best.v").alias("v")).distinct()
-    first = components(verified(best, docs, nodes, words, similarity))
-
-    def rooted(df: DataFrame, name: str) -> DataFrame:
-        known = first.select(F.col("node").alias(name), F.col("root").alias("root_"))
-        return df.join(known, name, "left").withColumn(f"{name}_root", F.coalesce("root_", name)).drop("root_")
-
-    apart = rooted(rooted(pairs.select(F.least("f", "v").alias("u"), F.greatest("f", "v").alias("v")).distinct(), "u"), "v").where("u_root <> v_root")
-    more = rooted(rooted(verified(apart.select("u", "v"), docs, nodes, words, similarity), "u"), "v")
-    second = components(more.select(F.col("u_root").alias("u"), F.col("v_root").alias("v")))
-    over = second.select(F.col("node").alias("root"), F.col("root").alias("over"))
-    return first.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(second.join(first, "node", "left_anti"))
+    first = cut(components(verified(best, docs, nodes, words, similarity)))
+    apart = _rooted_by(first, _rooted_by(first, pairs.select(F.least("f", "v").alias("u"), F.greatest("f", "v").alias("v")).distinct(), "u"), "v").where("u_root <> v_root")
+    second = _joined(first, verified(apart.select("u", "v"), docs, nodes, words, similarity))
+    # Keys of two have met as their ends
+    shared = keys.join(ends.where("n > 2").select("key"), "key", "left_semi")
+    return _joined(second, verified(_across(_rooted_by(second, shared, "f")), docs, nodes, words, similarity))
+
+
+def _rooted_by(roots: DataFrame, df: DataFrame, name: str) -> DataFrame:
+    """df with the root of a node of that name; nodes that lack are their own."""
+    known = roots.select(F.col("node").alias(name), F.col("root").alias("root_"))
+    return df.join(known, name, "left").withColumn(f"{name}_root", F.coalesce("root_", name)).drop("root_")
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """roots with the components that more links (u, v) between nodes bring together."""
+    links = _rooted_by(roots, _rooted_by(roots, more, "u"), "v")
+    tops = components(links.select(F.col("u_root").alias("u"), F.col("v_root").alias("v")))
+    over = tops.select(F.col("node").alias("root"), F.col("root").alias("over"))
+    return cut(roots.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(tops.join(roots, "node", "left_anti")))
+
+
+def _across(members: DataFrame) -> DataFrame:
+    """(u, v): all pairs of members (key, f, f_root) that share a key but not a root. Roots meet first, so members of one root make no pairs."""
+    groups = cut(members.groupBy("key", "f_root").agg(F.count("*").alias("n")))
+    mixed = groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    held = cut(members.join(mixed, "key", "left_semi"))
+    roots = groups.join(mixed, "key", "left_semi")
+    x, y = roots.select("key", F.col("f_root").alias("x")), roots.select("key", F.col("f_root").alias("y"))
+    of = lambda name, to: held.select("key", F.col("f_root").alias(name), F.col("f").alias(to))
+    pairs = x.join(y, "key").where("x < y").join(of("x", "a"), ["key", "x"]).join(of("y", "b"), ["key", "y"])
+    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
 
 def _rooted(fps: DataFrame, distinct: DataFrame, roots: DataFrame, key: str) -> DataFrame:

@@ -141,3 +141,13 @@ def test_pipeline_content(spark, sf_dir, tmp_path):
     assert max(Counter(r.doc_id for r in out).values()) <= 3
     real = corpus_pipeline.run(spark, sf_dir)
     assert real.count() > 100 and real.where("not same").count() == 0
+
+
+def test_all_pairs_that_share_a_key_are_held_against_each_other(spark, monkeypatch):
+    """Three pairs of near copies and one frequent key: two pairs at least have no member that is the key's least or greatest."""
+    from stratafold.llm import simhash
+
+    texts = [" ".join(f"{name}{k}" for k in range(60)) + end for name in "abcd" for end in ("", " more")]
+    monkeypatch.setattr(simhash, "SPARE", -len(texts).bit_length())  # keys of no bits
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar(docs).collect()} == {i: i - i % 2 for i in range(8)}
