@@ -32,6 +32,8 @@ from .components import components
 BITS = 2
 #: Hashes whose bits are spread out at a time.
 _SPREAD = 1 << 13
+#: Pairs that are weighed at a time, about.
+_PAIRS = 1 << 13
 #: For a similarity: 64-bit lanes of a fingerprint, keys of each fingerprint, and bits of a key beyond those that number the texts.
 LANES, KEYS, SPARE = 4, 128, 4
 
@@ -196,6 +198,16 @@ def _keyed(size: int):
     return run
 
 
+def _texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(f, text): a text of each f that is asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_text(_parts(x)) for x in utf8(b.column("text"))], pa.int64()), b.column("text")], ["f", "text"])
+
+    return in_batches(docs).select("text").mapInArrow(lean(run), "f long, text string").join(asked, "f", "left_semi").dropDuplicates(["f"])
+
+
 def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs (u, v) of nodes (f, fp) whose texts' shingle sets have that similarity or more. Those whose fingerprints are too far apart are
     left without a look at their texts."""
@@ -207,10 +219,6 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, si
             stay = np.bitwise_count(x ^ y).reshape(-1, LANES).sum(axis=1, dtype=np.int64) <= most
             yield pa.RecordBatch.from_pydict({"u": b.column("u"), "v": b.column("v")}).filter(pa.array(stay))
 
-    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([_text(_parts(x)) for x in utf8(b.column("text"))], pa.int64()), b.column("text")], ["f", "text"])
-
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             stay, last, held = [], None, None
@@ -223,33 +231,193 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, si
 
     side = lambda df, name, held, to: df.select(F.col("f").alias(name), F.col(held).alias(to))
     proposed = cut(pairs.join(side(nodes, "u", "fp", "a"), "u").join(side(nodes, "v", "fp", "b"), "v").select("u", "v", "a", "b").mapInArrow(lean(near), "u long, v long"))
-    asked = proposed.select("u").union(proposed.select("v")).distinct().withColumnRenamed("u", "f")
-    found = in_batches(docs).select("text").mapInArrow(lean(texts), "f long, text string").join(asked, "f", "left_semi").dropDuplicates(["f"])
+    found = _texts(docs, proposed.select("u").union(proposed.select("v")).distinct().withColumnRenamed("u", "f"))
     return proposed.join(side(found, "u", "text", "a"), "u").join(side(found, "v", "text", "b"), "v").select("u", "v", "a", "b").mapInArrow(lean(alike), "u long, v long")
 
 
 def similar_roots(docs: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
     """(node, root): components of nodes (f, fp) whose texts' shingle sets have that similarity or more; nodes without a link may lack.
 
-    Each of KEYS keys holds some bits of a fingerprint, enough that unrelated texts seldom share one: SPARE more than number the texts. Whoever
-    shares a key is proposed with the least and the greatest f among them, so a group makes no pairs by the square of its size. First each text is held
-    against the one that it shares most keys with, which links nearly all members of a large group of near copies by one proposal each. Then what else
-    shares a key with the least or the greatest and isn't in one component yet is proposed. At last come all pairs that share a key and still are in two
-    components, so whatever shares a key is verified or linked by others. All proposals are verified on the texts' shingles. No link is wrong; a pair can
-    be missed only where all its keys differ."""
-    size = min(48, nodes.count().bit_length() + SPARE)
+    Each of KEYS keys holds some bits of a fingerprint, enough that unrelated texts seldom share one: SPARE more than number the texts. First each text is
+    held against the nearest one, by fingerprint, of lesser f that it shares a key with, which links nearly all members of a large group of near copies by
+    one proposal each. Then the shingle sets of texts that share a key, have near fingerprints and are in two components go to that key, where all such
+    pairs are held against each other inside the task. No step makes a row for each pair: rows are members of keys, KEYS for each text at most, and links of
+    a forest. No link is wrong; a pair can be missed only where all its keys differ or its fingerprints are farther apart than _far."""
+    size, most = min(48, nodes.count().bit_length() + SPARE), _far(similarity)
     keys = nodes.select("f", "fp").mapInArrow(lean(_keyed(size)), "key long, f long")
-    # Cut, so that Spark can split a frequent key's rows
-    ends = cut(keys.groupBy("key").agg(F.min("f").alias("first"), F.max("f").alias("last"), F.count("*").alias("n")).where("first <> last"))
-    met = keys.join(ends, "key").select("f", F.explode(F.array("first", "last")).alias("v")).where("f <> v")
-    pairs = cut(met.groupBy("f", "v").agg(F.count("*").cast("int").alias("n")))
-    best = pairs.groupBy("f").agg(F.max(F.struct("n", "v")).alias("best")).select(F.least("f", "best.v").alias("u"), F.greatest("f", "best.v").alias("v")).distinct()
-    first = cut(components(verified(best, docs, nodes, words, similarity)))
-    apart = _rooted_by(first, _rooted_by(first, pairs.select(F.least("f", "v").alias("u"), F.greatest("f", "v").alias("v")).distinct(), "u"), "v").where("u_root <> v_root")
-    second = _joined(first, verified(apart.select("u", "v"), docs, nodes, words, similarity))
-    # Keys of two have met as their ends
-    shared = keys.join(ends.where("n > 2").select("key"), "key", "left_semi")
-    return _joined(second, verified(_across(_rooted_by(second, shared, "f")), docs, nodes, words, similarity))
+    met = cut(_by_key(keys).mapInArrow(lean(_crowded), "key long, f long"))
+    members = met.join(nodes.select("f", "fp"), "f")
+    nearest = _by_key(members).mapInArrow(lean(_nearest(most)), "u long, v long, d long").groupBy("u").agg(F.min(F.struct("d", "v")).alias("best"))
+    first = cut(components(verified(nearest.select("u", "best.v"), docs, nodes, words, similarity)))
+    apart = cut(_by_key(_rooted_by(first, members, "f")).mapInArrow(lean(_apart(size, most)), "key long, f long, f_root long, fp binary"))
+    sets = _texts(docs, apart.select("f").distinct()).mapInArrow(lean(_sets(words)), "f long, shingles binary")
+    return _joined(first, _by_key(apart.join(sets, "f")).mapInArrow(lean(_linked(size, most, similarity)), "u long, v long"))
+
+
+def _by_key(df: DataFrame) -> DataFrame:
+    return df.repartition("key").sortWithinPartitions("key")
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by key, in tables of whole keys, with the sizes of these."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys = b.column("key").to_numpy()
+        last = len(keys) - int(np.argmax(keys[::-1] != keys[-1])) if keys[0] != keys[-1] else 0
+        if held and keys[0] != held[-1].column("key")[-1].as_py() or last:
+            first = b.slice(0, last)
+            whole = pa.Table.from_batches([*held, first], b.schema)
+            held = []
+            if whole.num_rows:
+                yield whole, _counts(whole.column("key").to_numpy())
+        held.append(b.slice(last))
+    if held:
+        whole = pa.Table.from_batches(held)
+        yield whole, _counts(whole.column("key").to_numpy())
+
+
+def _counts(keys: np.ndarray) -> np.ndarray:
+    return np.diff(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), append=len(keys))
+
+
+def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows whose key another one has too."""
+    for whole, counts in _buckets(batches):
+        yield from whole.filter(pa.array(np.repeat(counts > 1, counts))).to_batches()
+
+
+def _bits(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, LANES)
+
+
+def _lags(counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows (later, earlier) of one key, by how far these are apart, some thousands at a time."""
+    place = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    later, held, n = np.arange(len(place)), [], 0
+    for lag in range(1, int(counts.max())):
+        later = later[place[later] >= lag]
+        held.append((later, later - lag))
+        n += len(later)
+        if n >= _PAIRS:
+            yield tuple(map(np.concatenate, zip(*held, strict=True)))
+            held, n = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
+
+
+def _nearest(most: int):
+    """(u, v, d): each member of a key with the nearest one before it, if at most so many bits apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, counts in _buckets(batches):
+            f, fp = whole.column("f").to_numpy(), _bits(whole.column("fp"))
+            order = np.lexsort((f, np.repeat(np.arange(len(counts)), counts)))  # by f within each key
+            f, fp = f[order], fp[order]
+            least, of = np.full(len(f), most + 1), np.arange(len(f))
+            for x, y in _lags(counts):
+                d = np.bitwise_count(fp[x] ^ fp[y]).sum(axis=1, dtype=np.int64)
+                less = np.flatnonzero(d < least[x])
+                less = less[np.argsort(-d[less], kind="stable")]  # of several for one x, the last one stays
+                least[x[less]], of[x[less]] = d[less], y[less]
+            stay = least <= most
+            yield pa.RecordBatch.from_pydict({"u": f[stay], "v": f[of[stay]], "d": least[stay]})
+
+    return run
+
+
+@lru_cache(maxsize=4)
+def _masks(size: int) -> np.ndarray:
+    """The bits of each key, as lanes."""
+    bits = np.zeros((KEYS, 64 * LANES), np.uint8)
+    np.put_along_axis(bits, _places(size), 1, 1)
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+
+def _due(x: np.ndarray, y: np.ndarray, fp: np.ndarray, root: np.ndarray, key: np.ndarray, size: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that are in two components, near, and share no key before this one, where they would be held against each other."""
+    two = root[x] != root[y]
+    x, y = x[two], y[two]
+    apart = fp[x] ^ fp[y]
+    near = np.bitwise_count(apart).sum(axis=1, dtype=np.int64) <= most
+    x, y, apart = x[near], y[near], apart[near]
+    first = np.ones(len(x), bool)
+    number = key[x] >> np.int64(size)
+    for i, mask in enumerate(_masks(size)):
+        open_ = np.flatnonzero(first & (number > i))
+        if not len(open_):
+            break
+        first[open_] = (apart[open_] & mask).any(axis=1)
+    return x[first], y[first]
+
+
+def _apart(size: int, most: int):
+    """The members of keys that are in a pair of _due."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, counts in _buckets(batches):
+            key, root, fp = whole.column("key").to_numpy(), whole.column("f_root").to_numpy(), _bits(whole.column("fp"))
+            due = np.zeros(len(key), bool)
+            for pair in _lags(counts):
+                for side in _due(*pair, fp, root, key, size, most):
+                    due[side] = True
+            yield from whole.select(["key", "f", "f_root", "fp"]).filter(pa.array(due)).to_batches()
+
+    return run
+
+
+def _sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("f"), pa.array([_set(x, words).tobytes() for x in utf8(b.column("text"))], pa.binary())], ["f", "shingles"])
+
+    return run
+
+
+def _shared_bits(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of bits for each set, one for each element that several have."""
+    _, which, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.cumsum(n > 1) - 1
+    row, stay = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), n[which] > 1
+    row, column = row[stay], column[which[stay]]
+    wide = max(64, -(-int((n > 1).sum()) // 64) * 64)
+    out = np.zeros((len(sets), wide // 8), np.uint8)
+    np.bitwise_or.at(out, (row, column >> 3), np.left_shift(1, column & 7).astype(np.uint8))
+    return out.view(np.uint64)
+
+
+def _linked(size: int, most: int, similarity: float):
+    """(u, v): links of a forest that brings the components of a key's members together, from all of its pairs of _due."""
+
+    def forest(key: np.ndarray, f: np.ndarray, root: np.ndarray, fp: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        bits, sizes, root = _shared_bits(sets), np.array([len(x) for x in sets]), root.copy()
+        for pair in _lags(np.array([len(f)])):
+            x, y = _due(*pair, fp, root, key, size, most)
+            shared = np.zeros(len(x), np.int64)
+            for lot in np.array_split(np.arange(len(x)), 1 + len(x) * bits.shape[1] // (1 << 21)):  # 16 MB at a time
+                shared[lot] = np.bitwise_count(bits[x[lot]] & bits[y[lot]]).sum(axis=1, dtype=np.int64)
+            alike = shared / (sizes[x] + sizes[y] - shared) >= similarity
+            x, y = x[alike], y[alike]
+            while len(x):
+                yield f[x[0]], f[y[0]]
+                root[root == root[x[0]]] = root[y[0]]
+                two = root[x] != root[y]
+                x, y = x[two], y[two]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, counts in _buckets(batches):
+            key, f, root, fp = *(whole.column(c).to_numpy() for c in ("key", "f", "f_root")), _bits(whole.column("fp"))
+            sets = [np.frombuffer(x, np.uint64) for x in whole.column("shingles").to_pylist()]
+            found, at = [], 0
+            for n in counts.tolist():
+                here = slice(at, at + n)
+                found += forest(key[here], f[here], root[here], fp[here], sets[here])
+                at += n
+            u, v = np.array(found, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_pydict({"u": u, "v": v})
+
+    return run
 
 
 def _rooted_by(roots: DataFrame, df: DataFrame, name: str) -> DataFrame:
@@ -266,18 +434,6 @@ def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
     return cut(roots.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")).unionByName(tops.join(roots, "node", "left_anti")))
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """(u, v): all pairs of members (key, f, f_root) that share a key but not a root. Roots meet first, so members of one root make no pairs."""
-    groups = cut(members.groupBy("key", "f_root").agg(F.count("*").alias("n")))
-    mixed = groups.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    held = cut(members.join(mixed, "key", "left_semi"))
-    roots = groups.join(mixed, "key", "left_semi")
-    x, y = roots.select("key", F.col("f_root").alias("x")), roots.select("key", F.col("f_root").alias("y"))
-    of = lambda name, to: held.select("key", F.col("f_root").alias(name), F.col("f").alias(to))
-    pairs = x.join(y, "key").where("x < y").join(of("x", "a"), ["key", "x"]).join(of("y", "b"), ["key", "y"])
-    return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
-
-
 def _rooted(fps: DataFrame, distinct: DataFrame, roots: DataFrame, key: str) -> DataFrame:
     """fps with root, the same in one component, and component_id, the smallest doc_id in it; distinct: (key, least); roots: (node, root)."""
     rooted = distinct.join(roots.withColumnRenamed("node", key), key, "left").select(key, "least", F.coalesce("root", key).alias("root"))

@@ -151,3 +151,27 @@ def test_all_pairs_that_share_a_key_are_held_against_each_other(spark, monkeypat
     monkeypatch.setattr(simhash, "SPARE", -len(texts).bit_length())  # keys of no bits
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in simhash.similar(docs).collect()} == {i: i - i % 2 for i in range(8)}
+
+
+def test_large_groups_under_the_similarity_make_no_row_for_each_pair(spark, monkeypatch):
+    """Texts that all share keys and are near, but of which few are similar enough: proposals stay fewer than texts, and components are those of all pairs."""
+    rng, base = random.Random(5), [f"w{k}" for k in range(200)]
+    texts = []
+    for i in range(40):
+        words = list(base)
+        for at in rng.sample(range(20), rng.randrange(1, 6)):
+            words[10 * at] = f"new{i % 30}-{at}"
+        texts.append(" ".join(words))
+    texts = list(dict.fromkeys(texts))
+    root = list(range(len(texts)))
+    for i, x in enumerate(texts):
+        for j, y in enumerate(texts[:i]):
+            if root[i] != root[j] and simhash.similarity_of(x.encode(), y.encode(), 5) >= 0.8:
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    assert 3 < len(set(root)) < len(texts) - 3
+    asked, verified = [], simhash.verified
+    monkeypatch.setattr(simhash, "SPARE", -len(texts).bit_length())  # keys of no bits
+    monkeypatch.setattr(simhash, "verified", lambda pairs, *others: asked.append(pairs.count()) or verified(pairs, *others))
+    found = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
+    assert found == dict(enumerate(root))
+    assert max(asked) < len(texts)
