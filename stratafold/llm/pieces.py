@@ -6,8 +6,8 @@ fallback and the decoder. A merge model's merges follow from its pieces: whichev
 Texts are encoded in batches by the library's own threads, and every text's ids are held against the original processor's.
 
 Where no piece of a merge model goes on past the end of a word, merges in one word have no bearing on another. Texts are then normalised whole, and
-their distinct words encoded, decoded and held against the original processor once, as long as a worker remembers them: what a text becomes is what its words
-become. Other models have whole texts encoded and compared.
+their distinct words encoded, decoded and held against the original processor once, as long as a worker remembers them, by rows of words that come apart
+again where a piece begins with a space: what a text becomes is what its words become. Other models have whole texts encoded and compared.
 """
 
 from __future__ import annotations
@@ -30,14 +30,14 @@ from .base import in_batches, lean, table
 
 #: Where the default model lies, on every machine. A parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Words that a worker remembers, at most; then it forgets them all.
+#: Words that a worker remembers, about; the older half goes, but for what has been met since.
 KNOWN = 1 << 18
 SPACE = "▁"
 #: Kinds of pieces and models (fixed values of the format)
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, MERGES = 1, 2
 #: Characters in a batch that the library's threads share, and these.
-_BATCH, THREADS = 1 << 19, "2"
+_BATCH, THREADS = 1 << 19, "1"
 #: Words that the original processor decodes at a time.
 _ROW = 512
 
@@ -158,16 +158,49 @@ def _plain(spec: Spec) -> bool:
 
 
 class _Words:
-    """What words become: ids (32 bits each) and the text that these decode to; odd: words of which the original processor says otherwise."""
+    """What words become: ids (32 bits each) and, where it isn't the word itself, the text that these decode to; odd: words of which the original processor
+    says otherwise."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer, self.original = load(path)
         self.split = re.compile(f"{SPACE}+[^{SPACE}]*").findall
+        self.begins = np.array([self.tokenizer.id_to_token(i).startswith(SPACE) for i in range(self.tokenizer.get_vocab_size())])
         self.ids: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.back: dict[str, str] = {}
         self.odd: set[str] = set()
 
     def _learn(self, words: list[str]) -> None:
+        """Plain words, with one space ahead, go by rows; whatever else, or a row that doesn't come apart again, word by word."""
+        plain = [w for w in words if len(w) > 1 and w.rfind(SPACE) == 0 and " " not in w]
+        rows = [plain[at : at + _ROW] for at in range(0, len(plain), _ROW)]
+        texts = [" ".join([w[1:] for w in row]) for row in rows]
+        encoded = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        decoded = self.tokenizer.decode_batch(encoded, skip_special_tokens=False)
+        single = []
+        for row, text, ids, back in zip(rows, texts, encoded, decoded, strict=True):
+            held = np.array(ids, np.int32)
+            at = np.flatnonzero(self.begins[held])
+            # A piece that begins with a space begins a word; as many spaces as between words, so each word is its own
+            if len(at) != len(row) or at[0] or back != text:
+                single += row
+                continue
+            data, edges = held.tobytes(), [*(4 * at).tolist(), 4 * len(held)]
+            own = [data[x:y] for x, y in zip(edges, edges[1:], strict=False)]
+            self.ids.update(zip(row, own, strict=True))
+            others = self.original.encode([w[1:] for w in row], num_threads=1)
+            flat = list(chain.from_iterable(others))
+            if flat != ids or list(map(len, others)) != (np.diff(at, append=len(held))).tolist():
+                self.odd.update(w for w, x, other in zip(row, own, others, strict=True) if x != array("i", other).tobytes())
+            if self.original.decode(flat) != text:
+                self.odd.update(w for w, other in zip(row, others, strict=True) if self.original.decode(other) != w[1:])
+        if len(plain) < len(words):
+            known = set(plain)
+            single += [w for w in words if w not in known]
+        if single:
+            self._learn_each(single)
+
+    def _learn_each(self, words: list[str]) -> None:
         bare = [w[1:] for w in words]  # either side puts the first space itself, but not before nothing
         ids = [x.ids for x in self.tokenizer.encode_batch_fast(bare, add_special_tokens=False)]
         others = self.original.encode(bare, num_threads=1)
@@ -183,21 +216,26 @@ class _Words:
             if self.original.decode(list(chain.from_iterable(others[row]))) != " ".join(back[row]):
                 self.odd.update(w for w, other, text in zip(words[row], others[row], back[row], strict=True) if self.original.decode(other) != text)
         self.ids.update(zip(words, [array("i", x).tobytes() for x in ids], strict=True))
-        self.back.update(zip(words, back, strict=True))
+        self.back.update((w, text) for w, text in zip(words, back, strict=True) if text != w[1:])
 
     def of(self, texts: list[str]) -> tuple[pa.Array, list[str], list[bool]]:
         held = [self.split(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         wanted = set().union(*held)
         new = wanted.difference(self.ids)
-        if new and len(self.ids) + len(new) > KNOWN:
-            self.ids.clear()
-            self.back.clear()
-            self.odd.clear()
-            new = wanted
+        if new and len(self.ids) + len(new) > KNOWN // 2:
+            # What has not been met since the last time is forgotten
+            self.before, self.ids, new = self.ids, {}, wanted
+            self.back = {w: x for w, x in self.back.items() if w in self.before}
+            self.odd.intersection_update(self.before)
         if new:
-            self._learn(list(new))
+            met = new.intersection(self.before)
+            self.ids.update((w, self.before[w]) for w in met)
+            self._learn(list(new.difference(met)))
         ids = [b"".join(map(self.ids.__getitem__, words)) for words in held]
-        back = [" ".join(map(self.back.__getitem__, words)) for words in held]
+        if self.back and not wanted.isdisjoint(self.back):
+            back = [" ".join([self.back.get(w, w[1:]) for w in words]) for words in held]
+        else:
+            back = [t.replace(SPACE, " ") for t in texts]
         same = [not self.odd or self.odd.isdisjoint(words) for words in held]
         offsets = np.zeros(len(ids) + 1, np.int32)
         np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
@@ -217,11 +255,15 @@ def _whole(path: str) -> Callable[[list[str]], tuple[pa.Array, list[str], list[b
     return of
 
 
+@lru_cache(maxsize=2)
+def _plain_file(path: str) -> bool:
+    with open(path, "rb") as f:
+        return _plain(parse(f.read()))
+
+
 def encoder(path: str) -> Callable[[list[str]], tuple[pa.Array, list[str], list[bool]]]:
     """A function of texts that gives their ids, what these decode to, and whether the original processor says the same."""
-    with open(path, "rb") as f:
-        spec = parse(f.read())
-    return _Words(path).of if _plain(spec) else _whole(path)
+    return _Words(path).of if _plain_file(path) else _whole(path)
 
 
 def encoded(docs: DataFrame, model: str = MODEL) -> DataFrame:

@@ -175,3 +175,18 @@ def test_large_groups_under_the_similarity_make_no_row_for_each_pair(spark, monk
     found = {r.doc_id: r.component_id for r in simhash.similar(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
     assert found == dict(enumerate(root))
     assert max(asked) < len(texts)
+
+
+def test_plain_words_are_encoded_by_rows(monkeypatch):
+    """A row of words is one call, odd ones go word by word, and both say what the original processor says of whole texts, before and after words are forgotten."""
+    monkeypatch.setattr(pieces, "KNOWN", 100)
+    words, singles = pieces._Words(pieces.MODEL), []
+    each = words._learn_each
+    monkeypatch.setattr(words, "_learn_each", lambda x: singles.extend(x) or each(x))
+    odd = ["a  b   c", "▁x ▁▁ y", " lead", "trail ", "\n\ttab x  ", "\U0001f600 \U0010fffd", "<s> </s> <unk> <0x41>", "", "▁", "  ", "é́ ﷺ", "x" * 300, "a▁b", "nul\x00 \x01"]
+    texts = odd + [" ".join(f"word{i * j % 83}" for j in range(30)) for i in range(40)] + odd
+    for at in range(0, len(texts), 9):
+        ids, back, same = words.of(texts[at : at + 9])
+        for text, own, decoded, agrees in zip(texts[at : at + 9], ids.to_pylist(), back, same, strict=True):
+            assert agrees and own == words.original.encode(text) and decoded == words.original.decode(own), text
+    assert not any(w.startswith("▁word") for w in singles) and len(words.ids) + len(words.before) <= 200
