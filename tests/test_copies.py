@@ -45,6 +45,23 @@ def test_matches_of_copies_are_greedy_without_rounds(copies, monkeypatch):
     assert {(r.a, r.b, r.score) for r in matching.place_matches(*copies, 0.5).collect()} == want and len(want) > 20
 
 
+def test_groups_of_long_chains_take_few_rounds_and_send_nothing_to_all(spark, monkeypatch):
+    """A street of places, each within reach of the next one alone: the driver keeps something of each round."""
+    rounds, cut = [], relational.cut
+
+    def told(df):
+        done = cut(df)
+        rounds.append(df._jdf.queryExecution().executedPlan().toString())  # as Spark ran it, after what it learned of sizes meanwhile
+        return done
+
+    monkeypatch.setattr(relational, "cut", told)
+    order = [i * 37 % 101 for i in range(101)]  # ids in no order along the street
+    links = spark.createDataFrame([*zip(order, order[1:], strict=False), (500, 501), (700, 700)], "x long, y long")
+    found = {(r.node, r.root) for r in relational.connected(links).collect()}
+    assert found == {(i, 0) for i in range(101)} | {(500, 500), (501, 500), (700, 700)}
+    assert len(rounds) < 15 and not any("Broadcast" in ran for ran in rounds) and "isFinalPlan=true" in rounds[-1]
+
+
 def test_large_groups_of_pairs_go_by_rounds(spark):
     pairs = spark.createDataFrame([(a, b, 1.0, 0) for a in range(4) for b in range(3)] + [(9, 9, 0.5, 1)], "a long, b long, score double, group_ long")
     for most in (1, 100):
